@@ -24,9 +24,10 @@ def col(c) -> Column:
 
 
 def r4(c, places: int = 4) -> Column:
-    """Rounding for results at the edge: half up on the scaled double."""
+    """Rounding for results at the edge: half up on the scaled double. The small nudge sends
+    exact decimal ties up whatever the last bit of a sum says."""
     scale = float(10**places)
-    return F.floor(col(c) * lit(scale) + lit(0.5)) / lit(scale)
+    return F.floor(col(c) * lit(scale) + lit(0.500001)) / lit(scale)
 
 
 def clamp(c, lo: float = 0.0, hi: float = 1.0) -> Column:

@@ -49,18 +49,26 @@ def tracklet_steps(obs: DataFrame, size: int = 65536) -> DataFrame:
     )
 
 
+def _with_direction(df: DataFrame, name: str, a: Column, b: Column) -> DataFrame:
+    """Unit tangent at ``a`` towards ``b``; zero when they coincide, null when either is missing.
+
+    Built in named steps, so that no sub-expression is evaluated twice.
+    """
+    known = a.isNotNull() & b.isNotNull()
+    df = df.withColumn("_d", F.when(known, _axpy(b, geo.lit(-1.0), a)))
+    df = df.withColumn("_t", F.when(known, _axpy(F.col("_d"), -_dot(F.col("_d"), a), a)))
+    df = df.withColumn("_n", _norm(F.col("_t")))
+    zero = _vec(geo.lit(0.0), geo.lit(0.0), geo.lit(0.0))
+    unit = F.when(F.col("_n") >= 1e-9, _scale(F.col("_t"), geo.lit(1.0) / F.col("_n"))).otherwise(zero)
+    return df.withColumn(name, F.when(known, unit)).drop("_d", "_t", "_n")
+
+
 def motion_terms(steps: DataFrame, predict: str = "reference") -> DataFrame:
     """Adds step_deg, residual_deg (from the predicted position) and vel_sim."""
 
-    def direction(a, b):
-        d = _axpy(b, geo.lit(-1.0), a)
-        t = _axpy(d, -_dot(d, a), a)
-        n = _norm(t)
-        return F.when(n >= 1e-9, _scale(t, geo.lit(1.0) / n)).otherwise(_vec(geo.lit(0.0), geo.lit(0.0), geo.lit(0.0)))
-
     s = steps.withColumn("step_deg", _gc(F.col("p1"), F.col("v")))
-    s = s.withColumn("k", F.when(F.col("p2").isNotNull(), direction(F.col("p2"), F.col("p1"))))
-    s = s.withColumn("k_cur", F.when(F.col("p1").isNotNull(), direction(F.col("p1"), F.col("v"))))
+    s = _with_direction(s, "k", F.col("p2"), F.col("p1"))
+    s = _with_direction(s, "k_cur", F.col("p1"), F.col("v"))
     k, p = F.col("k"), F.col("p1")
     s = s.withColumn("speed", _gc(F.col("p2"), p) / (F.col("f1") - F.col("f2")) * _norm(k))
     s = s.withColumn("speed_cur", F.col("step_deg") / (F.col("frame") - F.col("f1")) * _norm(F.col("k_cur")))
@@ -70,12 +78,14 @@ def motion_terms(steps: DataFrame, predict: str = "reference") -> DataFrame:
     else:
         cross = _vec(k["y"] * p["z"] - k["z"] * p["y"], k["z"] * p["x"] - k["x"] * p["z"], k["x"] * p["y"] - k["y"] * p["x"])
         turned = _axpy(_axpy(_scale(p, F.cos(a)), F.sin(a), cross), _dot(k, p) * (geo.lit(1.0) - F.cos(a)), k)
-    s = s.withColumn("pred", F.when((F.col("speed") > 1e-9) & F.col("p2").isNotNull(), _scale(turned, geo.lit(1.0) / _norm(turned))).otherwise(p))
+    s = s.withColumn("turned", turned)
+    t = F.col("turned")
+    s = s.withColumn("pred", F.when((F.col("speed") > 1e-9) & F.col("p2").isNotNull(), _scale(t, geo.lit(1.0) / _norm(t))).otherwise(p))
     sim = F.when(F.col("speed_cur") > 1e-9, geo.clamp(_dot(k, F.col("k_cur")))).otherwise(geo.lit(0.0))
     return (
         s.withColumn("residual_deg", _gc(F.col("pred"), F.col("v")))
         .withColumn("vel_sim", F.when(F.col("p2").isNotNull() & (F.col("speed") > 1e-9), sim))
-        .drop("k", "k_cur", "pred", "speed_cur")
+        .drop("k", "k_cur", "pred", "turned", "speed_cur")
     )
 
 

@@ -7,7 +7,7 @@ TOL = "1e-9"
 
 def r4(x: str, places: int = 4) -> str:
     s = f"1e{places}"
-    return f"floor(({x}) * {s} + 0.5e0) / {s}"
+    return f"floor(({x}) * {s} + 0.500001e0) / {s}"
 
 
 def pmod(a: str, n: str = "360e0") -> str:
