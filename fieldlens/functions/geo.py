@@ -207,7 +207,7 @@ def point_rect_distance(px, py, rect) -> Column:
     x1, y1, x2, y2 = (F.element_at(r, i) for i in (1, 2, 3, 4))
     dx = F.greatest(x1 - col(px), lit(0.0), col(px) - x2)
     dy = F.greatest(y1 - col(py), lit(0.0), col(py) - y2)
-    return F.hypot(dx, dy)
+    return F.when(r.isNotNull() & col(px).isNotNull() & col(py).isNotNull(), F.hypot(dx, dy))
 
 
 def pose_score(ankle_px, lower_px) -> Column:

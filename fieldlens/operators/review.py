@@ -17,6 +17,7 @@ from fieldlens.operators.blockrun import run_blocks
 from fieldlens.operators.joins import overlap_join, point_in_interval
 from fieldlens.operators.scan import Carry, carry_scan, exact_percentiles, frame_block, row_index
 from fieldlens.operators.tracklets import KEY, median_position, upper_median_position
+from fieldlens.session import cut
 
 # Cue weights of the two diagnostics.
 TRACK_CUES = {"detector": 0.35, "view_band": 0.10, "pose": 0.20, "geometry": 0.10, "temporal": 0.25}
@@ -146,9 +147,10 @@ def near_static(obs: DataFrame, tracklets: DataFrame, cfg: ClusterAuditConfig =
         F.col("median_yaw").alias("yaw"), F.col("median_pitch").alias("pitch"))
 
 
-def greedy_spaced(df: DataFrame, keys: list[str], pos: str, tie: str, gap: float, strict: bool = False, block: int = 65536) -> DataFrame:
+def greedy_spaced(df: DataFrame, keys: list[str], pos: str, tie: str, gap: float, strict: bool = False, block: float | None = None) -> DataFrame:
     """Rows kept when at least ``gap`` (strict: more than) after the last kept one, in order of pos."""
-    rows = df.select(*keys, pos, tie).withColumn("_block", F.floor(F.col(pos) / block))
+    # a block spans many gaps, so that most of its picks do not depend on the block before
+    rows = df.select(*keys, pos, tie).withColumn("_block", F.floor(F.col(pos) / (block or max(65536.0, gap * 4096))))
 
     def run(pdf, state):
         last = json.loads(state) if state is not None else None
@@ -175,6 +177,7 @@ def static_clusters(members: DataFrame, cfg: ClusterAuditConfig = ClusterAuditCo
     c = c.withColumn("centre_yaw", geo.vec_yaw("x", "z")).withColumn("centre_pitch", geo.vec_pitch(F.col("y") / n)).drop("x", "y", "z")
     m = m.join(c.select("clip_id", "comp", "centre_yaw", "centre_pitch"), ["clip_id", "comp"]).withColumn(
         "dist_to_centre", geo.angular_distance("yaw", "pitch", "centre_yaw", "centre_pitch")).drop("centre_yaw", "centre_pitch")
+    c, m = cut(c), cut(m)
     mids = m.withColumn("mid", F.floor((F.col("start_frame") + F.col("end_frame")) / 2))
     spaced = greedy_spaced(mids, ["clip_id", "comp"], "mid", "tracklet_id", cfg.min_window_gap).filter("kept").groupBy("clip_id", "comp").agg(F.count(F.lit(1)).alias("distinct_windows"))
     radius = m.groupBy("clip_id", "comp").agg(F.max("dist_to_centre").alias("radius_deg"))
@@ -203,10 +206,10 @@ def diameter(points: DataFrame, keys: list[str], cuts: int = 12) -> DataFrame:
         p = p.withColumn(f"b{c}", F.least(F.floor((F.col(c) - F.col(f"lo_{c}")) / F.col("e")), F.lit(cuts - 1)))
     box = ["bx", "by", "bz"]
     boxes = p.groupBy(*keys, *box).agg(*[F.min(c).alias(f"n{c}") for c in "xyz"], *[F.max(c).alias(f"m{c}") for c in "xyz"])
-    a = boxes.select(*keys, F.struct(*box).alias("a"), F.struct(*[f"{s}{c}" for s in "nm" for c in "xyz"]).alias("A"))
-    b = boxes.select(*keys, F.struct(*box).alias("b"), F.struct(*[f"{s}{c}" for s in "nm" for c in "xyz"]).alias("B"))
-    far = sum(F.pow(F.greatest(F.col(f"A.m{c}") - F.col(f"B.n{c}"), F.col(f"B.m{c}") - F.col(f"A.n{c}")), geo.lit(2.0)) for c in "xyz")
-    near = sum(F.pow(F.greatest(F.col(f"A.n{c}") - F.col(f"B.m{c}"), F.col(f"B.n{c}") - F.col(f"A.m{c}"), geo.lit(0.0)), geo.lit(2.0)) for c in "xyz")
+    a = boxes.select(*keys, F.struct(*box).alias("a"), F.struct(*[f"{s}{c}" for s in "nm" for c in "xyz"]).alias("ext_a"))
+    b = boxes.select(*keys, F.struct(*box).alias("b"), F.struct(*[f"{s}{c}" for s in "nm" for c in "xyz"]).alias("ext_b"))
+    far = sum(F.pow(F.greatest(F.col(f"ext_a.m{c}") - F.col(f"ext_b.n{c}"), F.col(f"ext_b.m{c}") - F.col(f"ext_a.n{c}")), geo.lit(2.0)) for c in "xyz")
+    near = sum(F.pow(F.greatest(F.col(f"ext_a.n{c}") - F.col(f"ext_b.m{c}"), F.col(f"ext_b.n{c}") - F.col(f"ext_a.m{c}"), geo.lit(0.0)), geo.lit(2.0)) for c in "xyz")
     pr = a.join(b, keys).filter("a <= b").withColumn("far", far).withColumn("near", near)
     low = pr.groupBy(*keys).agg(F.max("near").alias("low"))
     live = pr.join(low, keys).filter(F.col("far") >= F.col("low") - 1e-15).select(*keys, "a", "b")
