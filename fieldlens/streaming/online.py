@@ -103,16 +103,15 @@ class CompletenessGate(StatefulProcessor):
             last, n = float(r.scan_at), int(r.n_files)
             out.append((key[0], last, n, last - float(since), state))
         self.state.update((last, n, float(since)))
-        for t in list(self.handle.listTimers()):
-            self.handle.deleteTimer(t)
         self.handle.registerTimer(int((since + self.hold_s) * 1000))
         yield self._frame(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         last, n, since = self.state.get()
         at = expiredTimerInfo.getExpiryTimeInMs() / 1000.0
-        # scanned after the hold ended: the scan itself has reported it
-        out = [] if last >= at else [(key[0], at, n, at - since, "ready_by_timer")]
+        # the count changed since, or a scan after the hold has reported the group itself
+        stale = at < since + self.hold_s - 0.001 or last >= at
+        out = [] if stale else [(key[0], at, n, at - since, "ready_by_timer")]
         yield self._frame(out)
 
     def _frame(self, rows):
