@@ -47,14 +47,14 @@ def circular_delta(a, b) -> Column:
     return F.pmod(col(a) - col(b) + lit(180.0), lit(360.0)) - lit(180.0)
 
 
-def _cos_between(y1, p1, y2, p2) -> Column:
+def angular_distance(y1, p1, y2, p2) -> Column:
+    """Great-circle angle. The atan2 form needs no clamping, keeps nulls and stays exact near
+    zero, where an arc cosine loses half its digits."""
     p1, p2 = F.radians(col(p1)), F.radians(col(p2))
     dy = F.radians(col(y1) - col(y2))
-    return F.sin(p1) * F.sin(p2) + F.cos(p1) * F.cos(p2) * F.cos(dy)
-
-
-def angular_distance(y1, p1, y2, p2) -> Column:
-    return F.degrees(F.acos(clamp(_cos_between(y1, p1, y2, p2), -1.0, 1.0)))
+    across = F.cos(p2) * F.sin(dy)
+    along = F.cos(p1) * F.sin(p2) - F.sin(p1) * F.cos(p2) * F.cos(dy)
+    return F.degrees(F.atan2(F.hypot(across, along), F.sin(p1) * F.sin(p2) + F.cos(p1) * F.cos(p2) * F.cos(dy)))
 
 
 def within(distance: Column, radius, strict: bool = False) -> Column:
@@ -86,9 +86,12 @@ def vec_pitch(y) -> Column:
     return F.degrees(F.asin(clamp(col(y), -1.0, 1.0)))
 
 
-def dot_deg(ax, ay, az, bx, by, bz) -> Column:
-    dot = col(ax) * col(bx) + col(ay) * col(by) + col(az) * col(bz)
-    return F.degrees(F.acos(clamp(dot, -1.0, 1.0)))
+def unit_angle(a, b) -> Column:
+    """Angle between two unit vectors given as (x, y, z) column triples."""
+    less = [col(i) - col(j) for i, j in zip(a, b)]
+    more = [col(i) + col(j) for i, j in zip(a, b)]
+    norm = lambda v: F.sqrt(v[0] * v[0] + v[1] * v[1] + v[2] * v[2])
+    return F.degrees(F.atan2(norm(less), norm(more))) * lit(2.0)
 
 
 def yaw_bin(yaw, bin_deg: float) -> Column:

@@ -53,10 +53,12 @@ def run_blocks(rows: DataFrame, keys: list[str], block: str, order: list[str], r
 
         return g
 
+    # explicit partitions: a Python pass is bound by CPU, so small shuffles must not be merged
+    rows = rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *group)
     emit_schema, state_schema = f"{head}, {out_schema}", f"{head}, state string"
     long_keys = rows.groupBy(*keys).agg(F.min(block).alias("a"), F.max(block).alias("b")).filter("b > a").select(*keys)
     if long_keys.isEmpty():
-        return rows.groupBy(*group).applyInPandas(plain(emit), emit_schema)
+        return cut(rows.groupBy(*group).applyInPandas(plain(emit), emit_schema))
 
     single = rows.join(long_keys, keys, "left_anti").groupBy(*group).applyInPandas(plain(emit), emit_schema)
     long = rows.join(long_keys, keys, "left_semi")
@@ -80,4 +82,5 @@ def run_blocks(rows: DataFrame, keys: list[str], block: str, order: list[str], r
         after = cut(after.join(stale.select(*group), group, "left_anti").unionByName(again))
         assumed = cut(assumed)
     final = long.groupBy(*group).cogroup(assumed.groupBy(*group)).applyInPandas(fed(emit, [*group, *names]), emit_schema)
-    return single.unionByName(final)
+    # the pass is the costly part: store it, so that no later reader runs it again
+    return cut(single.unionByName(final))

@@ -121,7 +121,7 @@ def nearest_match_velocity(players: DataFrame, dt: float, cfg: CrowdConfig = Cro
     b = spatial.shift_cells(spatial.with_cell(cur.select("clip_id", (F.col("sample") + 1).alias("sample"), F.col("det_id").alias("pid"), F.col("yaw").alias("qy"), F.col("pitch").alias("qp")), edge, "qy", "qp"), 1)
     d = geo.angular_distance("yaw", "pitch", "qy", "qp")
     pairs = a.join(b, [*SAMPLE, *spatial.CELL]).withColumn("d", d).filter(geo.within(F.col("d"), cfg.motion_match_deg))
-    item = F.struct(geo.r4("d", 9).alias("k"), F.col("det_id").alias("c"), F.col("pid").alias("p"), F.col("d").alias("d"))
+    item = F.struct(geo.r4("d", 4).alias("k"), F.col("det_id").alias("c"), F.col("pid").alias("p"), F.col("d").alias("d"))
     packed = pairs.groupBy(*SAMPLE).agg(F.array_sort(F.collect_list(item)).alias("xs"))
     free = lambda kept, x: ~F.exists(kept, lambda k: (k["c"] == x["c"]) | (k["p"] == x["p"]))
     won = packed.select(*SAMPLE, F.explode(F.aggregate("xs", F.slice("xs", 1, 0), lambda kept, x: F.when(free(kept, x), F.concat(kept, F.array(x))).otherwise(kept))).alias("m"))

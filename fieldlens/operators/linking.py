@@ -40,7 +40,6 @@ def _segments(cand: DataFrame, processed: DataFrame, blanks_that_end: int, block
 
 def _join_fragments(raw: DataFrame) -> DataFrame:
     """Replace block-local refs by one id per track: 'segment:block:ref' of its birth."""
-    raw = cut(raw)  # the sequential pass is the costly part; run it once
     key = ["clip_id", "segment"]
     node = lambda block, ref: F.concat(F.lpad(block.cast("string"), 12, "0"), F.lit(":"), ref)
     slots = raw.filter("slot is not null").select(*key, "block", "slot", "ref")

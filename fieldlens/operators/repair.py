@@ -52,21 +52,26 @@ def _walk(by_frame, frames, seed, cfg: RepairConfig):
 TRACE = "frame int, f_det long, f_yaw double, f_pitch double, f_conf double, b_det long, b_yaw double, b_pitch double, b_conf double"
 
 
-def _trace_window(cfg: RepairConfig):
+def _trace_windows(cfg: RepairConfig):
+    """Trace every window of a group: short windows of one stretch of a clip, handled together
+    so that the cost per call is shared."""
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        head = pdf.iloc[0]
-        span = range(int(head.start_frame), int(head.end_frame) + 1)
-        by_frame = {}
-        for row in pdf[pdf["det_id"].notna()].sort_values(["frame", "det_id"]).itertuples():
-            by_frame.setdefault(int(row.frame), []).append(row)
-        fwd = _walk(by_frame, span, (int(head.l_frame), head.l_yaw, head.l_pitch), cfg)
-        bwd = _walk(by_frame, reversed(span), (int(head.r_frame), head.r_yaw, head.r_pitch), cfg)
+        heads = pdf.drop_duplicates("window_id")
+        by_window: dict[str, dict[int, list]] = {}
+        hits = pdf[pdf["det_id"].notna()].sort_values(["frame", "det_id"])
+        for row in hits[["window_id", "frame", "det_id", "yaw", "pitch", "conf"]].itertuples(index=False):
+            by_window.setdefault(row.window_id, {}).setdefault(int(row.frame), []).append(row)
         out = []
-        for f in span:
-            row = [head.clip_id, head.window_id, f]
-            for side in (fwd.get(f), bwd.get(f)):
-                row += [None] * 4 if side is None else [int(side.det_id), side.yaw, side.pitch, side.conf]
-            out.append(row)
+        for h in heads.itertuples(index=False):
+            span, found = range(int(h.start_frame), int(h.end_frame) + 1), by_window.get(h.window_id, {})
+            fwd = _walk(found, span, (int(h.l_frame), h.l_yaw, h.l_pitch), cfg)
+            bwd = _walk(found, reversed(span), (int(h.r_frame), h.r_yaw, h.r_pitch), cfg)
+            for f in span:
+                row = [h.clip_id, h.window_id, f]
+                for side in (fwd.get(f), bwd.get(f)):
+                    row += [None] * 4 if side is None else [int(side.det_id), side.yaw, side.pitch, side.conf]
+                out.append(row)
         df = pd.DataFrame(out, columns=["clip_id", "window_id", *[c.split()[0] for c in TRACE.split(", ")]])
         return df.astype({"f_det": "Int64", "b_det": "Int64", "f_conf": float, "b_conf": float})
 
@@ -105,12 +110,14 @@ def repair_windows(windows: DataFrame, cand: DataFrame, cfg: RepairConfig = Repa
     """repairs (per frame), queue (per window), review (per queued frame), rejects.
 
     Only bridgeable windows of at most 29 frames with two anchors are traced; a group holds
-    one such window, so its size is bounded. Everything else is native.
+    those of 1024 frames of a clip, so its size is bounded. Everything else is native.
     """
     rejects = windows.filter((F.col("end_frame") < F.col("start_frame")) | (F.col("duration_frames") != F.col("end_frame") - F.col("start_frame") + 1))
     ok = windows.filter(F.col("duration_frames") == F.col("end_frame") - F.col("start_frame") + 1)
     c = anchor_gate(cand, cfg, conf).withColumn("conf", geo.clamp(F.coalesce(F.col(conf), geo.lit(0.0)))).select(
         "clip_id", "frame", "det_id", "yaw", "pitch", "conf", "anchor_ok", "trace_ok")
+    # anchors, traces and long-window samples all read the gated candidates
+    c = cut(c)
     k = ["clip_id", "window_id"]
     short = ok.filter((F.col("status") == "bridgeable") & (F.col("duration_frames") <= cfg.max_resolvable_window_frames))
     left = _anchor(c, short, "left", "last_trusted_frame", "last_trusted_yaw", "last_trusted_pitch", cfg)
@@ -129,9 +136,11 @@ def repair_windows(windows: DataFrame, cand: DataFrame, cfg: RepairConfig = Repa
         *k, "start_frame", "end_frame", *[F.col(f"{s}.{f}").alias(f"{s[0]}_{f}") for s in ("left", "right") for f in ("frame", "yaw", "pitch")])
     inside = point_in_interval(c.filter("trace_ok"), traceable.select(*k, F.col("start_frame").alias("_s"), F.col("end_frame").alias("_e")),
                                ["clip_id"], "frame", "_s", "_e").select(*k, "frame", "det_id", "yaw", "pitch", "conf")
-    rows = traceable.join(inside, k, "left")
+    stretch = F.floor(F.col("start_frame") / 1024).alias("stretch")
+    rows = traceable.select("*", stretch).join(inside, k, "left").repartition(
+        int(cand.sparkSession.conf.get("spark.sql.shuffle.partitions")), "clip_id", "stretch")
     key_types = f"clip_id {windows.schema['clip_id'].dataType.simpleString()}, window_id string"
-    t = cut(rows.groupBy(*k).applyInPandas(_trace_window(cfg), f"{key_types}, {TRACE}"))
+    t = cut(rows.groupBy("clip_id", "stretch").applyInPandas(_trace_windows(cfg), f"{key_types}, {TRACE}"))
 
     both = F.col("f_det").isNotNull() & F.col("b_det").isNotNull()
     t = t.withColumn("agreement_deg", geo.angular_distance("f_yaw", "f_pitch", "b_yaw", "b_pitch"))
@@ -214,7 +223,8 @@ def propagate_backward(anchors: DataFrame, cand: DataFrame, cfg: BackwardConfig
     near = point_in_interval(
         cand.select("clip_id", F.col("frame").alias("cf"), "det_id", F.col("yaw").alias("cy"), F.col("pitch").alias("cp"), F.col(conf).alias("conf")),
         w.select("clip_id", "anchor_id", "lo", "hi"), ["clip_id"], "cf", "lo", "hi").drop("lo", "hi")
-    rows = w.join(near, ["clip_id", "anchor_id"], "left")
+    rows = w.join(near, ["clip_id", "anchor_id"], "left").repartition(
+        int(cand.sparkSession.conf.get("spark.sql.shuffle.partitions")), "clip_id", "anchor_id")
     schema = f"clip_id {anchors.schema['clip_id'].dataType.simpleString()}, anchor_id {anchors.schema['anchor_id'].dataType.simpleString()}, frame int, det_id long, yaw double, pitch double, score double"
     return rows.groupBy("clip_id", "anchor_id").applyInPandas(_backward(cfg), schema)
 

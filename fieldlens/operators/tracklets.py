@@ -35,7 +35,7 @@ def _norm(a: Column) -> Column:
 
 
 def _gc(a: Column, b: Column) -> Column:
-    return F.degrees(F.acos(geo.clamp(_dot(a, b), -1.0, 1.0)))
+    return geo.unit_angle([a[c] for c in "xyz"], [b[c] for c in "xyz"])
 
 
 def tracklet_steps(obs: DataFrame, size: int = 65536) -> DataFrame:
@@ -122,7 +122,7 @@ def tracklet_metrics(obs: DataFrame, predict: str = "reference") -> DataFrame:
         obs.select(*KEY, geo.unit_vec("yaw", "pitch").alias("v"))
         .join(centre, KEY)
         .groupBy(*KEY)
-        .agg(F.avg(geo.dot_deg("v.x", "v.y", "v.z", "mx", "my", "mz")).alias("sp"))
+        .agg(F.avg(geo.unit_angle(["v.x", "v.y", "v.z"], ["mx", "my", "mz"])).alias("sp"))
     )
     span = F.col("end_frame") - F.col("start_frame") + 1
     run = F.col("end_frame") - F.col("start_frame")

@@ -182,7 +182,15 @@ def rates_of_change(spark, sf):
     return rounded(s, "right_share", "switch_of_play", "mean_yaw_rate")
 
 
-@query("matched_velocity", "TRK-4")
+# greedy pick in SQL: walk a sample's pairs by distance, keep a pair when both ends are free
+MP = f"""SELECT *, row_number() OVER (PARTITION BY clip_id, sample ORDER BY kd, det_id, pid) AS rn FROM (SELECT a.clip_id, a.sample, a.det_id, b.det_id AS pid, {Q.gc('a.yaw', 'a.pitch', 'b.yaw', 'b.pitch')} AS d,
+   floor({Q.gc('a.yaw', 'a.pitch', 'b.yaw', 'b.pitch')}*1e4+0.500001e0)/1e4 AS kd FROM v_players a JOIN v_players b ON a.clip_id=b.clip_id AND b.sample=a.sample-1) WHERE d <= 15e0 + {Q.TOL}"""
+MG = """SELECT clip_id, sample, rn, [det_id] AS c, [pid] AS p, det_id, d, true AS won FROM mp WHERE rn=1 UNION ALL
+  SELECT m.clip_id, m.sample, m.rn, CASE WHEN ok THEN list_append(c, m.det_id) ELSE c END, CASE WHEN ok THEN list_append(p, m.pid) ELSE p END, m.det_id, m.d, ok FROM
+   (SELECT m.*, g.c, g.p, NOT list_contains(g.c, m.det_id) AND NOT list_contains(g.p, m.pid) AS ok FROM mg g JOIN mp m ON m.clip_id=g.clip_id AND m.sample=g.sample AND m.rn=g.rn+1) m"""
+
+
+@query("matched_velocity", "TRK-4", Q.sql(["v_players"], f"SELECT v.clip_id, v.sample, v.det_id, {Q.r4('coalesce(g.d/0.5e0, 0e0)')} AS match_vel FROM v_players v LEFT JOIN (SELECT * FROM mg WHERE won) g ON g.det_id=v.det_id", mp=MP, mg=MG))
 def matched_velocity(spark, sf):
     v = CR.nearest_match_velocity(V.players(spark, sf), 0.5)
     return v.select("clip_id", "sample", "det_id", r4("match_vel").alias("match_vel"))
@@ -262,7 +270,13 @@ def rate_limited_pan(spark, sf):
     return s.select("clip_id", "sample", r4("pan").alias("pan"))
 
 
-@query("reacquired_smoothing", "SEQ-1")
+RQ = """SELECT clip_id, sample, rn, cy AS ema, cy AS ref, score>=0.4e0 AS conf_on FROM cs WHERE rn=1 UNION ALL
+  SELECT clip_id, sample, rn, CASE WHEN jump THEN cy ELSE a*u+(1e0-a)*ema END, CASE WHEN jump THEN cy ELSE u END, conf_on FROM
+   (SELECT c.clip_id, c.sample, c.rn, c.cy, e.ema, c.score>=0.4e0 AS conf_on, c.score>=0.4e0 AND NOT e.conf_on AS jump, CASE WHEN c.score>=0.4e0 THEN 0.18e0 ELSE 0.08e0 END AS a,
+      CASE WHEN c.cy-e.ref>180e0 THEN c.cy-360e0 WHEN c.cy-e.ref<-180e0 THEN c.cy+360e0 ELSE c.cy END AS u FROM rq e JOIN cs c ON c.clip_id=e.clip_id AND c.rn=e.rn+1)"""
+
+
+@query("reacquired_smoothing", "SEQ-1", Q.sql(["v_players"], f"SELECT clip_id, sample, {Q.r4('ema')} AS ema FROM rq", cs=CS, rq=RQ))
 def reacquired_smoothing(spark, sf):
     s = crowd_series(spark, sf).withColumn("best", F.when(F.col("score") >= 0.4, F.col("score")))
     s = S.seq_scan(s, ["clip_id"], "sample", ["centroid_yaw", "best"], S.reacquire_ema_step("centroid_yaw", "best"), "ema")
@@ -283,14 +297,34 @@ def mode_timeline(spark, sf):
     return S.mode_timeline(crowd_series(spark, sf), ["clip_id"], "sample", "ts", "score", CAM).select("clip_id", "sample", "mode")
 
 
-@query("camera_timeline", "SEQ-2 SEQ-1")
+MD = """SELECT clip_id, sample, rn, ts, cy, 0e0 AS st, 0e0 AS wk, 'wide' AS mode FROM cs WHERE rn=1 UNION ALL
+  SELECT clip_id, sample, rn, ts, cy, st, wk, CASE WHEN mode='wide' AND st>=1e0-1e-9 THEN 'follow' WHEN mode='follow' AND wk>=1e0-1e-9 THEN 'wide' ELSE mode END FROM
+   (SELECT c.clip_id, c.sample, c.rn, c.ts, c.cy, CASE WHEN c.score>=0.47e0 THEN m.st+c.ts-m.ts ELSE 0e0 END AS st, CASE WHEN c.score<=0.43e0 THEN m.wk+c.ts-m.ts ELSE 0e0 END AS wk, m.mode FROM md m JOIN cs c ON c.clip_id=m.clip_id AND c.rn=m.rn+1)"""
+MY = "SELECT *, CASE WHEN sample%9<>0 THEN cy END AS k FROM md"
+PU = """SELECT clip_id, rn, sample, ts, mode, CASE WHEN mode='follow' AND k IS NOT NULL THEN k ELSE 0e0 END AS p, mode='follow' AND k IS NOT NULL AS fol FROM my WHERE rn=1 UNION ALL
+  SELECT m.clip_id, m.rn, m.sample, m.ts, m.mode, CASE WHEN m.mode='follow' AND m.k IS NOT NULL THEN m.k ELSE u.p+greatest(-10e0*(m.ts-u.ts),least(10e0*(m.ts-u.ts),greatest(-45e0,least(45e0,coalesce(m.k,0e0)))-u.p)) END, m.mode='follow' AND m.k IS NOT NULL
+  FROM pu u JOIN my m ON m.clip_id=u.clip_id AND m.rn=u.rn+1"""
+
+
+@query("camera_timeline", "SEQ-2 SEQ-1", Q.sql(["v_players"], f"SELECT clip_id, sample, mode, {Q.r4('p')} AS target_yaw, CASE WHEN fol THEN 85e0 ELSE 100e0 END AS target_fov FROM pu", cs=CS, md=MD, my=MY, pu=PU))
 def camera_timeline(spark, sf):
     m = S.mode_timeline(crowd_series(spark, sf), ["clip_id"], "sample", "ts", "score", CAM).withColumn("cluster_yaw", F.when(F.expr("sample % 9 <> 0"), F.col("centroid_yaw")))
     t = S.wide_pursuit(m, ["clip_id"], "sample", "ts", CAM)
     return t.select("clip_id", "sample", "mode", r4("target_yaw").alias("target_yaw"), "target_fov")
 
 
-@query("render_modes", "SEQ-2")
+# shown mode, next mode, held frames, zoom steps (quarters out, thirds in), reacquire streak
+RM = """SELECT clip_id, rn, sample, 'FOLLOW' AS shown, CASE WHEN NOT cn AND 1>=3 THEN 'ZOOMING_OUT' ELSE 'FOLLOW' END AS mode, CASE WHEN cn THEN 0 ELSE 1 END AS held, 0e0 AS z, 0 AS sk FROM cf WHERE rn=1 UNION ALL
+  SELECT clip_id, rn, sample, CASE WHEN mode='ZOOMING_IN' AND cn AND greatest(0e0,z-1e0/3e0)<=0e0 THEN 'FOLLOW' WHEN mode='ZOOMING_IN' AND NOT cn THEN 'ZOOMING_OUT' ELSE mode END,
+    CASE mode WHEN 'FOLLOW' THEN CASE WHEN NOT cn AND held+1>=3 THEN 'ZOOMING_OUT' ELSE 'FOLLOW' END WHEN 'ZOOMING_OUT' THEN CASE WHEN least(1e0,z+0.25e0)>=1e0 THEN 'WIDE_HOLD' ELSE 'ZOOMING_OUT' END
+      WHEN 'WIDE_HOLD' THEN CASE WHEN cn AND sk+1>=2 THEN 'ZOOMING_IN' ELSE 'WIDE_HOLD' END ELSE CASE WHEN NOT cn THEN 'ZOOMING_OUT' WHEN greatest(0e0,z-1e0/3e0)<=0e0 THEN 'FOLLOW' ELSE 'ZOOMING_IN' END END,
+    CASE WHEN mode='FOLLOW' THEN CASE WHEN cn THEN 0 ELSE held+1 END WHEN mode='ZOOMING_IN' AND cn AND greatest(0e0,z-1e0/3e0)<=0e0 THEN 0 ELSE held END,
+    CASE WHEN mode='FOLLOW' THEN CASE WHEN cn OR held+1>=3 THEN 0e0 ELSE z END WHEN mode='ZOOMING_OUT' THEN least(1e0,z+0.25e0) WHEN mode='ZOOMING_IN' AND cn THEN greatest(0e0,z-1e0/3e0) ELSE z END,
+    CASE WHEN mode='FOLLOW' THEN CASE WHEN cn OR held+1>=3 THEN 0 ELSE sk END WHEN mode='ZOOMING_IN' THEN CASE WHEN NOT cn OR greatest(0e0,z-1e0/3e0)<=0e0 THEN 0 ELSE sk+1 END ELSE CASE WHEN cn THEN sk+1 ELSE 0 END END
+  FROM (SELECT r.clip_id, c.rn, c.sample, c.cn, r.mode, r.held, r.z, r.sk FROM rm r JOIN cf c ON c.clip_id=r.clip_id AND c.rn=r.rn+1)"""
+
+
+@query("render_modes", "SEQ-2", Q.sql(["v_players"], "SELECT clip_id, sample, shown AS render_mode FROM rm", cs=CS, cf="SELECT *, score>=0.42e0 AS cn FROM cs", rm=RM))
 def render_modes(spark, sf):
     s = crowd_series(spark, sf).withColumn("confirmed", F.col("score") >= 0.42)
     s = S.seq_scan(s, ["clip_id"], "sample", ["confirmed"], S.render_mode_step("confirmed", 3, 4, 2, 3), "render_mode", out_type="string")

@@ -460,7 +460,14 @@ def redetection_consistency(spark, sf):
     return out.withColumn("tol", r4("tol"))
 
 
-@query("frame_nms", "DED-1")
+# greedy suppression in SQL: walk a frame's rows by confidence, carrying the kept positions
+ND = "SELECT *, row_number() OVER (PARTITION BY clip_id, frame ORDER BY raw_conf DESC, det_id) AS rn FROM v_detections"
+NK = f"""SELECT clip_id, frame, rn, det_id, raw_conf, [{{'y': yaw, 'p': pitch}}] AS kept, true AS ok FROM nd WHERE rn=1 UNION ALL
+  SELECT clip_id, frame, rn, det_id, raw_conf, CASE WHEN ok THEN list_append(kept, {{'y': yaw, 'p': pitch}}) ELSE kept END, ok FROM
+   (SELECT d.*, k.kept, len(list_filter(k.kept, lambda e: {Q.gc('e.y', 'e.p', 'd.yaw', 'd.pitch')} <= 15e0 + {Q.TOL}))=0 AS ok FROM nk k JOIN nd d ON d.clip_id=k.clip_id AND d.frame=k.frame AND d.rn=k.rn+1)"""
+
+
+@query("frame_nms", "DED-1", Q.sql(["v_detections"], f"SELECT clip_id, frame, det_id, {Q.r4('raw_conf')} AS raw_conf FROM nk WHERE ok", nd=ND, nk=NK))
 def frame_nms(spark, sf):
     kept = spatial.greedy_nms(V.detections(spark, sf).select("clip_id", "frame", "det_id", "yaw", "pitch", "raw_conf"),
                               ["clip_id", "frame"], "raw_conf", "det_id", 15.0)

@@ -515,7 +515,26 @@ def even_picks(spark, sf):
     return WN.spaced_picks(V.track_obs(spark, sf).select("clip_id", "tracklet_id", "frame"), ["clip_id", "tracklet_id"], ["frame"], frame_block(), 12).select("clip_id", "tracklet_id", "frame")
 
 
-@query("warmup_paths", "TRK-7")
+WD = "SELECT clip_id, frame//5 AS batch, frame%5 AS pos, det_id, yaw, pitch, raw_conf AS conf FROM v_detections WHERE obj_id%15 IN (0,3,6)"
+# chains only grow along better scores: best chain per end point, layer by layer
+WCH = """SELECT clip_id, batch, pos, det_id, yaw, pitch, conf, conf AS score, [det_id] AS path, pitch>18e0 AS bad FROM wd WHERE pos=%d"""
+
+
+def _layer(n):
+    prev = f"w{n - 1}"
+    return f"""SELECT * FROM (SELECT w.clip_id, w.batch, w.pos, w.det_id, w.yaw, w.pitch, w.conf, p.score+(p.conf+w.conf)/2e0-{Q.gc('p.yaw', 'p.pitch', 'w.yaw', 'w.pitch')}/60e0 AS score, list_append(p.path, w.det_id) AS path, p.bad OR w.pitch>18e0 AS bad
+  FROM {prev} p JOIN wd w ON w.clip_id=p.clip_id AND w.batch=p.batch AND w.pos={n} WHERE {Q.gc('p.yaw', 'p.pitch', 'w.yaw', 'w.pitch')} <= 30e0 + {Q.TOL} UNION ALL {WCH % n})
+  QUALIFY row_number() OVER (PARTITION BY clip_id, batch, det_id ORDER BY score DESC, len(path) DESC)=1"""
+
+
+WALL = " UNION ALL ".join(f"SELECT * FROM w{n}" for n in range(5))
+
+
+@query(
+    "warmup_paths", "TRK-7",
+    Q.sql(["v_detections"], f"""SELECT clip_id, batch, {Q.r4('score')} AS score, CAST(len(path) AS INTEGER) AS length, array_to_string(path, '>') AS path FROM wa WHERE len(path)>=3 AND NOT bad QUALIFY row_number() OVER (PARTITION BY clip_id, batch ORDER BY score DESC, det_id)=1""",
+          wd=WD, w0=WCH % 0, **{f"w{n}": _layer(n) for n in range(1, 5)}, wa=WALL),
+)
 def warmup_paths(spark, sf):
     from fieldlens.operators.crowd import warmup_chain
 

@@ -212,7 +212,7 @@ class OnlineTracker(StatefulProcessor):
         cols = ["frame", "yaw", "pitch", "best_score", "tracker_state", "loss_state"]
         df = pd.DataFrame(recs, columns=cols)
         df.insert(0, "clip_id", key[0])
-        return df.astype({"frame": "int32", "yaw": float, "pitch": float, "best_score": float, "clip_id": object})
+        return df.astype({"frame": "int32", "yaw": float, "pitch": float, "best_score": "Float64", "clip_id": object})
 
     def close(self) -> None:
         pass
@@ -232,6 +232,6 @@ def track_batch(det: DataFrame, block_frames: int = 65536) -> DataFrame:
         state = json.loads(text) if text is not None else TK.fresh_state()
         by = {int(f): [{**r, "det_id": int(r["det_id"])} for r in g[["det_id", "yaw", "pitch", "conf", "area", "px"]].to_dict("records")] for f, g in pdf.groupby("frame")}
         out = pd.DataFrame(_advance(state, by, int(pdf["frame"].max())), columns=["frame", "yaw", "pitch", "best_score", "tracker_state", "loss_state"])
-        return out.astype({"frame": "int32", "yaw": float, "pitch": float, "best_score": float}), json.dumps(state)
+        return out.astype({"frame": "int32", "yaw": float, "pitch": float, "best_score": "Float64"}), json.dumps(state)
 
     return run_blocks(rows, ["clip_id"], "_block", ["frame", "det_id"], run, TRACK_OUT).drop("_block")
