@@ -6,12 +6,11 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fieldlens.config import LedgerConfig
 from fieldlens.functions import geo, text
-from fieldlens.operators.scan import Carry, carry_scan
+from fieldlens.operators.scan import Carry, carry_scan, row_index
 
 # Ids of rows that did not come from the camera cloud.
 SYNTHETIC_PREFIXES = ("direct:", "filename:")
@@ -129,8 +128,9 @@ def next_camera_letters(new: DataFrame, used: DataFrame) -> DataFrame:
     free = (
         want.join(have, "day", "left").select("day", F.explode(F.sequence(F.lit(1).cast("long"), F.col("k") + F.coalesce("t", F.lit(0)))).alias("i"))
         .withColumn("label", _letter(F.col("i"))).join(taken, ["day", "label"], "left_anti"))
-    free = free.withColumn("slot", F.row_number().over(W.partitionBy("day").orderBy("i")))
-    rank = new.withColumn("slot", F.row_number().over(W.partitionBy("day").orderBy("media_id")))
+    # a busy day may hold a large share of all rows: number in blocks, not in one window
+    free = row_index(free, ["day"], ["i"], F.floor(F.col("i") / 65536), "slot")
+    rank = row_index(new, ["day"], ["media_id"], F.floor(F.col("media_id") / 65536), "slot")
     return rank.join(free, ["day", "slot"]).select("day", "media_id", "label")
 
 
@@ -143,8 +143,6 @@ def reconcile_tracker(clips: DataFrame, tracker: DataFrame) -> DataFrame:
 
     clips: tab, row_no, name, link. tracker: num, link. The first row per link counts.
     """
-    from fieldlens.operators.scan import row_index
-
     have = tracker.select(text.extract_url("link").alias("link")).filter("link <> ''").distinct()
     c = clips.withColumn("link", text.extract_url("link")).filter("link <> ''").join(have, "link", "left_anti")
     c = c.groupBy("link").agg(F.min(F.struct("tab", "row_no", "name")).alias("r")).select("link", "r.*")

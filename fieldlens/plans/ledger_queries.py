@@ -388,3 +388,32 @@ def frame_documents(spark, sf):
     doc = doc.select("clip_id", "frame", F.to_json("candidates").alias("doc"))
     back = doc.select("clip_id", "frame", F.explode_outer(F.from_json("doc", "array<struct<det_id:long,yaw:double,pitch:double,raw_conf:double>>")).alias("c"))
     return back.groupBy("clip_id", "frame").agg(F.count("c.det_id").alias("n"), r4(F.max("c.raw_conf")).alias("top"))
+
+
+@query(
+    "sample_series_roundtrip", "SRC-3 SNK-2",
+    Q.sql(["v_players"], f"SELECT clip_id, track_id, count(*) AS n, {Q.r4('sum(' + Q.r4('yaw', 2) + ')', 2)} AS yaw_sum, {Q.r4('sum(' + Q.r4('vel', 1) + ')', 2)} AS vel_sum FROM v_players GROUP BY ALL"),
+)
+def sample_series_roundtrip(spark, sf):
+    """Write player samples as rounded JSON lines (one folder per clip), read them back as records."""
+    import uuid
+
+    from fieldlens.session import shared_dir
+
+    p = V.players(spark, sf)
+    rec = WR.rounded(p, {"yaw": 2, "pitch": 2, "vel": 1}).groupBy("clip_id", "sample", "ts").agg(
+        F.collect_list(F.struct("yaw", "pitch", "conf", F.lit(None).cast("double").alias("foot_yaw"), F.lit(None).cast("double").alias("foot_pitch"), "box_h", F.col("vel").alias("vel_deg_per_sec"), "track_id")).alias("players"))
+    path = f"{shared_dir(spark)}/samples-{uuid.uuid4().hex}"
+    rec.select("clip_id", F.col("ts").alias("timestamp"), F.col("sample").alias("frame"), "players").write.partitionBy("clip_id").json(path)
+    _, back = RD.read_samples(spark, path)
+    return back.groupBy("clip_id", "track_id").agg(F.count(F.lit(1)).alias("n"), r4(F.sum("yaw"), 2).alias("yaw_sum"), r4(F.sum("vel"), 2).alias("vel_sum"))
+
+
+@query(
+    "ledger_tables", "SRC-5",
+    Q.sql(["v_uploads", "v_attempts"], "SELECT u.media_id, u.filename, coalesce(f.fail_count, 0) AS fail_count FROM v_uploads u LEFT JOIN fails f ON f.media_id=u.media_id", fails=FAIL),
+)
+def ledger_tables(spark, sf):
+    """Uploads with their open failures: the two ledger tables side by side."""
+    f = LG.failure_state(V.attempts(spark, sf)).select("media_id", "fail_count")
+    return V.uploads(spark, sf).select("media_id", "filename").join(f, "media_id", "left").na.fill(0, ["fail_count"])

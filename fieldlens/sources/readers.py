@@ -74,7 +74,9 @@ SAMPLE = (
 
 def read_samples(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """JSONL sample records -> (one row per sample, one row per player)."""
-    s = spark.read.schema(SAMPLE).json(path).withColumn("clip_id", clip_of(F.input_file_name()))
+    s = spark.read.schema(SAMPLE).json(path)
+    # a folder written by clip carries clip_id; loose files are named after their clip
+    s = s if "clip_id" in s.columns else s.withColumn("clip_id", clip_of(F.input_file_name()))
     p = s.select("clip_id", F.col("timestamp").alias("ts"), "frame", F.explode("players").alias("p")).select(
         "clip_id", "ts", "frame", "p.*").withColumn("vel", F.coalesce("vel_deg_per_sec", F.lit(0.0))).drop("vel_deg_per_sec")
     return s.drop("players"), p

@@ -191,13 +191,13 @@ class OnlineTracker(StatefulProcessor):
                 old = json.loads(self.pending.getValue(k)[0]) if self.pending.containsKey(k) else []
                 recs = [{**r, "det_id": int(r["det_id"])} for r in g[["det_id", "yaw", "pitch", "conf", "area", "px"]].to_dict("records")]
                 self.pending.updateValue(k, (json.dumps(old + recs),))
-                self.handle.registerTimer(int((int(f) + 1) * self.frame_ms))
+                self.handle.registerTimer((int(f) + 2) * self.frame_ms)
         self.late.update((late,))
         self.track.update((json.dumps(state),))
         yield self._frame(key, [])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        upto = int(expiredTimerInfo.getExpiryTimeInMs() // self.frame_ms) - 1
+        upto = int(expiredTimerInfo.getExpiryTimeInMs() // self.frame_ms) - 2
         state = json.loads(self.track.get()[0])
         due = {}
         for k, v in list(self.pending.iterator()):
@@ -219,8 +219,9 @@ class OnlineTracker(StatefulProcessor):
 
 
 def track_stream(det: DataFrame, delay: str = "0 seconds") -> DataFrame:
-    """det: clip_id, frame, det_id, yaw, pitch, conf, area, px. One second of event time per frame."""
-    d = det.withColumn("at", F.timestamp_seconds(F.col("frame"))).withWatermark("at", delay)
+    """det: clip_id, frame, det_id, yaw, pitch, conf, area, px. One second of event time per
+    frame, starting at second one: a row at the initial watermark (zero) would count as late."""
+    d = det.withColumn("at", F.timestamp_seconds(F.col("frame") + 1)).withWatermark("at", delay)
     return d.groupBy("clip_id").transformWithStateInPandas(OnlineTracker(), f"clip_id string, {TRACK_OUT}", "Append", "eventTime")
 
 
