@@ -302,12 +302,12 @@ def run_acceptance(spark, sf):
     Q.sql(["v_track_obs"], """SELECT clip_id, tracklet_id, min({'s': section, 'r': rk}).s AS section, min({'s': section, 'r': rk}).r AS rank FROM (
   SELECT clip_id, tracklet_id, 'A' AS section, row_number() OVER (PARTITION BY clip_id ORDER BY n DESC, tracklet_id) AS rk FROM ost WHERE status='anchor'
   UNION ALL SELECT clip_id, tracklet_id, 'B', row_number() OVER (PARTITION BY clip_id ORDER BY n DESC, tracklet_id) FROM ost WHERE status='passing'
-  UNION ALL SELECT clip_id, tracklet_id, 'C', row_number() OVER (PARTITION BY clip_id ORDER BY floor(net*1e6+0.500001e0)/1e6, tracklet_id) FROM ost) WHERE rk<=20 GROUP BY ALL""", **{k: RC[k] for k in ("pc", "pt", "ost")}),
+  UNION ALL SELECT clip_id, tracklet_id, 'C', row_number() OVER (PARTITION BY clip_id ORDER BY floor(net*1e3+0.500001e0)/1e3, tracklet_id) FROM ost) WHERE rk<=20 GROUP BY ALL""", **{k: RC[k] for k in ("pc", "pt", "ost")}),
 )
 def review_sections(spark, sf):
     o, _, _, _ = two_runs(spark, sf)
     o = o.withColumn("anchor_strength", F.col("observation_count").cast("double")).withColumn("best_available_score", F.col("observation_count").cast("double"))
-    s = RV.review_sections(o.withColumn("net_displacement_deg", r4("net_displacement_deg", 6)))
+    s = RV.review_sections(o.withColumn("net_displacement_deg", r4("net_displacement_deg", 3)))
     return s.withColumn("rank", F.col("rank").cast("long"))
 
 
