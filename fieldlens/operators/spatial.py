@@ -30,10 +30,12 @@ def with_cell(df: DataFrame, edge: float, yaw: str = "yaw", pitch: str = "pitch"
     return df
 
 
-def shift_cells(df: DataFrame, reach: int) -> DataFrame:
-    """One row per cell within ``reach`` cells (a fixed number of copies)."""
+def shift_cells(df: DataFrame, reach: int, half: bool = False) -> DataFrame:
+    """One row per cell within ``reach`` cells (a fixed number of copies). ``half`` takes one of
+    each two opposite neighbours, so that an unordered pair of cells is met once."""
     offsets = F.array(*[
-        F.struct(*[F.lit(v).alias(a) for v, a in zip(o, "abc")]) for o in product(range(-reach, reach + 1), repeat=3)
+        F.struct(*[F.lit(v).alias(a) for v, a in zip(o, "abc")])
+        for o in product(range(-reach, reach + 1), repeat=3) if not half or o > (0, 0, 0)
     ])
     o = df.withColumn("_o", F.explode(offsets))
     for c, a in zip(CELL, "abc"):
@@ -112,8 +114,8 @@ def spatial_components(df: DataFrame, keys: list[str], id_col: str, radius: floa
     pts = with_cell(df.select(*keys, F.col(id_col).alias("id"), "yaw", "pitch"), edge)
     spots = pts.groupBy(*keys, *CELL, "yaw", "pitch").agg(F.min("id").alias("spot"))
     cells = spots.groupBy(*keys, *CELL).agg(F.min("spot").alias("cell_id"))
-    near = shift_cells(cells.select(*keys, *CELL, F.col("cell_id").alias("c1")), 2)
-    pairs = near.join(cells, [*keys, *CELL]).filter("c1 < cell_id").select(*keys, "c1", F.col("cell_id").alias("c2"))
+    near = shift_cells(cells.select(*keys, *CELL, F.col("cell_id").alias("c1")), 2, half=True)
+    pairs = near.join(cells, [*keys, *CELL]).select(*keys, "c1", F.col("cell_id").alias("c2"))
     members = spots.join(cells, [*keys, *CELL]).select(*keys, "cell_id", "yaw", "pitch")
     left = members.select(*keys, F.col("cell_id").alias("c1"), F.col("yaw").alias("y1"), F.col("pitch").alias("p1"))
     right = members.select(*keys, F.col("cell_id").alias("c2"), F.col("yaw").alias("y2"), F.col("pitch").alias("p2"))
