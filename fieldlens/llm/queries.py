@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from fieldlens.llm.mixing import op8_sainte_lague_mix
+from fieldlens.llm.quality import op9_risk_controlled_rules
 from fieldlens.llm.sharding import op5_external_shuffle
 from fieldlens.llm.simhash import op6_simhash_components
 
-QUERIES = {f.__name__: f for f in (op5_external_shuffle, op6_simhash_components)}
+QUERIES = {f.__name__: f for f in (op5_external_shuffle, op6_simhash_components, op8_sainte_lague_mix, op9_risk_controlled_rules)}
 
 ORACLES: dict[str, str] = {}
