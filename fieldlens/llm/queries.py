@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from fieldlens.llm.mixing import op8_sainte_lague_mix
+from fieldlens.llm.packing import op3_residual_packing
 from fieldlens.llm.quality import op9_risk_controlled_rules
 from fieldlens.llm.sharding import op5_external_shuffle
 from fieldlens.llm.simhash import op6_simhash_components
+from fieldlens.llm.toxicity import op1_toxicity
 
-QUERIES = {f.__name__: f for f in (op5_external_shuffle, op6_simhash_components, op8_sainte_lague_mix, op9_risk_controlled_rules)}
+QUERIES = {f.__name__: f for f in (
+    op1_toxicity, op3_residual_packing, op5_external_shuffle, op6_simhash_components, op8_sainte_lague_mix, op9_risk_controlled_rules,
+)}
 
 ORACLES: dict[str, str] = {}

@@ -1,6 +1,6 @@
 """Toxicity by a weighted lexicon matched with Aho-Corasick on folded text.
 
-Folding undoes disguise: compatibility forms, accents, invisible characters, look-alike letters
+Folding undoes disguise: compatibility forms, unusual marks, invisible characters, look-alike letters
 of other alphabets and digits that stand for letters all become plain letters; the lexicon is
 folded likewise. Terms are whole words or word beginnings; their weights are log odds learned
 from labelled documents. An exception phrase (a word, or two neighbouring words, that holds a
@@ -44,6 +44,7 @@ STANDS_FOR = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "
 _SIGNS = {ord(k): v for k, v in (LOOKS_LIKE | STANDS_FOR).items()}
 _PLAIN = bytes(ord(STANDS_FOR.get(c, c if c.isalnum() else " ")) for c in (chr(i).lower() for i in range(128))) + b" " * 128
 _BETWEEN = re.compile(r"[\W_]+")
+HIDDEN = ("Mn", "Me", "Cf")  # marks above or below a letter, and characters without width
 PREFIXES = (4, 5, 6, 7, 8)
 
 
@@ -51,9 +52,10 @@ def fold(text: str) -> str:
     """Plain lower-case words with single or repeated spaces between, a space at either end."""
     if text.isascii():
         return f" {text.encode().translate(_PLAIN).decode()} "
-    t = unicodedata.normalize("NFKD", text.casefold())
-    t = "".join(c for c in t if c.isascii() or unicodedata.category(c) not in ("Mn", "Me", "Cf"))
-    return f" {_BETWEEN.sub(' ', t.translate(_SIGNS))} "
+    t = unicodedata.normalize("NFKC", text.casefold()).translate(_SIGNS)
+    if max(t) > "\u00ff":  # Latin letters with accents are spelling; other marks are taken off
+        t = "".join(c for x in t for c in (x if x <= "\u00ff" else unicodedata.normalize("NFKD", x)) if c <= "\u00ff" or unicodedata.category(c) not in HIDDEN)
+    return f" {_BETWEEN.sub(' ', t)} "
 
 
 def terms_of(words: list[str]) -> Counter:
@@ -73,7 +75,7 @@ class Lexicon:
     weights: dict[str, float] = field(default_factory=dict)  # folded terms: " beginning" or " word "
     exceptions: frozenset[str] = frozenset()  # folded phrases " ... "
     cut: float = 1.0
-    pad: int = 10  # words added to every length, so that one hit in a line is not everything
+    pad: int = 20  # words added to every length, so that one hit in a line is not everything
 
     def automaton(self) -> ahocorasick.Automaton:
         a = ahocorasick.Automaton()
@@ -121,7 +123,7 @@ class Fit:
     max_labelled: int = 5000  # labelled documents of each label, the sample the lexicon is fitted on
     max_terms: int = 5000
     least_documents: int = 5
-    least_weight: float = 1.0
+    least_weight: float = 1.6
     least_exceptions: int = 20
 
 
