@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from fieldlens.llm.line_dedup import op2_line_dedup
 from fieldlens.llm.mixing import op8_sainte_lague_mix
+from fieldlens.llm.order_minhash import op4_order_minhash
 from fieldlens.llm.packing import op3_residual_packing
 from fieldlens.llm.quality import op9_risk_controlled_rules
 from fieldlens.llm.secrets import op7_markov_secrets
@@ -13,7 +14,7 @@ from fieldlens.llm.substring import op10_difference_cover
 from fieldlens.llm.toxicity import op1_toxicity
 
 QUERIES = {f.__name__: f for f in (
-    op1_toxicity, op2_line_dedup, op3_residual_packing, op5_external_shuffle, op6_simhash_components, op7_markov_secrets,
+    op1_toxicity, op2_line_dedup, op3_residual_packing, op4_order_minhash, op5_external_shuffle, op6_simhash_components, op7_markov_secrets,
     op8_sainte_lague_mix, op9_risk_controlled_rules,
     op10_difference_cover,
 )}
