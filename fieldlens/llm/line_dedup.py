@@ -24,6 +24,7 @@ from bisect import bisect_left
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fieldlens.llm.common import stored, table, text_of
 
@@ -98,7 +99,7 @@ def patience(later: list[tuple[int, int]], first: list[tuple[int, int]]) -> list
     return aligned
 
 
-@F.pandas_udf("array<int>")
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
 def aligned_lines(shared: pd.Series) -> pd.Series:
     """Of each document's shared lines (partner, line, its places, the partner's places): the aligned places."""
     out = []
@@ -141,7 +142,10 @@ def deleted_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return grouped.select("id", "mark", aligned_lines("shared").alias("aligned"))
 
 
-@F.pandas_udf("text string, n_lines int, n_removed int")
+REWRITTEN = T.StructType().add("text", T.StringType()).add("n_lines", T.IntegerType()).add("n_removed", T.IntegerType())
+
+
+@F.pandas_udf(REWRITTEN)
 def rewritten(text: pd.Series, aligned: pd.Series, least: pd.Series) -> pd.DataFrame:
     """The text without blocks of aligned lines (and the blank lines inside them) of at least so many words."""
     out = []

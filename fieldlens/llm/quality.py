@@ -125,7 +125,7 @@ def fit(measured: DataFrame, labels: DataFrame, risk: Risk = Risk(), id_col: str
     seen: dict[tuple[int, str], np.ndarray] = {}
     for r in counts.collect():
         grid = seen.setdefault((r["band"], r["rule"]), np.zeros((2, len(GRID)), np.int64))
-        grid[int(r["good"] > 0), : r["passed"]] += r["n"]  # grid[label][g]: documents above cutoff g
+        grid[int(r["good"] > 0), len(GRID) - r["passed"] :] += r["n"]  # grid[label][g]: documents above cutoff g
     totals = {(r["band"]): r["n"] for r in held.filter("good > 0").groupBy(stratum().alias("band")).agg(F.count(F.lit(1)).alias("n")).collect()}
     level = risk.alpha / ((len(BANDS) + 1) * len(rules()))
     out = Cutoffs()

@@ -21,7 +21,6 @@ no rows; input columns other than id and text are not read.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +28,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fieldlens.llm.common import stored, table, text_of, words
 
@@ -120,7 +120,10 @@ def removed_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return starts.groupBy("key").agg(F.array_sort(F.array_distinct(F.collect_list("place"))).alias("starts"))
 
 
-@F.pandas_udf("text string, n_words int, n_removed int")
+REST = T.StructType().add("text", T.StringType()).add("n_words", T.IntegerType()).add("n_removed", T.IntegerType())
+
+
+@F.pandas_udf(REST)
 def without_runs(text: pd.Series, starts: pd.Series) -> pd.DataFrame:
     """The words that no repeated window covers, joined by a space, and how many there were and went."""
     out = []
