@@ -134,7 +134,8 @@ def deleted_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     who = F.struct(F.col("id").isNull().alias("void"), "id", "mark")
     heads = held.groupBy("line").agg(F.min(who).alias("who"), F.min_by("places", who).alias("first_places"), F.count(F.lit(1)).alias("holders"))
     heads = heads.filter(F.col("holders").between(2, rare))
-    heads = heads.select("line", F.col("who.id").alias("first_id"), F.col("who.mark").alias("first_mark"), "first_places")
+    # written, so that the join below has plain shuffles on both sides and Spark can split a hot line
+    heads = stored(heads.select("line", F.col("who.id").alias("first_id"), F.col("who.mark").alias("first_mark"), "first_places"))
     same = F.col("id").eqNullSafe(F.col("first_id")) & (F.col("mark") == F.col("first_mark"))
     shared = held.join(heads, "line").filter(~same)
     parts = F.collect_list(F.struct("first_id", "first_mark", "line", "places", "first_places"))

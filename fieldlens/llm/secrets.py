@@ -33,6 +33,7 @@ CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 SPAN = "array<struct<start:int,kind:int,end:int>>"
 FIRST, CHARS = 32, 96  # the characters that have a row of their own; others share the last
 MAX_SAMPLES = 20_000
+BACK_OFF = 5.0
 
 
 def matches(text: Column, pattern: str, kind: int) -> Column:
@@ -92,19 +93,22 @@ def train(scanned: DataFrame, max_samples: int = MAX_SAMPLES) -> Models:
     values = scanned.select(F.explode("base.value").alias("s")).filter(F.length("s") >= 16).distinct()
     clean = scanned.filter(F.size("base") == 0).select("text", F.xxhash64(F.lit(29), "text").alias("h"))
     clean = clean.orderBy("h").limit(max_samples // 10)
-    plain = clean.select(F.explode(words(F.col("text"))).alias("s")).filter(F.length("s") >= 6).distinct()
+    plain = clean.select("h", F.posexplode(words(F.col("text"))).alias("at", "s")).filter(F.length("s") >= 6)
     random = values.orderBy(order, "s").limit(max_samples).select("s", F.lit(1).alias("y"))
-    plain = plain.orderBy(order, "s").limit(max_samples).select("s", F.lit(0).alias("y"))
+    plain = plain.orderBy(F.xxhash64("h", "at"), "h", "at").limit(max_samples).select("s", F.lit(0).alias("y"))
     sample = stored(random.unionByName(plain))
     counts = {(r["a"], r["b"], r["y"]): r["n"] for r in _pairs(sample).collect()}
     if {y for _, _, y in counts} != {0, 1}:
         return Models()
-    out = []
-    for a in range(CHARS):
-        totals = [sum(counts.get((a, b, y), 0) for b in range(CHARS)) for y in (0, 1)]
-        for b in range(CHARS):
-            p = [(counts.get((a, b, y), 0) + 0.5) / (totals[y] + 0.5 * CHARS) for y in (0, 1)]
-            out.append(round(math.log(p[1] / p[0]), 4))
+    # a pair's chance backs off to the chance of its second character
+    single = [[0.5] * CHARS for _ in (0, 1)]
+    follow = [[0] * CHARS for _ in (0, 1)]
+    for (a, b, y), n in counts.items():
+        single[y][b] += n
+        follow[y][a] += n
+    single = [[n / sum(row) for n in row] for row in single]
+    chance = lambda a, b, y: (counts.get((a, b, y), 0) + BACK_OFF * single[y][b]) / (follow[y][a] + BACK_OFF)
+    out = [round(math.log(chance(a, b, 1) / chance(a, b, 0)), 4) for a in range(CHARS) for b in range(CHARS)]
     models = Models(out)
     # the threshold lies between the samples: above all but one in a thousand ordinary strings
     ranks = sample.select("y", models.ratio(F.col("s")).alias("r")).groupBy("y").agg(F.percentile("r", F.array(F.lit(0.05), F.lit(0.999))).alias("q"))
