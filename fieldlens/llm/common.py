@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable
 
@@ -36,9 +37,13 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 def stored(df: DataFrame) -> DataFrame:
     """Write to the folder that all executors share and read back: a lost executor then costs
     no earlier work, and later readers see one fixed result."""
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    # Spark deletes the shuffle files of a finished plan once the driver has collected it as garbage
+    gc.collect()
+    spark._jvm.System.gc()
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def running_total(df: DataFrame, position: str, value: str, name: str, block: int = 4096) -> DataFrame:

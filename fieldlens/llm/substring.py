@@ -8,11 +8,11 @@ aligned anchor: 15 words that begin at cover places of both documents, inside bo
 
 1. Anchors are hashed and counted over the corpus; those met twice or more are hot.
 2. Each document gets the places of its hot anchors and extends them: only windows that hold a hot
-   anchor can be repeated, and their 35 words are hashed (128 bits) and counted.
+   anchor can be repeated, and their 35 words are hashed (96 bits) and counted.
 3. Windows counted twice or more are repeated; every word they cover goes.
 
 Counting is by hash, combined before the shuffle, so a passage or a group of copies of any size
-costs its own words and no pairs. The anchors only choose what is looked at: the 128-bit window
+costs its own words and no pairs. The anchors only choose what is looked at: the 96-bit window
 hash, over the word sequence itself, decides.
 Nulls and cases: a null text has no words; rows that agree in id and text are copies of each
 other and lose their windows like any copies; shorter texts lose nothing; an empty table gives
@@ -100,7 +100,7 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             starts = np.flatnonzero(np.cumsum(mark[:-1]) > 0)
             h = [run_hashes(w, starts, WINDOW, m) for m in MULTIPLIERS]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h[0]), pa.array(h[1]), pa.array(np.full(len(starts), key)), pa.array(starts.astype(np.int32))], names=["h1", "h2", "key", "place"])
+                [pa.array(h[0]), pa.array((h[1] >> 32).astype(np.int32)), pa.array(np.full(len(starts), key)), pa.array(starts.astype(np.int32))], names=["h1", "h2", "key", "place"])
 
 
 def removed_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -114,7 +114,7 @@ def removed_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     places = anchors.join(hot, "hash", "left_semi").groupBy("key").agg(F.array_distinct(F.collect_list("place")).alias("hot"))
     held = plain.join(stored(places), "key")
     chosen = held.select("key", word_hashes(F.col("text")).alias("w"), "hot")
-    windows = stored(chosen.mapInArrow(_windows, "h1 bigint, h2 bigint, key bigint, place int"))
+    windows = stored(chosen.mapInArrow(_windows, "h1 bigint, h2 int, key bigint, place int"))
     repeated = windows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h1", "h2")
     starts = windows.join(repeated, ["h1", "h2"], "left_semi")
     return starts.groupBy("key").agg(F.array_sort(F.array_distinct(F.collect_list("place"))).alias("starts"))
