@@ -93,7 +93,8 @@ def train(scanned: DataFrame, max_samples: int = MAX_SAMPLES) -> Models:
     values = scanned.select(F.explode("base.value").alias("s")).filter(F.length("s") >= 16).distinct()
     clean = scanned.filter(F.size("base") == 0).select("text", F.xxhash64(F.lit(29), "text").alias("h"))
     clean = clean.orderBy("h").limit(max_samples // 10)
-    plain = clean.select("h", F.posexplode(words(F.col("text"))).alias("at", "s")).filter(F.length("s") >= 6)
+    plain = clean.select("h", F.posexplode(words(F.col("text"))).alias("at", "s"))
+    plain = plain.filter(F.length("s").between(6, 19))  # shorter than a candidate, so no unknown secret teaches the model
     random = values.orderBy(order, "s").limit(max_samples).select("s", F.lit(1).alias("y"))
     plain = plain.orderBy(F.xxhash64("h", "at"), "h", "at").limit(max_samples).select("s", F.lit(0).alias("y"))
     sample = stored(random.unionByName(plain))

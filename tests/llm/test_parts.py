@@ -110,7 +110,7 @@ def test_markov_finds_random_strings(spark):
 
     r = random.Random(5)
     token = lambda n: "".join(r.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(n))
-    plain = "the of and thing other nation station ordinary words letter matter reader version_number_2_of_the_table".split()
+    plain = "the of and thing other nation station ordinary words letter matter reader user_name number_of table_2_of version_2".split()
     text = lambda: " ".join(r.choice(plain) for _ in range(40))
     rows = [(i, f"{text()} password={token(24)} {text()}") for i in range(60)] + [(100 + i, text()) for i in range(60)]
     hidden = token(32)
