@@ -29,12 +29,22 @@ class Carry:
     exclusive: bool = False
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` where a null key meets a null key; the key columns are those of ``left``."""
+    other = right.select(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)], *[c for c in right.columns if c not in keys])
+    on = [left[k].eqNullSafe(other[f"_key_{i}"]) for i, k in enumerate(keys)]
+    return left.join(other, on, how).drop(*[f"_key_{i}" for i in range(len(keys))])
+
+
 def frame_block(frame: str = "frame", size: int = BLOCK) -> Column:
     return F.floor(F.col(frame) / F.lit(size))
 
 
 def carry_scan(df: DataFrame, keys: list[str], order: list[str], block: Column, specs: dict[str, Carry]) -> DataFrame:
-    """Add one column per spec. ``block`` must not decrease along ``order``."""
+    """Add one column per spec. ``block`` must not decrease along ``order``.
+
+    Every row stays: null keys are a key of their own, and rows without an order value come first.
+    """
     work = df.withColumn("_blk", block)
     for n, s in specs.items():
         work = work.withColumn(f"_v_{n}", s.value)
@@ -59,7 +69,7 @@ def carry_scan(df: DataFrame, keys: list[str], order: list[str], block: Column,
             summary.append(F.sum(v).alias(f"_s_{n}"))
             carried.append(F.sum(f"_s_{n}").over(over_blocks.rowsBetween(W.unboundedPreceding, -1)).alias(f"_c_{n}"))
     blocks = work.groupBy(*keys, "_blk").agg(*summary).select(*keys, "_blk", *carried)
-    out = local.join(blocks, [*keys, "_blk"])
+    out = null_safe_join(local, blocks, [*keys, "_blk"])
     for n, s in specs.items():
         own, before = F.col(n), F.col(f"_c_{n}")
         if s.kind == "sum":
@@ -78,18 +88,14 @@ def row_index(df: DataFrame, keys: list[str], order: list[str], block: Column, n
 def halo_windows(
     df: DataFrame, keys: list[str], rn: str, before: int, after: int, columns, size: int = ROW_BLOCK
 ) -> DataFrame:
-    """Bounded ROWS frames over a dense row index: each block borrows the few rows it needs
-    from its neighbours. ``columns(window)`` returns {name: expression over that window}."""
+    """Bounded ROWS frames over a dense row index: each block borrows the rows it needs from the
+    blocks around it, as many as the frame reaches over. ``columns(window)`` returns {name:
+    expression over that window}. A row without an index has no neighbours and stands alone."""
     pos = F.col(rn) - 1
     own = F.floor(pos / size)
-    targets = F.filter(
-        F.array(
-            F.struct(own.alias("b"), F.lit(True).alias("own")),
-            F.when((pos >= (own + 1) * size - before) & (F.lit(before) > 0), F.struct((own + 1).alias("b"), F.lit(False).alias("own"))),
-            F.when((pos < own * size + after) & (F.lit(after) > 0), F.struct((own - 1).alias("b"), F.lit(False).alias("own"))),
-        ),
-        lambda x: x.isNotNull(),
-    )
+    first, last = F.floor((pos - after) / size), F.floor((pos + before) / size)  # blocks whose frames reach this row
+    reached = F.transform(F.sequence(first, last), lambda b: F.struct(b.alias("b"), (b == own).alias("own")))
+    targets = F.coalesce(reached, F.array(F.struct(own.alias("b"), F.lit(True).alias("own"))))
     wide = df.withColumn("_t", F.explode(targets)).withColumn("_rb", F.col("_t.b")).withColumn("_own", F.col("_t.own"))
     w = W.partitionBy(*keys, "_rb").orderBy(rn)
     cols = columns(w)
@@ -110,7 +116,7 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, qs: dict[str,
     ])))
     spread = spread.withColumn("_want", wanted)
     width = (F.col("_hi") - F.col("_lo")) / buckets
-    vb = v.join(spread, keys).withColumn(
+    vb = null_safe_join(v, spread, keys).withColumn(
         "_b", F.when(width > 0, F.least(F.floor((F.col(value) - F.col("_lo")) / width), F.lit(buckets - 1))).otherwise(F.lit(0))
     )
     per_bucket = vb.groupBy(*keys, "_b").agg(F.sum("_n").alias("_bn"), F.first("_want").alias("_want"))
@@ -121,7 +127,7 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, qs: dict[str,
     ).select(*keys, "_b", "_before")
     w = W.partitionBy(*keys, "_b").orderBy(value)
     ranked = (
-        vb.join(hit, [*keys, "_b"])
+        null_safe_join(vb, hit, [*keys, "_b"])
         .withColumn("_top", F.col("_before") + F.sum("_n").over(w.rowsBetween(W.unboundedPreceding, 0)))
         .withColumn("_from", F.col("_top") - F.col("_n"))
         .withColumn("_r", F.explode(F.filter("_want", lambda r: (r >= F.col("_from")) & (r < F.col("_top")))))

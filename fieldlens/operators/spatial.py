@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fieldlens.functions import geo
+from fieldlens.operators.scan import null_safe_join
 from fieldlens.session import cut
 
 CELL = ("cx", "cy", "cz")
@@ -196,15 +197,30 @@ def greedy_nms(
     from everything kept (``inclusive_keep`` also keeps exact ties).
 
     Small frames fold over their sorted array. Frames above ``fold_limit`` rows are solved
-    by rounds of cell maxima, so no group is ever gathered.
+    by rounds of cell maxima, so no group is ever gathered. Both ways follow one order: a null
+    score comes last, then the smaller ``tie``, a null tie last, then the row itself; rows equal
+    in all of that are interchangeable. Null keys are a frame of their own; a row without a
+    direction suppresses nothing and is kept.
     """
+    lost = F.col("yaw").isNull() | F.col("pitch").isNull()
+    placeless, df = df.filter(lost), df.filter(~lost)
+    return _nms(df, keys, score, tie, radius, inclusive_keep, fold_limit).unionByName(placeless)
+
+
+def _nms_order(df: DataFrame, keys: list[str], score: str, tie: str) -> Column:
+    """Grows from the best row to the worst."""
+    rest = F.struct(*[c for c in df.columns if c not in keys])
+    return F.struct(F.col(score).isNull().alias("a"), (-F.col(score)).alias("b"), F.col(tie).isNull().alias("c"), F.col(tie).alias("d"), F.xxhash64(rest).alias("e"))
+
+
+def _nms(df, keys, score, tie, radius, inclusive_keep, fold_limit):
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     big_keys = sizes.filter(F.col("_n") > fold_limit).select(*keys)
     has_big = not big_keys.isEmpty()
-    small = df.join(big_keys, keys, "left_anti") if has_big else df
+    small = null_safe_join(df, big_keys, keys, "left_anti") if has_big else df
 
     rest = [c for c in df.columns if c not in keys]
-    item = F.struct((-F.col(score)).alias("_ns"), F.col(tie).alias("_t"), F.struct(*rest).alias("row"))
+    item = F.struct(_nms_order(df, keys, score, tie).alias("rank"), F.struct(*rest).alias("row"))
     sorted_items = F.array_sort(F.collect_list(item))
 
     def far(kept, x):
@@ -224,25 +240,29 @@ def greedy_nms(
     )
     if not has_big:
         return folded
-    return folded.unionByName(_nms_rounds(df.join(big_keys, keys, "left_semi"), keys, score, tie, radius, inclusive_keep))
+    return folded.unionByName(_nms_rounds(null_safe_join(df, big_keys, keys, "left_semi"), keys, score, tie, radius, inclusive_keep))
 
 
 def _nms_rounds(df, keys, score, tie, radius, inclusive_keep):
     edge = chord(radius) * (1 + 1e-9)
-    left = cut(with_cell(df, edge))
+    # equal rows must differ, or each would wait for the other
+    twin = W.partitionBy(*keys, *CELL, "_rank").orderBy("_rank")
+    left = with_cell(df, edge).withColumn("_rank", _nms_order(df, keys, score, tie))
+    left = cut(left.withColumn("_rank", F.struct("_rank", F.row_number().over(twin).alias("f"))))
     kept = None
-    rank = F.struct(F.col(score), -F.col(tie))
     payload = [c for c in df.columns if c not in keys]
     while not left.isEmpty():
-        tops = left.groupBy(*keys, *CELL).agg(F.max(rank).alias("top"), F.max_by(F.struct(*payload), rank).alias("row"))
+        tops = left.groupBy(*keys, *CELL).agg(F.min("_rank").alias("top"), F.min_by(F.struct(*payload), "_rank").alias("row"))
         around = shift_cells(tops.select(*keys, *CELL, F.col("top").alias("near")), 1)
-        best = around.groupBy(*keys, *CELL).agg(F.max("near").alias("near"))
-        winners = cut(tops.join(best, [*keys, *CELL]).filter(F.col("top") >= F.col("near")).select(*keys, *CELL, "row"))
+        best = around.groupBy(*keys, *CELL).agg(F.min("near").alias("near"))
+        winners = cut(null_safe_join(tops, best, [*keys, *CELL]).filter(F.col("top") <= F.col("near")).select(*keys, *CELL, "top", "row"))
         new = winners.select(*keys, "row.*").select(*df.columns)
         kept = new if kept is None else kept.unionByName(new)
         caps = shift_cells(winners.select(*keys, *CELL, F.col("row.yaw").alias("ky"), F.col("row.pitch").alias("kp")), 1)
         caps = caps.groupBy(*keys, *CELL).agg(F.collect_list(F.struct("ky", "kp")).alias("caps"))
         hit = lambda k: geo.within(geo.angular_distance("yaw", "pitch", k["ky"], k["kp"]), radius, strict=inclusive_keep)
-        left = left.join(caps, [*keys, *CELL], "left").filter(~F.coalesce(F.exists("caps", hit), F.lit(False))).drop("caps")
-        left = cut(left)
-    return kept
+        own = winners.select(*keys, *CELL, F.col("top").alias("won"))
+        left = null_safe_join(left, caps, [*keys, *CELL], "left").filter(~F.coalesce(F.exists("caps", hit), F.lit(False))).drop("caps")
+        # a kept row is done even where a distance of zero does not suppress (radius 0, exact ties kept)
+        left = cut(null_safe_join(left, own, [*keys, *CELL], "left").filter(~F.coalesce(F.col("_rank") == F.col("won"), F.lit(False))).drop("won"))
+    return kept if kept is not None else df

@@ -29,7 +29,9 @@ def rounded(df, *names):
 
 # ---------------------------------------------------------------- metrics and status
 _DOT = lambda a, b: f"({a}.x*{b}.x+{a}.y*{b}.y+{a}.z*{b}.z)"
-_ANG = lambda a, b: f"degrees(acos(greatest(-1e0,least(1e0,{_DOT(a, b)}))))"
+_CROSS = lambda a, b: " + ".join(f"pow({a}.{i}*{b}.{j}-{a}.{j}*{b}.{i},2)" for i, j in ("yz", "zx", "xy"))
+# the acos of a dot product loses small angles; this form does not
+_ANG = lambda a, b: f"degrees(atan2(sqrt({_CROSS(a, b)}), {_DOT(a, b)}))"
 VEC_SQL = "SELECT *, {'x': cos(radians(pitch))*sin(radians(yaw)), 'y': sin(radians(pitch)), 'z': cos(radians(pitch))*cos(radians(yaw))} AS v FROM v_track_obs"
 STEP_SQL = """SELECT *, lag(v,1) OVER w AS p1, lag(v,2) OVER w AS p2, lag(frame,1) OVER w AS f1, lag(frame,2) OVER w AS f2
   FROM vec WINDOW w AS (PARTITION BY clip_id, tracklet_id ORDER BY frame)"""
