@@ -332,10 +332,10 @@ def render_modes(spark, sf):
 
 
 def thin_series(spark, sf):
-    return crowd_series(spark, sf).filter("sample % 4 = 0 or sample % 7 = 3").withColumn("mode", F.when(F.expr("sample % 3 = 0"), "wide").otherwise("follow"))
+    return crowd_series(spark, sf).filter("score >= 0.42e0").withColumn("mode", F.when(F.expr("sample % 3 = 0"), "wide").otherwise("follow"))
 
 
-THIN = "SELECT *, CASE WHEN sample%3=0 THEN 'wide' ELSE 'follow' END AS mode FROM (SELECT clip_id, sample, ts, cy, score FROM cs) WHERE sample%4=0 OR sample%7=3"
+THIN = "SELECT *, CASE WHEN sample%3=0 THEN 'wide' ELSE 'follow' END AS mode FROM (SELECT clip_id, sample, ts, cy, score FROM cs) WHERE score>=0.42e0"
 UNW = f"SELECT *, sum(d) OVER (PARTITION BY clip_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS u FROM (SELECT *, coalesce({Q.delta('cy', 'ly')}, cy) AS d FROM (SELECT *, lag(cy) OVER (PARTITION BY clip_id ORDER BY ts) AS ly FROM thin))"
 DENSE = """SELECT g.clip_id, g.k, g.k/5e0 AS gt, (SELECT max({'t': u.ts, 'u': u.u, 's': u.score, 'm': u.mode}) FROM unw u WHERE u.clip_id=g.clip_id AND u.ts<=g.k/5e0) AS a,
    (SELECT min({'t': u.ts, 'u': u.u, 's': u.score, 'm': u.mode}) FROM unw u WHERE u.clip_id=g.clip_id AND u.ts>=g.k/5e0) AS b
@@ -371,14 +371,16 @@ def camera_path_audit(spark, sf):
 @query(
     "chunk_stitch", "WIN-15",
     Q.sql(["v_players"], f"""SELECT clip_id, chunk, count(*) AS n, {Q.r4('min(gts)')} AS first_ts, {Q.r4('max(gts)')} AS last_ts FROM
- (SELECT clip_id, c.chunk, p.ts AS gts FROM (SELECT DISTINCT clip_id, sample, ts FROM v_players) p, range(5) c(chunk) WHERE p.ts>=c.chunk*20e0 AND p.ts<c.chunk*20e0+20e0) GROUP BY ALL"""),
+ (SELECT clip_id, c.chunk, p.ts AS gts FROM (SELECT DISTINCT clip_id, sample, ts FROM v_players) p, (SELECT unnest(range(CAST(floor(max(ts)/20e0) AS BIGINT)+1)) AS chunk FROM v_players) c WHERE p.ts>=c.chunk*20e0 AND p.ts<c.chunk*20e0+20e0) GROUP BY ALL"""),
 )
 def chunk_stitch(spark, sf):
     s = V.players(spark, sf).select("clip_id", "sample", "ts").distinct()
     # chunk-local rows, each chunk with a five second overlap tail
-    starts = s.select("clip_id", "sample", "ts", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("chunk"))
+    own = F.floor(F.col("ts") / 20.0).cast("int")  # a row is in its own chunk and maybe in the tail of the one before
+    starts = s.select("clip_id", "sample", "ts", F.explode(F.sequence(F.greatest(own - 1, F.lit(0)), own)).alias("chunk"))
     local = starts.filter((F.col("ts") >= F.col("chunk") * 20.0) & (F.col("ts") < F.col("chunk") * 20.0 + 25.0)).withColumn("ts", F.col("ts") - F.col("chunk") * 20.0)
-    plan = s.select("clip_id").distinct().withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(4)))).select("clip_id", "chunk", (F.col("chunk") * 20.0).alias("chunk_start"), F.lit(20.0).alias("nominal"))
+    length = s.groupBy("clip_id").agg(F.floor(F.max("ts") / 20.0).cast("int").alias("last"))
+    plan = length.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("last")))).select("clip_id", "chunk", (F.col("chunk") * 20.0).alias("chunk_start"), F.lit(20.0).alias("nominal"))
     out = WN.stitch_chunks(local, plan).filter(F.col("ts") < F.col("chunk") * 20.0 + 20.0)
     return out.groupBy("clip_id", F.col("chunk").cast("long").alias("chunk")).agg(F.count(F.lit(1)).alias("n"), r4(F.min("ts")).alias("first_ts"), r4(F.max("ts")).alias("last_ts"))
 
@@ -386,14 +388,14 @@ def chunk_stitch(spark, sf):
 # ---------------------------------------------------------------- fused target
 def fusion_rows(spark, sf):
     p = V.players(spark, sf)
-    anchors = V.track_obs(spark, sf).filter("tracklet_id % 15 = 7 and weighted_conf >= 0.6").select("clip_id", "frame", "yaw", "weighted_conf", "det_id")
-    s = crowd_series(spark, sf).select("clip_id", "sample", "ts", "centroid_yaw").filter("sample % 3 = 0")
+    anchors = V.track_obs(spark, sf).filter("weighted_conf >= 0.95e0").select("clip_id", "frame", "yaw", "weighted_conf", "det_id")
+    s = crowd_series(spark, sf).select("clip_id", "sample", "ts", "centroid_yaw")
     return CR.fusion_anchors(s, anchors), p
 
 
-FUS_S = "SELECT *, round_even(ts*2e0, 0) AS fr, lag(round_even(ts*2e0, 0)) OVER (PARTITION BY clip_id ORDER BY sample) AS pf, row_number() OVER (PARTITION BY clip_id ORDER BY sample) AS n FROM (SELECT clip_id, sample, ts, cy FROM cs WHERE sample%3=0)"
+FUS_S = "SELECT *, round_even(ts*2e0, 0) AS fr, lag(round_even(ts*2e0, 0)) OVER (PARTITION BY clip_id ORDER BY sample) AS pf, row_number() OVER (PARTITION BY clip_id ORDER BY sample) AS n FROM (SELECT clip_id, sample, ts, cy FROM cs)"
 FUS_H = """SELECT s.clip_id, s.sample, s.n, s.cy, arg_max({'y': o.yaw, 'c': o.weighted_conf}, {'a': o.weighted_conf, 'b': -o.frame, 'c': -o.det_id}) FILTER (o.det_id IS NOT NULL) AS hit
-  FROM ss s LEFT JOIN (SELECT * FROM v_track_obs WHERE tracklet_id%15=7 AND weighted_conf>=0.6e0) o ON o.clip_id=s.clip_id AND o.frame<=s.fr AND o.frame>coalesce(s.pf,-1) GROUP BY ALL"""
+  FROM ss s LEFT JOIN (SELECT * FROM v_track_obs WHERE weighted_conf>=0.95e0) o ON o.clip_id=s.clip_id AND o.frame<=s.fr AND o.frame>coalesce(s.pf,-1) GROUP BY ALL"""
 
 
 @query(

@@ -422,14 +422,14 @@ SELECT f.clip_id, f.frame, CASE WHEN c.n IS NULL THEN 'NOT_DETECTED' WHEN NOT co
   CASE WHEN c.n IS NULL THEN NULL WHEN NOT coalesce(dist <= 10e0 + {Q.TOL}, false) THEN 'no_candidate_near_tracker' WHEN cap THEN 'pitch_hard_max'
     WHEN hot THEN 'hotspot' WHEN NOT coalesce(confirmed, false) THEN 'low_score_or_hysteresis' END AS rejection_detail, {Q.r4('dist')} AS dist
 FROM v_frames f LEFT JOIN tr ON tr.clip_id=f.clip_id AND tr.frame=f.frame LEFT JOIN c ON c.clip_id=f.clip_id AND c.frame=f.frame""",
-          tr="SELECT clip_id, frame, yaw AS ty, pitch AS tp, weighted_conf >= 0.5e0 AS confirmed FROM v_track_obs WHERE tracklet_id % 15 = 4",
+          tr="SELECT clip_id, frame, yaw AS ty, pitch AS tp, weighted_conf >= 0.5e0 AS confirmed FROM v_track_obs QUALIFY row_number() OVER (PARTITION BY clip_id, frame ORDER BY weighted_conf DESC, det_id)=1",
           nd=f"SELECT d.*, {Q.gc('d.yaw', 'd.pitch', 'tr.ty', 'tr.tp')} AS dist FROM v_detections d LEFT JOIN tr ON tr.clip_id=d.clip_id AND tr.frame=d.frame",
           c="""SELECT clip_id, frame, count(*) AS n, min(dist) AS dist, arg_min(pitch > 18e0, {'a': dist, 'b': det_id}) FILTER (dist IS NOT NULL) AS cap,
      arg_min(raw_conf < 0.1e0, {'a': dist, 'b': det_id}) FILTER (dist IS NOT NULL) AS hot FROM nd GROUP BY ALL"""),
 )
 def agreement_classes(spark, sf):
     det = V.detections(spark, sf)
-    track = V.track_obs(spark, sf).filter("tracklet_id % 15 = 4").select(
+    track = V.strongest(V.track_obs(spark, sf)).select(
         "clip_id", "frame", F.col("yaw").alias("track_yaw"), F.col("pitch").alias("track_pitch"), (F.col("weighted_conf") >= 0.5).alias("confirmed"))
     cand = det.withColumn("pitch_rejected", F.col("pitch") > 18).withColumn("hotspot_rejected", F.col("raw_conf") < 0.1)
     out = C.agreement_class(V.dense_frames(det), cand, track)

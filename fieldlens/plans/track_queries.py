@@ -175,15 +175,15 @@ _GAPS = """SELECT clip_id, 0 AS start_frame, coalesce(first_start-1, last) AS en
   SELECT a.clip_id, end_frame+1, coalesce(nstart-1, last), CASE WHEN nid IS NULL THEN 'after_last_anchor' ELSE 'between_anchors' END, tracklet_id, nid FROM
     (SELECT *, lead(start_frame) OVER w AS nstart, lead(tracklet_id) OVER w AS nid FROM anchors WINDOW w AS (PARTITION BY clip_id ORDER BY start_frame, tracklet_id)) a
     JOIN (SELECT clip_id, max(frame) AS last FROM v_frames GROUP BY 1) r ON r.clip_id=a.clip_id"""
-# Short pieces of the ready-made tracks act as tracklets, so that gaps exist.
-PIECES = "SELECT clip_id, tracklet_id*10 + frame//20 AS tracklet_id, frame, det_id, yaw, pitch, weighted_conf, source, bbox_area_px, bbox_aspect_ratio FROM v_track_obs WHERE tracklet_id%15=7"
+# Stretches of confident observations act as tracklets, so that gaps exist.
+PIECES = "SELECT clip_id, frame//20 AS tracklet_id, frame, det_id, yaw, pitch, weighted_conf, source, bbox_area_px, bbox_aspect_ratio FROM v_track_obs WHERE weighted_conf>=0.9e0"
 GAP_ANCHORS = """SELECT clip_id, tracklet_id, min(frame) AS start_frame, max(frame) AS end_frame, avg(weighted_conf) AS best,
     CASE WHEN tracklet_id%3=0 THEN 'passing' WHEN count(*)<4 THEN 'fragment' WHEN tracklet_id%7=0 THEN 'rejected_static' ELSE 'anchor' END AS status FROM pieces GROUP BY clip_id, tracklet_id"""
 GAP = dict(pieces=PIECES, tk=GAP_ANCHORS, anchors="SELECT * FROM tk WHERE status='anchor'", gaps_all=_GAPS, gaps="SELECT *, end_frame-start_frame+1 AS span_frames FROM gaps_all WHERE start_frame<=end_frame")
 
 
 def gap_inputs(spark, sf):
-    obs = V.track_obs(spark, sf).filter("tracklet_id % 15 = 7").withColumn("tracklet_id", F.expr("tracklet_id * 10 + frame div 20"))
+    obs = V.track_obs(spark, sf).filter("weighted_conf >= 0.9e0").withColumn("tracklet_id", F.expr("frame div 20"))
     tk = obs.groupBy("clip_id", "tracklet_id").agg(
         F.min("frame").alias("start_frame"), F.max("frame").alias("end_frame"), F.avg("weighted_conf").alias("best_available_score"), F.count(F.lit(1)).alias("n"))
     status = F.when(F.expr("tracklet_id % 3 = 0"), "passing").when(F.col("n") < 4, "fragment").when(F.expr("tracklet_id % 7 = 0"), "rejected_static").otherwise("anchor")
@@ -218,19 +218,19 @@ _CMP = """SELECT g.clip_id, g.start_frame, g.end_frame, count(t.tracklet_id) AS
   n_res>0 AS reserve_candidates_present, CAST(n_res AS BIGINT) AS reserve_candidate_count, n_res>=3 AND n_static/n_res>0.6 AS dominant_reserve_static,
   CASE WHEN n_res>=3 AND n_static/n_res>0.6 THEN dominant END AS dominant_region, competing AS competing_tracklet_count, {Q.r4('best')} AS best_available_score
 FROM gaps g JOIN ev e USING (clip_id, start_frame, end_frame) JOIN cmp USING (clip_id, start_frame, end_frame) LEFT JOIN dom USING (clip_id, start_frame, end_frame)""",
-          **GAP, cd="SELECT clip_id, frame, raw_conf, CASE WHEN obj_id%3=1 THEN 'R' || CAST(obj_id AS VARCHAR) END AS lab FROM v_detections WHERE obj_id%15<3", ev=_EV, dom=_DOM, cmp=_CMP),
+          **GAP, cd="SELECT clip_id, frame, raw_conf, CASE WHEN obj_id%3=1 THEN 'R' || CAST(obj_id AS VARCHAR) END AS lab FROM v_detections", ev=_EV, dom=_DOM, cmp=_CMP),
 )
 def gap_evidence(spark, sf):
     tk, clip, _ = gap_inputs(spark, sf)
     gaps = T.anchor_gaps(tk, clip)
-    cand = V.detections(spark, sf).filter("obj_id % 15 < 3").select(
+    cand = V.detections(spark, sf).select(
         "clip_id", "frame", F.col("raw_conf").alias("weighted_conf"),
         F.when(F.expr("obj_id % 3 = 1"), F.concat(F.lit("R"), F.col("obj_id").cast("string"))).alias("in_static"))
     return rounded(T.gap_evidence(gaps, cand, tk), "best_available_score")
 
 
 # ---------------------------------------------------------------- loss windows and repair
-LOSS_IN = "SELECT * FROM v_detections WHERE obj_id%15=7 AND bbox_aspect_ratio IS NOT NULL"
+LOSS_IN = "SELECT * FROM v_detections WHERE raw_conf>=0.9e0 AND bbox_aspect_ratio IS NOT NULL"
 LOSS_SQL = """SELECT *, 'W' || lpad(CAST(row_number() OVER (PARTITION BY clip_id ORDER BY start_frame) AS VARCHAR), 4, '0') AS window_id,
     CASE WHEN b IS NULL THEN 'isolated' WHEN a IS NULL THEN 'open' ELSE 'bridgeable' END AS status FROM (
   SELECT clip_id, island, min(frame) AS start_frame, max(frame) AS end_frame, count(*) AS duration_frames, any_value(b) AS b, any_value(a) AS a FROM (
@@ -244,7 +244,7 @@ LOSS_SQL = """SELECT *, 'W' || lpad(CAST(row_number() OVER (PARTITION BY clip_id
 
 def loss_inputs(spark, sf):
     det = V.with_geometry(V.detections(spark, sf))
-    return det.filter("obj_id % 15 = 7 and bbox_aspect_ratio is not null"), V.dense_frames(det)
+    return det.filter("raw_conf >= 0.9e0 and bbox_aspect_ratio is not null"), V.dense_frames(det)
 
 
 @query(
@@ -286,7 +286,7 @@ def repair_summary(spark, sf):
 @query("backward_paths", "TRK-6")
 def backward_paths(spark, sf):
     det = V.detections(spark, sf)
-    anchors = V.track_obs(spark, sf).filter("frame % 60 = 59 and weighted_conf >= 0.5").select("clip_id", F.col("det_id").alias("anchor_id"), "frame", "yaw", "pitch")
+    anchors = V.track_obs(spark, sf).filter("weighted_conf >= 0.95e0").select("clip_id", F.col("det_id").alias("anchor_id"), "frame", "yaw", "pitch")
     return rounded(R.propagate_backward(anchors, det, conf="raw_conf"), "yaw", "pitch", "score")
 
 
@@ -331,12 +331,12 @@ def override_merge(spark, sf):
     return rounded(m.select("clip_id", "frame", "yaw", "pitch", "weighted_conf", "origin"), "yaw", "pitch", "weighted_conf")
 
 
-TRK_T = "SELECT clip_id, frame, yaw, pitch, CASE WHEN weighted_conf>=0.5e0 THEN weighted_conf END AS best_score FROM v_track_obs WHERE tracklet_id%15=4"
+TRK_T = "SELECT clip_id, frame, yaw, pitch, CASE WHEN weighted_conf>=0.5e0 THEN weighted_conf END AS best_score FROM v_track_obs QUALIFY row_number() OVER (PARTITION BY clip_id, frame ORDER BY weighted_conf DESC, det_id)=1"
 VALID = "SELECT clip_id, frame, arg_max({'yaw': yaw, 'pitch': pitch, 'wc': weighted_conf, 'source': source}, seq) AS r FROM rep WHERE source IS NOT NULL GROUP BY ALL"
 
 
 def replay_inputs(spark, sf):
-    tr = V.track_obs(spark, sf).filter("tracklet_id % 15 = 4").select(
+    tr = V.strongest(V.track_obs(spark, sf)).select(
         "clip_id", "frame", "yaw", "pitch", F.when(F.col("weighted_conf") >= 0.5, F.col("weighted_conf")).alias("best_score"), F.lit("TRACKING").alias("tracker_state"))
     return tr, merge_inputs(spark, sf)[1]
 
@@ -362,7 +362,7 @@ def replay_outcomes(spark, sf):
     return M.replay_summary(*replay_inputs(spark, sf))
 
 
-KEYF = "SELECT clip_id, frame, arg_max({'yaw': yaw, 'pitch': pitch, 'id': tracklet_id, 'score': weighted_conf}, {'c': weighted_conf, 'd': -det_id}) AS k FROM v_track_obs WHERE tracklet_id%15 IN (2,9) AND det_id%3=0 GROUP BY ALL"
+KEYF = "SELECT clip_id, frame, arg_max({'yaw': yaw, 'pitch': pitch, 'id': tracklet_id, 'score': weighted_conf}, {'c': weighted_conf, 'd': -det_id}) AS k FROM v_track_obs WHERE weighted_conf>=0.9e0 GROUP BY ALL"
 
 
 @query(
@@ -378,7 +378,7 @@ FROM (SELECT *, coalesce(k IS NULL AND nf-pf<=12,false) AS br, (frame-pf)/CAST(n
   WINDOW b AS (PARTITION BY clip_id ORDER BY frame ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), a AS (PARTITION BY clip_id ORDER BY frame ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)))""", kf=KEYF),
 )
 def dense_track(spark, sf):
-    obs = V.track_obs(spark, sf).filter("tracklet_id % 15 in (2, 9) and det_id % 3 = 0").groupBy("clip_id", "frame").agg(
+    obs = V.track_obs(spark, sf).filter("weighted_conf >= 0.9e0").groupBy("clip_id", "frame").agg(
         F.max_by(F.struct("yaw", "pitch", F.col("weighted_conf").alias("score"), "tracklet_id"), F.struct(F.col("weighted_conf"), -F.col("det_id"))).alias("k")).select("clip_id", "frame", "k.*")
     d = WN.dense_track(obs, V.dense_frames(V.detections(spark, sf)), 12)
     return rounded(d, "yaw", "pitch", "best_score")
@@ -448,11 +448,11 @@ def interval_overlaps(spark, sf):
 @query(
     "best_in_interval", "JOIN-8",
     Q.sql(["v_track_obs"], f"""SELECT i.clip_id, i.lo, arg_max(o.det_id, {{'a': o.weighted_conf, 'b': -o.det_id}}) AS det_id, {Q.r4('max(o.weighted_conf)')} AS conf, count(*) AS n
-FROM (SELECT DISTINCT clip_id, frame-3 AS lo, frame+3 AS hi FROM v_track_obs WHERE frame%30=10) i JOIN v_track_obs o ON o.clip_id=i.clip_id AND o.frame BETWEEN lo AND hi GROUP BY ALL"""),
+FROM (SELECT DISTINCT clip_id, frame-3 AS lo, frame+3 AS hi FROM v_track_obs WHERE weighted_conf>=0.9e0) i JOIN v_track_obs o ON o.clip_id=i.clip_id AND o.frame BETWEEN lo AND hi GROUP BY ALL"""),
 )
 def best_in_interval(spark, sf):
     obs = V.track_obs(spark, sf)
-    i = obs.filter("frame % 30 = 10").select("clip_id", (F.col("frame") - 3).alias("lo"), (F.col("frame") + 3).alias("hi")).distinct()
+    i = obs.filter("weighted_conf >= 0.9e0").select("clip_id", (F.col("frame") - 3).alias("lo"), (F.col("frame") + 3).alias("hi")).distinct()
     j = J.point_in_interval(obs.select("clip_id", "frame", "det_id", "weighted_conf"), i, ["clip_id"], "frame", "lo", "hi", 16)
     return j.groupBy("clip_id", "lo").agg(F.max_by("det_id", F.struct(F.col("weighted_conf"), -F.col("det_id"))).alias("det_id"), r4(F.max("weighted_conf")).alias("conf"), F.count(F.lit(1)).alias("n"))
 
@@ -517,7 +517,7 @@ def even_picks(spark, sf):
     return WN.spaced_picks(V.track_obs(spark, sf).select("clip_id", "tracklet_id", "frame"), ["clip_id", "tracklet_id"], ["frame"], frame_block(), 12).select("clip_id", "tracklet_id", "frame")
 
 
-WD = "SELECT clip_id, frame//5 AS batch, frame%5 AS pos, det_id, yaw, pitch, raw_conf AS conf FROM v_detections WHERE obj_id%15 IN (0,3,6)"
+WD = "SELECT clip_id, frame//5 AS batch, frame%5 AS pos, det_id, yaw, pitch, raw_conf AS conf FROM v_detections"
 # chains only grow along better scores: best chain per end point, layer by layer
 WCH = """SELECT clip_id, batch, pos, det_id, yaw, pitch, conf, conf AS score, [det_id] AS path, pitch>18e0 AS bad FROM wd WHERE pos=%d"""
 
@@ -540,5 +540,5 @@ WALL = " UNION ALL ".join(f"SELECT * FROM w{n}" for n in range(5))
 def warmup_paths(spark, sf):
     from fieldlens.operators.crowd import warmup_chain
 
-    det = V.detections(spark, sf).filter("obj_id % 15 in (0, 3, 6)")
+    det = V.detections(spark, sf)
     return rounded(warmup_chain(det.select("clip_id", F.expr("frame div 5").alias("batch"), F.expr("frame % 5").alias("pos"), "det_id", "yaw", "pitch", F.col("raw_conf").alias("conf"))), "score")

@@ -107,6 +107,13 @@ def track_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def strongest(obs: DataFrame) -> DataFrame:
+    """One observation a frame: the most confident, of equal ones the smallest id."""
+    rest = [c for c in obs.columns if c not in ("clip_id", "frame")]
+    best = F.max_by(F.struct(*rest), F.struct(F.col("weighted_conf"), -F.col("det_id")))
+    return obs.groupBy("clip_id", "frame").agg(best.alias("o")).select("clip_id", "frame", "o.*")
+
+
 def players(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Player observations: one sample per frame, two samples a second."""
     return track_obs(spark, sf_dir).select(
