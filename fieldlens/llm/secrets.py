@@ -17,6 +17,7 @@ added; repeated rows are scanned alike; empty tables give no rows; other columns
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,17 +88,19 @@ class Models:
         return F.when(F.length(s) >= 2, total / (F.length(s) - 1)).otherwise(F.lit(-99.0))
 
 
-def train(scanned: DataFrame, max_samples: int = MAX_SAMPLES) -> Models:
-    """Models from (text, base): values of base spans against words of texts without any."""
+def train(plain: DataFrame, base: Callable[[Column], Column] = base_matches, max_samples: int = MAX_SAMPLES) -> Models:
+    """Models from (text): values of base spans in all texts against words of sampled texts without any."""
     order = F.xxhash64(F.lit(29), "s")
-    values = scanned.select(F.explode("base.value").alias("s")).filter(F.length("s") >= 16).distinct()
-    clean = scanned.filter(F.size("base") == 0).select("text", F.xxhash64(F.lit(29), "text").alias("h"))
-    clean = clean.orderBy("h").limit(max_samples // 10)
-    plain = clean.select("h", F.posexplode(words(F.col("text"))).alias("at", "s"))
-    plain = plain.filter(F.length("s").between(6, 19))  # shorter than a candidate, so no unknown secret teaches the model
+    values = plain.select(F.explode(base(F.col("text"))["value"]).alias("s")).filter(F.length("s") >= 16).distinct()
+    # texts are drawn by hash before any is searched; of copies one is drawn
+    h = F.xxhash64(F.lit(29), "text")
+    last = plain.select(h.alias("h")).distinct().orderBy("h").limit(max_samples // 10).agg(F.max("h").alias("h")).first()["h"]
+    drawn = plain.filter(h <= F.lit(last if last is not None else 0)).select("text", h.alias("h")).dropDuplicates(["h"])
+    ordinary = drawn.filter(F.size(base(F.col("text"))) == 0).select("h", F.posexplode(words(F.col("text"))).alias("at", "s"))
+    ordinary = ordinary.filter(F.length("s").between(6, 19))  # shorter than a candidate, so no unknown secret teaches the model
     random = values.orderBy(order, "s").limit(max_samples).select("s", F.lit(1).alias("y"))
-    plain = plain.orderBy(F.xxhash64("h", "at"), "h", "at").limit(max_samples).select("s", F.lit(0).alias("y"))
-    sample = stored(random.unionByName(plain))
+    ordinary = ordinary.orderBy(F.xxhash64("h", "at"), "h", "at").limit(max_samples).select("s", F.lit(0).alias("y"))
+    sample = stored(random.unionByName(ordinary))
     counts = {(r["a"], r["b"], r["y"]): r["n"] for r in _pairs(sample).collect()}
     if {y for _, _, y in counts} != {0, 1}:
         return Models()
@@ -135,8 +138,8 @@ def listed(spans: Column) -> Column:
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_samples: int = MAX_SAMPLES) -> DataFrame:
     """(id, base, added): the spans of every document as (start, kind, end, value)."""
     plain = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
+    models = train(plain, max_samples=max_samples)
     found = plain.withColumn("base", base_matches(F.col("text")))
-    models = train(found, max_samples)
     return found.select("id", "base", let(F.col("base"), lambda b: added_matches(F.col("text"), b, models)).alias("added"))
 
 
