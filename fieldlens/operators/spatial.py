@@ -104,6 +104,39 @@ def _is_star_forest(e: DataFrame, keys: list[str]) -> bool:
     return per.filter("c > 1 or (c > 0 and p > 0)").isEmpty()
 
 
+SUBCELLS = 8
+SUB = ("fx", "fy", "fz")
+
+
+def _cell_links(pairs: DataFrame, members: DataFrame, keys: list[str], edge: float, radius: float, strict: bool) -> DataFrame:
+    """(keys, a, b): the cell pairs (c1, c2) that hold two points close enough.
+
+    Subcells are compared by their boxes first. A pair with boxes wholly in reach is linked, boxes wholly out
+    of reach cannot link; only where neither decides do points meet, and only those of the
+    open subcells. A dense cell costs its subcells, whose number is bounded, not its points squared.
+    """
+    at = members.select("*", *[v.alias(n) for n, v in zip("xyz", (geo.unit_x("yaw", "pitch"), geo.unit_y("pitch"), geo.unit_z("yaw", "pitch")))])
+    at = at.select("*", *[F.floor(F.col(n) / geo.lit(edge)).cast("int").alias(f) for n, f in zip("xyz", SUB)])
+    boxes = at.groupBy(*keys, "cell_id", *SUB).agg(*[f(n).alias(f"{m}{n}") for n in "xyz" for f, m in ((F.min, "lo"), (F.max, "hi"))])
+
+    def side(df: DataFrame, n: int) -> DataFrame:
+        return df.select(*keys, *[F.col(c).alias(f"c{n}" if c == "cell_id" else f"{c}{n}") for c in df.columns if c not in keys])
+
+    both = pairs.join(side(boxes, 1), [*keys, "c1"]).join(side(boxes, 2), [*keys, "c2"])
+    square = lambda v: v * v
+    gap = sum(square(F.greatest(F.col(f"lo{n}1") - F.col(f"hi{n}2"), F.col(f"lo{n}2") - F.col(f"hi{n}1"), geo.lit(0.0))) for n in "xyz")
+    span = sum(square(F.greatest(F.col(f"hi{n}1") - F.col(f"lo{n}2"), F.col(f"hi{n}2") - F.col(f"lo{n}1"))) for n in "xyz")
+    reach = chord(radius)
+    near = both.filter(gap <= geo.lit((reach * (1 + 1e-7) + 1e-9) ** 2)).withColumn("sure", span < geo.lit((reach * (1 - 1e-7)) ** 2))
+    pair = [*keys, "c1", "c2"]
+    sure = near.filter("sure").select(*pair).distinct()
+    opened = near.filter(~F.col("sure")).select(*pair, *[f"{f}{n}" for n in (1, 2) for f in SUB]).join(sure, pair, "left_anti")
+    spots = at.select(*keys, "cell_id", *SUB, "yaw", "pitch")
+    met = opened.join(side(spots, 1), [*keys, "c1", *[f"{f}1" for f in SUB]]).join(side(spots, 2), [*keys, "c2", *[f"{f}2" for f in SUB]])
+    met = met.filter(geo.within(geo.angular_distance("yaw1", "pitch1", "yaw2", "pitch2"), radius, strict)).select(*pair).distinct()
+    return sure.unionByName(met).select(*keys, F.col("c1").alias("a"), F.col("c2").alias("b"))
+
+
 def spatial_components(df: DataFrame, keys: list[str], id_col: str, radius: float, strict: bool = False) -> DataFrame:
     """Single-linkage groups: (keys, id, comp), comp = smallest id of the group; singletons included.
 
@@ -118,15 +151,7 @@ def spatial_components(df: DataFrame, keys: list[str], id_col: str, radius: floa
     near = shift_cells(cells.select(*keys, *CELL, F.col("cell_id").alias("c1")), 2, half=True)
     pairs = near.join(cells, [*keys, *CELL]).select(*keys, "c1", F.col("cell_id").alias("c2"))
     members = spots.join(cells, [*keys, *CELL]).select(*keys, "cell_id", "yaw", "pitch")
-    left = members.select(*keys, F.col("cell_id").alias("c1"), F.col("yaw").alias("y1"), F.col("pitch").alias("p1"))
-    right = members.select(*keys, F.col("cell_id").alias("c2"), F.col("yaw").alias("y2"), F.col("pitch").alias("p2"))
-    links = (
-        pairs.join(left, [*keys, "c1"])
-        .join(right, [*keys, "c2"])
-        .filter(geo.within(geo.angular_distance("y1", "p1", "y2", "p2"), radius, strict))
-        .select(*keys, F.col("c1").alias("a"), F.col("c2").alias("b"))
-        .distinct()
-    )
+    links = _cell_links(pairs, members, keys, edge / SUBCELLS, radius, strict)
     comp = connected_components(links, keys).withColumnRenamed("node", "cell_id")
     labelled = cells.join(comp, [*keys, "cell_id"], "left").withColumn("comp", F.coalesce("comp", "cell_id"))
     return pts.join(labelled, [*keys, *CELL]).select(*keys, F.col("id").alias(id_col), "comp")

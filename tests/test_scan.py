@@ -82,3 +82,14 @@ def test_nms_has_one_rule_for_nulls_and_ties(spark, n):
         first = next((i for i, x in enumerate(order) if x[0] is None), n)
         sure = [x for x in kept if order.index(x) < first]
         assert set(sure) <= {tuple(x) for x in got}
+
+
+def test_dense_cells_are_not_paired_point_by_point(spark):
+    # two crowds of 10,000 points, a cell apart: in reach of each other, with a third crowd out of reach
+    pts = spark.range(30_000).select(
+        F.lit("c").alias("clip_id"), F.col("id"),
+        (F.col("id") % 3 * F.when(F.col("id") % 3 == 2, 20.0).otherwise(3.0) + (F.col("id") % 997) / 997.0).alias("yaw"),
+        ((F.col("id") % 1009) / 1009.0).alias("pitch"),
+    )
+    got = spatial.spatial_components(pts, ["clip_id"], "id", 5.0).groupBy("comp").count().collect()
+    assert {r["comp"]: r["count"] for r in got} == {0: 20_000, 2: 10_000}
