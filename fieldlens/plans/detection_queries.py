@@ -166,6 +166,25 @@ def pixel_projection(spark, sf):
     )
 
 
+@query(
+    "filled_geometry", "FN-10",
+    Q.sql(["v_detections"], f"""SELECT det_id, {Q.r4('w')} AS width, {Q.r4('h')} AS height, {Q.r4('coalesce(area, w*h)')} AS area,
+  {Q.r4('CASE WHEN w IS NOT NULL THEN coalesce(CASE WHEN aspect>0 THEN aspect END, w/greatest(h,1e-6)) ELSE aspect END')} AS aspect
+FROM (SELECT det_id, CASE WHEN det_id%50<>0 AND det_id%5<>4 THEN sqrt(bbox_area_px*bbox_aspect_ratio) END AS w, CASE WHEN det_id%50<>0 AND det_id%5<>4 THEN sqrt(bbox_area_px/bbox_aspect_ratio) END AS h,
+  CASE WHEN det_id%50<>0 AND det_id%3<>0 THEN bbox_area_px END AS area, CASE WHEN det_id%50=0 THEN NULL WHEN det_id%7=0 THEN -1e0 WHEN det_id%3<>0 THEN bbox_aspect_ratio END AS aspect FROM v_detections)"""),
+)
+def filled_geometry(spark, sf):
+    """Recorded scalars first, then the box; some scalars are missing, some aspects invalid, some boxes lost."""
+    d = V.with_geometry(V.detections(spark, sf))
+    g = F.col("detection_geometry")
+    known = F.expr("det_id % 3 <> 0")
+    g = g.withField("bbox_area_px", F.when(known, g["bbox_area_px"])).withField(
+        "bbox_aspect_ratio", F.when(F.expr("det_id % 7 = 0"), geo.lit(-1.0)).when(known, g["bbox_aspect_ratio"])).withField(
+        "bbox_xyxy", F.when(F.expr("det_id % 5 <> 4"), g["bbox_xyxy"]))
+    filled = geo.fill_geometry("g")
+    return d.select("det_id", g.alias("g")).select("det_id", *[r4(filled[k]).alias(k) for k in ("width", "height", "area", "aspect")])
+
+
 @query(
     "plausibility_and_cues", "FN-13 FN-14 FN-15 FN-16 FN-17 FN-18",
     Q.sql(["v_detections"], f"""
@@ -362,6 +381,16 @@ def reviewed_location_filter(spark, sf):
     return d.select("det_id", "status", F.col("match").alias("location_id"), r4("match_dist").alias("dist"))
 
 
+@query(
+    "manifest_faults", "FLT-5",
+    Q.sql(["v_detections"], f"SELECT det_id AS location_id, {Q.r4('raw_conf*10e0')} AS action_radius_deg FROM v_detections WHERE raw_conf*10e0 > 5e0+1e-6 OR raw_conf*10e0 >= 4.5e0"),
+)
+def manifest_faults(spark, sf):
+    """Reviewed locations whose radius of action breaks the cap or reaches the radius of discovery."""
+    m = V.detections(spark, sf).select(F.col("det_id").alias("location_id"), (F.col("raw_conf") * 10.0).alias("action_radius_deg"))
+    return C.check_manifest(m, 5.0, 4.5).select("location_id", r4("action_radius_deg").alias("action_radius_deg"))
+
+
 @query(
     "anchor_quality_gate", "FLT-7",
     Q.sql(["v_detections"], f"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from fieldlens.config import LedgerConfig
@@ -13,6 +15,7 @@ from fieldlens.operators import telemetry as TM
 from fieldlens.plans import sqlkit as Q
 from fieldlens.plans.registry import query
 from fieldlens.plans.track_queries import rounded
+from fieldlens.session import shared_dir
 from fieldlens.sources import readers as RD
 from fieldlens.sources import views as V
 from fieldlens.sources import writers as WR
@@ -54,6 +57,23 @@ def effective_dates(spark, sf):
     return m.select("media_id", F.date_format("e.ts", "yyyy-MM-dd").alias("effective_day"), F.col("e.reason").alias("reason"))
 
 
+@query(
+    "missing_dates", "FN-23",
+    Q.sql(["v_media"], f"""SELECT media_id, strftime(coalesce(k, u, c), '%Y-%m-%d') AS discovered, strftime(CASE WHEN k IS NOT NULL AND (c IS NULL OR c > {NOW_SQL} + INTERVAL 1 DAY OR k - INTERVAL 14 DAY > c) THEN k
+    WHEN c IS NOT NULL THEN c WHEN u IS NOT NULL THEN u ELSE {NOW_SQL} END, '%Y-%m-%d') AS effective_day,
+  CASE WHEN c IS NOT NULL AND k IS NOT NULL AND c > {NOW_SQL} + INTERVAL 1 DAY THEN 'captured_in_future' WHEN c IS NOT NULL AND k IS NOT NULL AND k - INTERVAL 14 DAY > c THEN 'captured_long_before_created'
+    WHEN c IS NOT NULL THEN '' WHEN k IS NOT NULL THEN 'captured_missing' WHEN u IS NOT NULL THEN 'captured_and_created_missing' ELSE 'no_dates' END AS reason
+FROM (SELECT media_id, CASE WHEN media_id%3<>0 THEN captured_at END AS c, CASE WHEN media_id%2<>0 THEN created_at END AS k, CASE WHEN media_id%5<>0 THEN updated_at END AS u FROM v_media)"""),
+)
+def missing_dates(spark, sf):
+    """Every reason of the effective date, and the date of discovery, where dates are missing."""
+    have = lambda n, c: F.when(F.col("media_id") % n != 0, F.col(c))
+    m = V.media(spark, sf).select("media_id", have(3, "captured_at").alias("c"), have(2, "created_at").alias("k"), have(5, "updated_at").alias("u"))
+    e = text.effective_date("c", "k", "u", LG.ntz(NOW), 14)
+    m = m.withColumn("e", e).withColumn("found", text.discovery_date("k", "u", "c"))
+    return m.select("media_id", F.date_format("found", "yyyy-MM-dd").alias("discovered"), F.date_format("e.ts", "yyyy-MM-dd").alias("effective_day"), F.col("e.reason").alias("reason"))
+
+
 @query(
     "session_titles", "FN-24",
     Q.sql(["v_media"], f"""SELECT media_id, dayname(captured_at) || ' Session | ' || CAST(day(captured_at) AS VARCHAR) || CASE WHEN day(captured_at) BETWEEN 11 AND 13 THEN 'th' WHEN day(captured_at)%10=1 THEN 'st' WHEN day(captured_at)%10=2 THEN 'nd' WHEN day(captured_at)%10=3 THEN 'rd' ELSE 'th' END
@@ -377,6 +397,21 @@ def detection_schema_gate(spark, sf):
     return RD.detection_gate(d).groupBy("source", F.array_join("errors", ";").alias("errors")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "stage_roundtrip", "SNK-1",
+    Q.sql(["v_detections"], "SELECT clip_id, count(*) AS n, max(det_id) AS last_det, count(*) FILTER (pitch>18e0) AS audited, count(*) AS reported FROM v_detections GROUP BY 1"),
+)
+def stage_roundtrip(spark, sf):
+    """Data, audit and report of a stage, written by clip and read again."""
+    det = V.detections(spark, sf)
+    path = f"{shared_dir(spark)}/stage-{uuid.uuid4().hex}"
+    WR.write_stage(det, det.filter("pitch > 18"), det.groupBy("clip_id").agg(F.count(F.lit(1)).alias("reported")), path)
+    data, audit, report = (spark.read.parquet(f"{path}/{p}") for p in ("data", "audit", "report"))
+    n = data.groupBy("clip_id").agg(F.count(F.lit(1)).alias("n"), F.max("det_id").alias("last_det"))
+    a = audit.groupBy("clip_id").agg(F.count(F.lit(1)).alias("audited"))
+    return n.join(a, "clip_id", "left").na.fill(0, ["audited"]).join(report, "clip_id")
+
+
 @query(
     "frame_documents", "SRC-1 SNK-1 SRC-2",
     Q.sql(["v_detections", "v_frames"], f"SELECT f.clip_id, f.frame, count(d.det_id) AS n, {Q.r4('max(raw_conf)')} AS top FROM v_frames f LEFT JOIN (SELECT * FROM v_detections WHERE raw_conf>=0.7e0) d ON d.clip_id=f.clip_id AND d.frame=f.frame GROUP BY f.clip_id, f.frame"),

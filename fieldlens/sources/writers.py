@@ -7,16 +7,22 @@ from pyspark.sql import functions as F
 
 from fieldlens.functions.geo import r4
 
+FILE_FRAMES = 65536
+
 
 def write_stage(data: DataFrame, audit: DataFrame | None, report: DataFrame | None, path: str) -> None:
-    """data/, audit/ and report/ under ``path``; data and audit are partitioned by clip."""
+    """data/, audit/ and report/ under ``path``; data and audit are partitioned by clip.
+
+    Rows meet by clip and stretch of frames first: a clip gets few files, and a long one several writers.
+    """
     for name, df in (("data", data), ("audit", audit), ("report", report)):
         if df is None:
             continue
-        w = df.write.mode("overwrite")
-        if name != "report" and "clip_id" in df.columns:
-            w = w.partitionBy("clip_id")
-        w.parquet(f"{path}/{name}")
+        if name == "report" or "clip_id" not in df.columns:
+            df.write.mode("overwrite").parquet(f"{path}/{name}")
+            continue
+        stretch = [F.floor(F.col("frame") / FILE_FRAMES)] if "frame" in df.columns else []
+        df.repartition("clip_id", *stretch).write.mode("overwrite").partitionBy("clip_id").parquet(f"{path}/{name}")
 
 
 def rounded(df: DataFrame, places: dict[str, int]) -> DataFrame:
