@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldlens.functions import geo
+from fieldlens.operators import spatial
 from fieldlens.operators.scan import Carry, carry_scan
 
 
@@ -69,16 +70,21 @@ def attach_by_coordinates(obs: DataFrame, cand: DataFrame, payload: str, order:
 def nearest_in_frame(left: DataFrame, right: DataFrame, tolerance: float | None, order: str, payload: list[str]) -> DataFrame:
     """Closest right row of the same frame (within ``tolerance``); ties go to the lowest ``order``.
 
-    left: clip_id, frame, row_id, yaw, pitch. Adds match_dist and 'm_<payload>'.
+    left: clip_id, frame, row_id, yaw, pitch. Adds match_dist and 'm_<payload>'. With a tolerance
+    rows meet by cell of that size, so a crowded frame is not paired as a whole.
     """
-    r = right.select("clip_id", "frame", F.col("yaw").alias("ry"), F.col("pitch").alias("rp"), F.col(order).alias("_o"),
+    r = right.select("clip_id", "frame", F.col("yaw").alias("ry"), F.col("pitch").alias("rp"), F.col(order).alias("_order"),
                      *[F.col(p).alias(f"m_{p}") for p in payload])
-    d = geo.angular_distance("yaw", "pitch", "ry", "rp")
-    j = left.join(r, ["clip_id", "frame"]).withColumn("match_dist", d)
+    near, keys = left.select("clip_id", "frame", "row_id", "yaw", "pitch"), ["clip_id", "frame"]
+    if tolerance is not None:
+        edge = spatial.chord(tolerance) * (1 + 1e-6) + 1e-12
+        near, r = spatial.with_cell(near, edge), spatial.shift_cells(spatial.with_cell(r, edge, "ry", "rp"), 1)
+        keys += spatial.CELL
+    j = near.join(r, keys).withColumn("match_dist", geo.angular_distance("yaw", "pitch", "ry", "rp"))
     if tolerance is not None:
         j = j.filter(geo.within(F.col("match_dist"), tolerance))
     best = j.groupBy("clip_id", "frame", "row_id").agg(
-        F.min_by(F.struct("match_dist", *[f"m_{p}" for p in payload]), F.struct("match_dist", "_o")).alias("b"))
+        F.min_by(F.struct("match_dist", *[f"m_{p}" for p in payload]), F.struct("match_dist", "_order")).alias("b"))
     return left.join(best, ["clip_id", "frame", "row_id"], "left").select(*left.columns, "b.*")
 
 
