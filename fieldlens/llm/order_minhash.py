@@ -33,7 +33,7 @@ LEAST_BLOCKS, MOST_BLOCKS, BLOCK_ROWS = 64, 4096, 20_000
 def fingerprint(text: Column) -> Column:
     """The signature: ``COMPONENTS`` strings, EMPTY where a part has no k-mer."""
     low_places = F.lit((1 << PLACE_BITS) - 1).cast("bigint")
-    place = lambda packed: packed.bitwiseAND(low_places)
+    place = lambda number: number.bitwiseAND(low_places)
     part_shift = 63 - COMPONENTS.bit_length() + 1
 
     def hashes(tokens: Column) -> Column:
@@ -43,26 +43,37 @@ def fingerprint(text: Column) -> Column:
 
     def by_hash(h: Column) -> Column:
         # a number that sorts by hash, then place; equal hashes lie together in text order
-        packed = F.transform(h, lambda x, i: F.shiftleft(x, PLACE_BITS).bitwiseOR(i.cast("bigint")))
-        return F.sort_array(packed)
+        return F.sort_array(F.transform(h, lambda x, i: F.shiftleft(x, PLACE_BITS).bitwiseOR(i.cast("bigint"))))
 
-    def numbered(h: Column, order: Column) -> Column:
-        """For each k-mer: part, order in the part and place, packed into a number that sorts so."""
+    def packed(x: Column, at: Column) -> Column:
+        """Part, order in the part and place in one number that sorts so."""
+        rank = F.shiftleft(F.shiftrightunsigned(x, PLACE_BITS + 64 - part_shift), PLACE_BITS)
+        return F.shiftleft(F.pmod(x, F.lit(COMPONENTS)), part_shift).bitwiseOR(rank).bitwiseOR(at)
+
+    def all_different(h: Column) -> Column:
+        x = F.transform(h, lambda v: F.xxhash64(v, F.lit(0)))
+        return F.sort_array(F.transform(x, lambda v, i: packed(v, i.cast("bigint"))))
+
+    def with_repeats(h: Column, order: Column) -> Column:
         last = F.size(order)
         group = lambda i: F.shiftright(F.get(order, i), PLACE_BITS)
         starts = F.filter(F.sequence(F.lit(0), last - 1), lambda i: (i == 0) | (group(i) != group(i - 1)))
+        places = F.transform(order, place)
 
-        def occurrences(starts: Column) -> Column:
+        def occurrences(starts: Column, places: Column) -> Column:
             def one(at: Column, n: Column) -> Column:
                 until = F.coalesce(F.get(starts, n + 1), last)
-                return F.transform(F.sequence(at, until - 1), lambda i: let(place(F.get(order, i)), lambda p: let(
-                    F.xxhash64(F.get(h, p.cast("int")), i - at),
-                    lambda x: F.shiftleft(F.pmod(x, F.lit(COMPONENTS)), part_shift).bitwiseOR(
-                        F.shiftleft(F.shiftrightunsigned(x, PLACE_BITS + 64 - part_shift), PLACE_BITS)).bitwiseOR(p))))
+                return F.transform(F.sequence(at, until - 1), lambda i: F.xxhash64(F.get(h, F.get(places, i).cast("int")), i - at))
+
+            x = F.flatten(F.transform(starts, one))
+            return F.sort_array(F.zip_with(x, places, packed))
 
-            return F.sort_array(F.flatten(F.transform(starts, one)))
+        return let(starts, lambda s: let(places, lambda p: occurrences(s, p)))
 
-        return let(starts, occurrences)
+    def numbered(h: Column) -> Column:
+        """The k-mers with their occurrence numbers, by part and order; most texts repeat none."""
+        repeats = let(by_hash(h), lambda order: with_repeats(h, order))
+        return F.when(F.size(F.array_distinct(h)) == F.size(h), all_different(h)).otherwise(repeats)
 
     def components(h: Column, ranked: Column) -> Column:
         part = lambda i: F.shiftrightunsigned(F.get(ranked, i), part_shift)
@@ -80,7 +91,7 @@ def fingerprint(text: Column) -> Column:
 
     empty = F.array_repeat(F.lit(EMPTY), COMPONENTS)
     signature = let(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)), lambda t: let(hashes(t), lambda h: F.when(
-        F.size(h) > 0, let(by_hash(h), lambda order: let(numbered(h, order), lambda ranked: components(h, ranked)))).otherwise(empty)))
+        F.size(h) > 0, let(numbered(h), lambda ranked: components(h, ranked))).otherwise(empty)))
     return signature
 
 
