@@ -122,7 +122,7 @@ def held_out(id_col: str) -> Column:
 class Fit:
     max_labelled: int = 5000  # labelled documents of each label, the sample the lexicon is fitted on
     max_terms: int = 5000
-    least_documents: int = 5
+    least_documents: int = 3
     least_weight: float = 1.6
     least_exceptions: int = 20
 

@@ -41,10 +41,10 @@ def test_op1(spark, small_dir, docs):
 
 
 def test_op1_held_out_accuracy(spark):
-    d = "/root/testdata/sf0.01"
+    d = "/root/testdata/sf0.1"  # smaller tables have too few toxic documents held out
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{d}/labels.parquet").collect()}
     got = [(r.predicted, labels[r.doc_id]) for r in QUERIES["op1_toxicity"](spark, d).collect() if r.held_out and r.doc_id in labels]
-    assert sum(p == y for p, y in got) >= 0.93 * len(got)
+    assert sum(p == y for p, y in got) >= 0.97 * len(got)
 
 
 def test_op2(spark, small_dir, docs):
