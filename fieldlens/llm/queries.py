@@ -19,4 +19,16 @@ QUERIES = {f.__name__: f for f in (
     op10_difference_cover,
 )}
 
-ORACLES: dict[str, str] = {}
+# every word with its document and place; a window of 35 words as text; words under a window met twice
+REPEATED_WINDOWS = r"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+words AS (SELECT r, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM docs),
+placed AS (SELECT r, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM words),
+windows AS (SELECT r, i, word, string_agg(word, ' ') OVER ahead AS run, count(*) OVER ahead AS n FROM placed WINDOW ahead AS (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING)),
+marked AS (SELECT r, i, word, n = 35 AND count(*) OVER (PARTITION BY run) > 1 AS repeated FROM windows),
+covered AS (SELECT r, i, word, max(repeated) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone FROM marked),
+found AS (SELECT r, count(*) AS n_words, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept FROM covered GROUP BY r)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM docs LEFT JOIN found USING (r)
+"""
+
+ORACLES: dict[str, str] = {"op10_difference_cover": REPEATED_WINDOWS}

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from fieldlens.llm.queries import QUERIES
+from fieldlens.llm.queries import ORACLES, QUERIES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -241,3 +241,10 @@ def test_pipeline(spark, small_dir, docs):
             assert all((a ^ b).bit_count() > 3 for k, a in enumerate(prints) for b in prints[k + 1 :])
     assert seen[0] >= seen[1] >= seen[2] > 0
     assert corpus_pipeline.run(spark, small_dir).count() == seen[-1]
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_matches_sql(spark, small_dir, name):
+    import oracle
+
+    assert oracle.compare(QUERIES[name](spark, small_dir), oracle.connect(small_dir), ORACLES[name]) is None
