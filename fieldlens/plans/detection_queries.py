@@ -143,11 +143,9 @@ SELECT det_id, {Q.r4('degrees(atan2(cos(c)*nx+sin(c), cos(c)-sin(c)*nx))')} AS c
        {Q.r4('(px/3840e0-0.5e0)*360e0')} AS eq_yaw, {Q.r4('(0.5e0-py/1920e0)*180e0')} AS eq_pitch,
        {Q.r4('(yaw/360e0+0.5e0)*3840e0')} AS eq_x, {Q.r4('(0.5e0-pitch/180e0)*1920e0')} AS eq_y,
        {Q.r4('bw')} AS width, {Q.r4('bh')} AS height, {Q.r4('bw*bh')} AS area, {Q.r4('bw/bh')} AS aspect
-FROM (SELECT *, (px-640e0)/640e0*tan(radians(55e0)) AS nx, -(py-360e0)/360e0*tan(radians(55e0))*1280e0/720e0 *(720e0/1280e0)*(720e0/1280e0)*(1280e0/720e0) AS ny_unused,
-             -(py-360e0)/360e0*(tan(radians(55e0))*1280e0/720e0) AS ny, radians(crop_yaw) AS c,
+FROM (SELECT *, (px-640e0)/640e0*tan(radians(55e0)) AS nx, -(py-360e0)/360e0*(tan(radians(55e0))*1280e0/720e0) AS ny, radians(crop_yaw) AS c,
              sqrt(bbox_area_px*bbox_aspect_ratio) AS bw, sqrt(bbox_area_px/bbox_aspect_ratio) AS bh
-      FROM (SELECT *, CAST(det_id%1280 AS DOUBLE) AS px, CAST(det_id%720 AS DOUBLE) AS py FROM v_detections))""").replace(
-        "-(py-360e0)/360e0*tan(radians(55e0))*1280e0/720e0 *(720e0/1280e0)*(720e0/1280e0)*(1280e0/720e0) AS ny_unused,\n             ", ""),
+      FROM (SELECT *, CAST(det_id%1280 AS DOUBLE) AS px, CAST(det_id%720 AS DOUBLE) AS py FROM v_detections))"""),
 )
 def pixel_projection(spark, sf):
     d = V.with_geometry(V.detections(spark, sf)).select(
