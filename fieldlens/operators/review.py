@@ -224,8 +224,8 @@ def diameter(points: DataFrame, keys: list[str], cuts: int = 12) -> DataFrame:
 
 
 def greedy_subclusters(members: DataFrame, keys: list[str], order: list[str], radius: float) -> DataFrame:
-    """Order-dependent grouping: a member joins the first group whose running centre is within
-    ``radius``, else starts one. Members come nearest-to-centre first."""
+    """Subclusters numbered in order of appearance. Members are taken by ``order``; each counts for the
+    lowest-numbered subcluster that it lies within ``radius`` of, whose mean direction then moves."""
     m = row_index(members, keys, order, F.floor(F.col(order[0]) / 0.5), "_rn").withColumn("_block", F.floor(F.col("_rn") / 65536))
     id_col = order[-1]
 

@@ -204,8 +204,7 @@ def upserted_ledger(spark, sf):
 
 @query(
     "label_edit_log", "SET-4",
-    Q.sql(["v_attempts"], "SELECT label_id, op, yaw FROM (SELECT media_id AS label_id, arg_max({'o': CASE WHEN attempt%5=4 THEN 'delete' ELSE 'put' END, 'y': attempt*10e0}, {'a': attempt, 'b': tie}) AS r, r.o AS op, r.y AS yaw FROM v_attempts GROUP BY 1) WHERE op<>'delete'".replace(
-        "AS r, r.o AS op, r.y AS yaw FROM v_attempts GROUP BY 1)", "AS r FROM v_attempts GROUP BY 1)").replace("SELECT label_id, op, yaw FROM", "SELECT label_id, r.o AS op, r.y AS yaw FROM").replace("WHERE op<>'delete'", "WHERE r.o<>'delete'")),
+    Q.sql(["v_attempts"], "SELECT label_id, r.o AS op, r.y AS yaw FROM (SELECT media_id AS label_id, arg_max({'o': CASE WHEN attempt%5=4 THEN 'delete' ELSE 'put' END, 'y': attempt*10e0}, {'a': attempt, 'b': tie}) AS r FROM v_attempts GROUP BY 1) WHERE r.o<>'delete'"),
 )
 def label_edit_log(spark, sf):
     log = V.attempts(spark, sf).select(F.col("media_id").alias("label_id"), F.expr("case when attempt % 5 = 4 then 'delete' else 'put' end").alias("op"), (F.col("attempt") * 10.0).alias("yaw"), F.struct("attempt", "tie").alias("v"))

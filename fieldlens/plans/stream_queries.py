@@ -27,8 +27,8 @@ def stream_detections(spark, sf):
 
 @query(
     "live_hotspot_windows", "STR-5",
-    Q.sql(["v_detections"], f"""SELECT clip_id, CAST(1704067200 + (frame//30)*432000 AS BIGINT) AS window_start, CAST(floor(({Q.wrap('yaw')}+180e0)/2e0) AS INTEGER) AS yaw_bin, CAST(floor((pitch+90e0)/2e0) AS INTEGER) AS pitch_bin,
-  CAST(count(DISTINCT frame) AS INTEGER) AS n_frames, count(*) AS n_detections, {Q.r4('avg(raw_conf)')} AS mean_conf FROM v_detections GROUP BY ALL""".replace("1704067200 + (frame//30)*432000", "1704067200 + ((frame*14400 + 1704067200 % 432000)//432000)*432000 - 1704067200 % 432000")),
+    Q.sql(["v_detections"], f"""SELECT clip_id, CAST(1704067200 + ((frame*14400 + 1704067200 % 432000)//432000)*432000 - 1704067200 % 432000 AS BIGINT) AS window_start, CAST(floor(({Q.wrap('yaw')}+180e0)/2e0) AS INTEGER) AS yaw_bin, CAST(floor((pitch+90e0)/2e0) AS INTEGER) AS pitch_bin,
+  CAST(count(DISTINCT frame) AS INTEGER) AS n_frames, count(*) AS n_detections, {Q.r4('avg(raw_conf)')} AS mean_conf FROM v_detections GROUP BY ALL"""),
 )
 def live_hotspot_windows(spark, sf):
     h = O.live_hotspots(stream_detections(spark, sf), "at", "5 days", "1 day")
