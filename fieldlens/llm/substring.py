@@ -89,9 +89,9 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(h1, h2, key, place) of every window that holds a hot anchor."""
+    """(h1, h2, nr, place) of every window that holds a hot anchor."""
     for batch in batches:
-        keys = batch.column("key").to_numpy()
+        keys = batch.column("nr").to_numpy()
         for key, w, hot in zip(keys, _each(batch, "w"), _each(batch, "hot")):
             n = len(w) - WINDOW + 1
             mark = np.zeros(n + 1, np.int64)
@@ -100,7 +100,7 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             starts = np.flatnonzero(np.cumsum(mark[:-1]) > 0)
             h = [run_hashes(w, starts, WINDOW, m) for m in MULTIPLIERS]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h[0]), pa.array((h[1] >> 32).astype(np.int32)), pa.array(np.full(len(starts), key)), pa.array(starts.astype(np.int32))], names=["h1", "h2", "key", "place"])
+                [pa.array(h[0]), pa.array((h[1] >> 32).astype(np.int32)), pa.array(np.full(len(starts), key)), pa.array(starts.astype(np.int32))], names=["h1", "h2", "nr", "place"])
 
 
 def removed_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -112,12 +112,15 @@ def removed_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     anchors = hashed.mapInArrow(_anchors, "hash bigint, key bigint, place int")
     hot = stored(anchors.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash"))
     places = anchors.join(hot, "hash", "left_semi").groupBy("key").agg(F.array_distinct(F.collect_list("place")).alias("hot"))
-    held = plain.join(stored(places), "key")
-    chosen = held.select("key", word_hashes(F.col("text")).alias("w"), "hot")
-    windows = stored(chosen.mapInArrow(_windows, "h1 bigint, h2 int, key bigint, place int"))
+    # the many window rows name their document by a small number, fixed once it is written
+    places = stored(places.withColumn("nr", F.monotonically_increasing_id()))
+    held = plain.join(places, "key")
+    chosen = held.select("nr", word_hashes(F.col("text")).alias("w"), "hot")
+    windows = stored(chosen.mapInArrow(_windows, "h1 bigint, h2 int, nr bigint, place int"))
     repeated = windows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h1", "h2")
     starts = windows.join(repeated, ["h1", "h2"], "left_semi")
-    return starts.groupBy("key").agg(F.array_sort(F.array_distinct(F.collect_list("place"))).alias("starts"))
+    starts = starts.groupBy("nr").agg(F.array_sort(F.array_distinct(F.collect_list("place"))).alias("starts"))
+    return starts.join(places.select("nr", "key"), "nr").select("key", "starts")
 
 
 REST = T.StructType().add("text", T.StringType()).add("n_words", T.IntegerType()).add("n_removed", T.IntegerType())
