@@ -116,8 +116,9 @@ def removed_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     places = stored(places.withColumn("nr", F.monotonically_increasing_id()))
     held = plain.join(places, "key")
     chosen = held.select("nr", word_hashes(F.col("text")).alias("w"), "hot")
-    windows = stored(chosen.mapInArrow(_windows, "h1 bigint, h2 int, nr bigint, place int"))
-    repeated = windows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h1", "h2")
+    # windows are made twice, as they take more room than it takes time to make them
+    windows = chosen.mapInArrow(_windows, "h1 bigint, h2 int, nr bigint, place int")
+    repeated = stored(windows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h1", "h2"))
     starts = windows.join(repeated, ["h1", "h2"], "left_semi")
     starts = starts.groupBy("nr").agg(F.array_sort(F.array_distinct(F.collect_list("place"))).alias("starts"))
     return starts.join(places.select("nr", "key"), "nr").select("key", "starts")
