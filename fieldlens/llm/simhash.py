@@ -9,6 +9,13 @@ reaches it is verified bit by bit. A list above ``long_list`` entries is not pai
 its members go on to longer keys (the triple and two more positions, of which a link shares
 at least one choice). Equal fingerprints are one entry, so copies never pair among themselves.
 
+Stages ask for a similarity of shingle sets (``keep_one(similarity=...)``). Three bits of 64 reach few
+pairs at 0.8, whose fingerprints differ in ten bits on average: such documents have ``WIDE``
+fingerprints of independent hashes, an index of triples of their 64 bytes, of which a pair at 0.8
+shares five on average, and a bit limit that such a pair stays under. What meets is verified by the
+Jaccard similarity of the shingle sets. A list meets its first document only; what is similar to it
+leaves, the rest meets its next one, and after ``rounds`` of this what is left meets as pairs.
+
 Nulls and cases: a null text is empty; a text without words has fingerprint zero and links like
 any other; repeated rows and rows of one id each count as documents; a null id takes part, and
 is a component's name only if the component has no other id. An empty table gives no rows.
@@ -29,6 +36,10 @@ from fieldlens.operators.spatial import connected_components
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LINK_BITS, SHARED_BYTES, SHINGLE = 3, 5, 3
+# by similarity: fingerprints of a document, and of their bits how many similar documents differ in at most
+WIDE, FAR_BITS = 8, 160
+# no two of these share more than one byte
+SPREAD = [tuple((i + b) % (WIDE * 8) for b in base) for base in ((0, 1, 3), (0, 4, 11), (0, 5, 18), (0, 6, 22)) for i in range(WIDE * 8)]
 TRIPLES = [c for half in (range(4), range(4, 8)) for c in combinations(half, 3)]
 
 
@@ -63,11 +74,11 @@ def majority_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(fp.astype("i8"))], names=names)
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE) -> DataFrame:
     """(id, mark, fp): the 64-bit SimHash of each row's text as a signed number; mark is a hash of the text."""
     id_type = docs.schema[id_col].dataType.simpleString()
     text = text_of(text_col)
-    hashed = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("mark"), shingle_hashes(text).alias("hashes"))
+    hashed = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("mark"), shingle_hashes(text, size).alias("hashes"))
     return hashed.mapInArrow(majority_bits, f"id {id_type}, mark bigint, fp bigint")
 
 
@@ -109,9 +120,9 @@ def similar_fingerprints(fps: DataFrame, long_list: int = 512) -> DataFrame:
     return found.unionByName(_links(_postings(crowded, fives))).distinct()
 
 
-def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", long_list: int = 512) -> DataFrame:
+def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", long_list: int = 512, size: int = SHINGLE) -> DataFrame:
     """(id, fp, component): component is the smallest id reachable over links."""
-    prints = stored(fingerprints(docs, id_col, text_col))
+    prints = stored(fingerprints(docs, id_col, text_col, size))
     groups = prints.groupBy("fp").agg(F.min("id").alias("first"))
     links = similar_fingerprints(groups, long_list)
     reach = connected_components(links, []).select(F.col("node").alias("fp"), F.col("comp").alias("root"))
@@ -121,12 +132,108 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return prints.join(label, "fp").select("id", "mark", "fp", "component")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the document with the smallest id; of
-    rows that share this id one with the smallest text hash."""
-    found = components(docs, id_col, text_col)
-    first = F.min(F.struct(F.col("id").isNull().alias("void"), "id", "mark"))
-    heads = found.groupBy("component").agg(first.alias("h")).select(F.col("h.id").alias("h_id"), F.col("h.mark").alias("h_mark"))
+def _mixed(hashes: np.ndarray, k: int) -> np.ndarray:
+    """The k-th of independent hashes (SplitMix64)."""
+    x = hashes ^ np.uint64(0x9E3779B97F4A7C15 * (k + 1) % (1 << 64))
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def wide_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Replace the last column, lists of hashes, by their ``WIDE`` SimHashes as one binary."""
+    for batch in batches:
+        lists = batch.column(batch.num_columns - 1)
+        values, ends = lists.values.to_numpy().astype("u8"), lists.offsets.to_numpy()
+        prints = []
+        for start, end in zip(ends[:-1], ends[1:]):
+            ones = np.zeros((WIDE, 64), np.int64)
+            for at in range(start, end, 16384):
+                part = values[at : min(at + 16384, end)]
+                for k in range(WIDE):
+                    bits = np.unpackbits(_mixed(part, k).astype(">u8").view(np.uint8)).reshape(-1, 64)
+                    ones[k] += bits.sum(axis=0, dtype=np.int64)
+            prints.append(np.packbits(ones * 2 > end - start).tobytes())
+        names = [*batch.schema.names[:-1], "wide"]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(prints, pa.binary())], names=names)
+
+
+def wide_postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(no, wide) in, (key, no) out: a document under each triple of ``SPREAD``."""
+    at = np.array(SPREAD)
+    which = np.arange(len(SPREAD), dtype=np.int64) << 24
+    for batch in batches:
+        for start in range(0, batch.num_rows, 1000):
+            part = batch.slice(start, 1000)
+            wide = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint8).reshape(-1, WIDE * 8).astype(np.int64)
+            key = which + (wide[:, at[:, 0]] << 16) + (wide[:, at[:, 1]] << 8) + wide[:, at[:, 2]]
+            no = np.repeat(part.column(0).to_numpy(), len(SPREAD))
+            yield pa.RecordBatch.from_arrays([pa.array(key.ravel()), pa.array(no)], names=["key", "no"])
+
+
+def wide_near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b, wide_a, wide_b) in, the pairs (a, b) of at most ``FAR_BITS`` differing bits out."""
+    for batch in batches:
+        x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), "u8").reshape(-1, WIDE) for k in (2, 3))
+        near = pa.array(np.bitwise_count(x ^ y).sum(axis=1) <= FAR_BITS)
+        yield pa.RecordBatch.from_arrays([batch.column(0).filter(near), batch.column(1).filter(near)], names=["a", "b"])
+
+
+def _with_both(pairs: DataFrame, of: DataFrame, name: str) -> DataFrame:
+    a, b = (of.select(F.col("no").alias(k), F.col(name).alias(f"{name}_{k}")) for k in "ab")
+    return pairs.join(a, "a").join(b, "b")
+
+
+def dissimilar(docs: DataFrame, id_col: str, text_col: str, size: int, similarity: float, rounds: int = 4) -> DataFrame:
+    """(h_id, h_mark) of the texts that stay: no earlier one (by id, then mark) was found as similar."""
+    text = text_of(text_col)
+    order = F.struct(F.col("id").isNull().alias("void"), "id", "mark")
+    sets = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("mark"), F.array_distinct(shingle_hashes(text, size)).alias("hashes"))
+    one = sets.select("id", "mark", F.xxhash64(F.array_sort("hashes")).alias("same"), "hashes")
+    kind = one.schema["id"].dataType.simpleString()
+    prints = stored(one.mapInArrow(wide_bits, f"id {kind}, mark bigint, same bigint, wide binary"))
+    # texts with the same shingles are one entry, under its first document
+    firsts = prints.groupBy("same").agg(F.min(order).alias("f"), F.first("wide").alias("wide"))
+    firsts = firsts.select("same", F.col("f.id").alias("id"), F.col("f.mark").alias("mark"), "wide").orderBy(F.col("id").isNull(), "id", "mark")
+    entries = stored(firsts.withColumn("no", F.monotonically_increasing_id()))  # rises with the order
+    live = entries.select("no", "wide").mapInArrow(wide_postings, "key bigint, no bigint").repartition("key")
+    gone = []
+    for n in range(rounds + 1):
+        heads = live.groupBy("key").agg(F.min("no").alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+        met = stored(live.join(heads, "key").filter("no > head").select("key", "no", "head"))
+        if met.isEmpty():
+            break
+        pairs = met.select(F.col("head").alias("a"), F.col("no").alias("b"))
+        if n == rounds:
+            pairs = pairs.unionByName(met.select("key", F.col("no").alias("a")).join(met.select("key", F.col("no").alias("b")), "key").filter("a < b").select("a", "b"))
+        near = stored(_with_both(pairs.distinct(), entries, "wide").select("a", "b", "wide_a", "wide_b").mapInArrow(wide_near, "a bigint, b bigint"))
+        met_again = near.select(F.col("a").alias("no")).unionByName(near.select(F.col("b").alias("no"))).distinct()
+        marks = entries.join(met_again, "no", "left_semi").select("no", "mark")
+        texts = docs.select(F.xxhash64(text).alias("mark"), text.alias("t")).join(marks.select("mark").distinct(), "mark", "left_semi").dropDuplicates(["mark"])
+        hashes = stored(texts.join(marks, "mark").select("no", F.array_distinct(shingle_hashes(F.col("t"), size)).alias("set")))
+        common = F.size(F.array_intersect("set_a", "set_b"))
+        alike = common >= similarity * (F.size("set_a") + F.size("set_b") - common)
+        gone.append(stored(_with_both(near, hashes, "set").filter(alike).select(F.col("b").alias("no")).distinct()))
+        live = met.select("key", "no").join(gone[-1], "no", "left_anti")
+    left = entries.select("no", F.col("id").alias("h_id"), F.col("mark").alias("h_mark"))
+    for g in gone:
+        left = left.join(g, "no", "left_anti")
+    return left.select("h_id", "h_mark")
+
+
+def keep_one(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, similarity: float | None = None,
+) -> DataFrame:
+    """The rows of ``docs`` that stay. Without ``similarity``: of each component of fingerprints at most
+    three bits apart the document with the smallest id. With it: all but documents whose shingle sets
+    are at least so similar to those of one with a smaller id. Of rows that share the id one with the
+    smallest text hash stays."""
+    if similarity is None:
+        found = components(docs, id_col, text_col, size=size)
+        first = F.min(F.struct(F.col("id").isNull().alias("void"), "id", "mark"))
+        heads = found.groupBy("component").agg(first.alias("h")).select(F.col("h.id").alias("h_id"), F.col("h.mark").alias("h_mark"))
+    else:
+        heads = dissimilar(docs, id_col, text_col, size, similarity)
     row = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), F.xxhash64(text_of(text_col)).alias("mark"))
     kept = row.join(heads, row["id"].eqNullSafe(heads["h_id"]) & (row["mark"] == heads["h_mark"]), "left_semi")
     return kept.dropDuplicates(["id", "mark"]).select("row.*")
