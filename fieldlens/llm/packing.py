@@ -2,10 +2,11 @@
 
 Every task tokenizes its documents, cuts the long ones into full sequences (the first piece takes
 the remainder) and packs the other pieces best-fit decreasing, a bounded number at a time. Bins
-that are nearly full are final. The others are items of the next round: rounds merge the bins of
-``fan_in`` tasks at a time, until one task is left. A task passes on at most ``pass_on`` underfull
-bins, the emptiest ones, so that no round outgrows a task; fuller ones are then final as they are.
-An item carries its pieces, so a bin's contents need no later look-up.
+that are nearly full are final. The pieces of all others, however many, are items of the next
+round: its tasks are as many as hold ``per_task`` items each, and items are dealt in turn, so that
+the sizes of all tasks mix. Once the items fit one task it is the last; a round of several tasks
+that saves less than one bin in a thousand is the last as well, and its bins, or those before if
+they are fewer, are final as they are. No bin is left out of a round for being one of many.
 
 Each round is written before it is read: a retried task cannot change bins already counted.
 Nulls and cases: a null or empty text is the end token alone; repeated rows are documents of
@@ -36,6 +37,7 @@ LENGTH = 2048
 END = 0
 FULL_FROM = 0.98  # a bin this full is final
 CHUNK = 50_000  # items packed at a time
+PER_TASK = 16_384  # items of a task from the second round on
 PIECE = ("piece", "start", "length", "ids_crc32")
 
 
@@ -106,16 +108,16 @@ def best_fit(sizes: np.ndarray, length: int) -> list[list[int]]:
     return bins
 
 
-def _packer(length: int, full: int, pass_on: int, round_no: int, last: bool):
-    """Items (size, members) in, bins (sequence_id, size, members) out; sequence_id is null where
-    the bin goes on to the next round."""
+def _packer(length: int, full: int, round_no: int):
+    """Items (size, members) in, bins (sequence_id, size, members, done) out; where not done, the
+    bin's pieces go on to the next round."""
     def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         context = TaskContext.get()
         head = (round_no << 56) | ((context.partitionId() if context else 0) << 28)
         number = 0
         held: list[tuple[int, list]] = []
 
-        def settle(final: bool):
+        def settle(keep: int):
             nonlocal number, held
             sizes = np.array([s for s, _ in held], np.int64)
             done, rest = [], []
@@ -123,27 +125,18 @@ def _packer(length: int, full: int, pass_on: int, round_no: int, last: bool):
                 size = int(sizes[b].sum())
                 members = [m for i in b for m in held[i][1]]
                 (done if size >= full else rest).append((size, members))
-            if not final:  # what is underfull meets the next items
-                rest.sort(key=lambda x: x[0])
-                keep = CHUNK // 4
-                done, held = done + rest[keep:], rest[:keep]
-                onward = []
-            else:
-                rest.sort(key=lambda x: x[0])
-                keep = 0 if last else pass_on
-                done, onward, held = done + rest[keep:], rest[:keep], []
-            ids = [head + number + k for k in range(len(done))]
-            number += len(done)
-            rows = [(i, s, m) for i, (s, m) in zip(ids, done)] + [(None, s, m) for s, m in onward]
-            out = pd.DataFrame(rows, columns=["sequence_id", "size", "members"])
-            out["sequence_id"] = out["sequence_id"].astype("Int64")
-            return out
+            rest.sort(key=lambda x: x[0])
+            held = rest[:keep]  # the emptiest meet the next items
+            bins = done + rest[keep:]
+            rows = [(head + number + k, size, members, k < len(done)) for k, (size, members) in enumerate(bins)]
+            number += len(bins)
+            return pd.DataFrame(rows, columns=["sequence_id", "size", "members", "done"])
 
         for pdf in frames:
             held += list(zip(pdf["size"].astype(int), (list(m) for m in pdf["members"])))
             if len(held) >= CHUNK:
-                yield settle(False)
-        yield settle(True)
+                yield settle(CHUNK // 4)
+        yield settle(0)
 
     return pack
 
@@ -175,7 +168,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer: Vocabulary, length: int = LENGT
 
 
 def pack(
-    docs: DataFrame, tokenizer: Vocabulary | None = None, length: int = LENGTH, fan_in: int = 8, pass_on: int = 2048,
+    docs: DataFrame, tokenizer: Vocabulary | None = None, length: int = LENGTH, per_task: int = PER_TASK,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """(id, piece, start, length, ids_crc32, sequence_id, offset): where each piece of ``docs`` lies."""
@@ -184,19 +177,30 @@ def pack(
     schema = T.StructType([
         T.StructField("sequence_id", T.LongType()), T.StructField("size", T.LongType()),
         T.StructField("members", T.ArrayType(pieces.select(member.alias("m")).schema["m"].dataType)),
+        T.StructField("done", T.BooleanType()),
     ])
     full = int(length * FULL_FROM)
     items = pieces.select(F.col("length").alias("size"), F.array(member).alias("members"))
-    tasks = max(1, items.rdd.getNumPartitions())
-    done, round_no = [], 0
+    done, before, round_no, last = [], None, 0, items.rdd.getNumPartitions() <= 1
     while True:
-        packed = stored(items.mapInPandas(_packer(length, full, pass_on, round_no, last=tasks == 1), schema))
-        done.append(packed.filter("sequence_id is not null"))
-        if tasks == 1:
+        packed = stored(items.mapInPandas(_packer(length, full, round_no), schema))
+        open_, pieces_left = packed.filter("not done").agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("members")), F.lit(0))).first()
+        if before is not None:
+            bins_before, held_before = before
+            count = packed.count()
+            if count > bins_before:
+                done.append(held_before)
+                break
+            last = last or bins_before - count < bins_before / 1000
+        if last or not open_:
+            done.append(packed)
             break
-        tasks, round_no = -(-tasks // fan_in), round_no + 1
-        left = packed.filter("sequence_id is null").select("size", "members")
-        items = left.repartition(tasks)
+        done.append(packed.filter("done"))
+        left = packed.filter("not done")
+        before, round_no = (open_, left), round_no + 1
+        tasks = -(-pieces_left // per_task)
+        last = tasks == 1
+        items = left.select(F.explode("members").alias("m")).select(F.col("m.length").alias("size"), F.array("m").alias("members")).repartition(tasks)
     bins = done[0]
     for more in done[1:]:
         bins = bins.unionByName(more)
