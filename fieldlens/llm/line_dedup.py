@@ -1,15 +1,16 @@
 """Line dedup by pairwise alignment.
 
 Documents overlap through shared line hashes. Every line that several documents hold names its
-first holder (the smallest id); a later document is paired with the first holders of its rare
+first holder (the smallest id); a later document is paired with the first holders of its
 lines and with no one else, so a line held by a group of thousands makes one link each, never
-all pairs. A line is rare if at most ``rare_share`` of the documents hold it, whatever their
-number. A pair is aligned by patience diff on the lines that name it: lines unique in both are
+all pairs. A pair is aligned by patience diff on the lines that name it: lines unique in both are
 the anchors, their longest rising run is kept, and the gaps between anchors are aligned
-likewise. Aligned lines of the later document make blocks; a block of at least
+likewise. Lines that did not align, as they stand in another order there, name the first holder
+among the later documents they are left in, in rounds until no line is left twice; a pair always
+aligns a line, so rounds end. Aligned lines of the later document make blocks; a block of at least
 ``block_words`` words is deleted. Blank lines between deleted lines go with them.
 
-Work is linear in the lines of the corpus: a group of copies is one row per line and copy.
+Work of a round is linear in the lines that are left: a group of copies is one row per line and copy.
 Nulls and cases: a null text stays null; documents are ordered by (id, text hash), a null id
 comes last; rows that agree in id and text are one document and change alike, so repeated rows
 delete nothing of each other; a line repeated within one document only stays; empty tables give
@@ -28,8 +29,6 @@ from pyspark.sql import types as T
 
 from fieldlens.llm.common import stored, table, text_of
 
-RARE_SHARE = 0.5
-RARE_LEAST = 20  # with so few holders a line is rare in any corpus
 BLOCK_WORDS = 5
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -99,9 +98,14 @@ def patience(later: list[tuple[int, int]], first: list[tuple[int, int]]) -> list
     return aligned
 
 
-@F.pandas_udf(T.ArrayType(T.IntegerType()))
-def aligned_lines(shared: pd.Series) -> pd.Series:
-    """Of each document's shared lines (partner, line, its places, the partner's places): the aligned places."""
+PLACES = T.ArrayType(T.IntegerType())
+ALIGNED = T.StructType().add("aligned", PLACES).add("lines", T.ArrayType(T.LongType())).add("left", T.ArrayType(PLACES))
+
+
+@F.pandas_udf(ALIGNED)
+def aligned_lines(shared: pd.Series) -> pd.DataFrame:
+    """Of each document's shared lines (partner, line, its places, the partner's places): the aligned
+    places, and the lines with places that are left."""
     out = []
     for lines in shared:
         partners: dict[tuple, tuple[list, list]] = {}
@@ -109,8 +113,10 @@ def aligned_lines(shared: pd.Series) -> pd.Series:
             later, first = partners.setdefault((s["first_id"], s["first_mark"]), ([], []))
             later += [(int(p), s["line"]) for p in s["places"]]
             first += [(int(p), s["line"]) for p in s["first_places"]]
-        out.append(sorted({p for later, first in partners.values() for p in patience(sorted(later), sorted(first))}))
-    return pd.Series(out)
+        gone = {p for later, first in partners.values() for p in patience(sorted(later), sorted(first))}
+        left = [(int(s["line"]), rest) for s in lines if (rest := [int(p) for p in s["places"] if p not in gone])]
+        out.append((sorted(gone), [line for line, _ in left], [rest for _, rest in left]))
+    return pd.DataFrame(out, columns=["aligned", "lines", "left"])
 
 
 def _split(text: Column) -> Column:
@@ -127,20 +133,30 @@ def line_places(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return lines.groupBy("id", "mark", "line").agg(F.array_sort(F.collect_set("place")).alias("places"))
 
 
-def deleted_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rare_share: float = RARE_SHARE) -> DataFrame:
+def deleted_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, mark, aligned): the places of lines that align with an earlier document's."""
     held = line_places(docs, id_col, text_col)
-    rare = max(RARE_LEAST, int(docs.count() * rare_share))
     who = F.struct(F.col("id").isNull().alias("void"), "id", "mark")
-    heads = held.groupBy("line").agg(F.min(who).alias("who"), F.min_by("places", who).alias("first_places"), F.count(F.lit(1)).alias("holders"))
-    heads = heads.filter(F.col("holders").between(2, rare))
-    # written, so that the join below has plain shuffles on both sides and Spark can split a hot line
-    heads = stored(heads.select("line", F.col("who.id").alias("first_id"), F.col("who.mark").alias("first_mark"), "first_places"))
     same = F.col("id").eqNullSafe(F.col("first_id")) & (F.col("mark") == F.col("first_mark"))
-    shared = held.join(heads, "line").filter(~same)
-    parts = F.collect_list(F.struct("first_id", "first_mark", "line", "places", "first_places"))
-    grouped = shared.groupBy("id", "mark").agg(parts.alias("shared"))
-    return grouped.select("id", "mark", aligned_lines("shared").alias("aligned"))
+    rounds = []
+    while True:
+        heads = held.groupBy("line").agg(F.min(who).alias("who"), F.min_by("places", who).alias("first_places"), F.count(F.lit(1)).alias("holders"))
+        # written, so that the join below has plain shuffles on both sides and Spark can split a hot line
+        heads = stored(heads.filter("holders > 1").select("line", F.col("who.id").alias("first_id"), F.col("who.mark").alias("first_mark"), "first_places"))
+        if rounds and heads.isEmpty():
+            break
+        shared = held.join(heads, "line").filter(~same)
+        parts = F.collect_list(F.struct("first_id", "first_mark", "line", "places", "first_places"))
+        grouped = shared.groupBy("id", "mark").agg(parts.alias("shared"))
+        rounds.append(stored(grouped.select("id", "mark", aligned_lines("shared").alias("x")).select("id", "mark", "x.*")))
+        left = rounds[-1].select("id", "mark", F.explode(F.arrays_zip("lines", "left")).alias("x"))
+        held = left.select("id", "mark", F.col("x.lines").alias("line"), F.col("x.left").alias("places"))
+    found = rounds[0].select("id", "mark", "aligned")
+    for more in rounds[1:]:
+        found = found.unionByName(more.select("id", "mark", "aligned"))
+    if len(rounds) > 1:
+        found = found.groupBy("id", "mark").agg(F.array_sort(F.flatten(F.collect_list("aligned"))).alias("aligned"))
+    return found
 
 
 REWRITTEN = T.StructType().add("text", T.StringType()).add("n_lines", T.IntegerType()).add("n_removed", T.IntegerType())
@@ -173,10 +189,10 @@ def rewritten(text: pd.Series, aligned: pd.Series, least: pd.Series) -> pd.DataF
 
 
 def dedup_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rare_share: float = RARE_SHARE, block_words: int = BLOCK_WORDS,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
     """(row, text, n_lines, n_removed): every input row as a struct, and its text without the deleted blocks."""
-    found = stored(deleted_lines(docs, id_col, text_col, rare_share))
+    found = stored(deleted_lines(docs, id_col, text_col))
     found = found.select(F.col("id").alias("d_id"), F.col("mark").alias("d_mark"), "aligned")
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), F.xxhash64(text_of(text_col)).alias("mark"))
     both = rows.join(found, rows["id"].eqNullSafe(found["d_id"]) & (rows["mark"] == found["d_mark"]), "left")
