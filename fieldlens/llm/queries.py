@@ -11,12 +11,13 @@ from fieldlens.llm.secrets import op7_markov_secrets
 from fieldlens.llm.sharding import op5_external_shuffle
 from fieldlens.llm.simhash import op6_simhash_components
 from fieldlens.llm.substring import op10_difference_cover
+from fieldlens.llm.suffixes import op11_suffix_buckets
 from fieldlens.llm.toxicity import op1_toxicity
 
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_line_dedup, op3_residual_packing, op4_order_minhash, op5_external_shuffle, op6_simhash_components, op7_markov_secrets,
     op8_sainte_lague_mix, op9_risk_controlled_rules,
-    op10_difference_cover,
+    op10_difference_cover, op11_suffix_buckets,
 )}
 
 # every word with its document and place; a window of 35 words as text; words under a window met twice
