@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from fieldlens.llm.alignment import op13_cross_tokenizer
 from fieldlens.llm.line_dedup import op2_line_dedup
 from fieldlens.llm.mixing import op8_sainte_lague_mix
 from fieldlens.llm.order_minhash import op4_order_minhash
@@ -17,7 +18,7 @@ from fieldlens.llm.toxicity import op1_toxicity
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_line_dedup, op3_residual_packing, op4_order_minhash, op5_external_shuffle, op6_simhash_components, op7_markov_secrets,
     op8_sainte_lague_mix, op9_risk_controlled_rules,
-    op10_difference_cover, op11_suffix_buckets,
+    op10_difference_cover, op11_suffix_buckets, op13_cross_tokenizer,
 )}
 
 # every word with its document and place; a window of 35 words as text; words under a window met twice
