@@ -34,16 +34,27 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, *used: DataFrame) -> DataFrame:
     """Write to the folder that all executors share and read back: a lost executor then costs
-    no earlier work, and later readers see one fixed result."""
+    no earlier work, and later readers see one fixed result. ``used`` are stored steps that nothing
+    reads any more once this one is written; their folders go."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     # Spark deletes the shuffle files of a finished plan once the driver has collected it as garbage
     gc.collect()
     spark._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.stored_at = path
+    release(*used)
+    return back
+
+
+def release(*steps: DataFrame) -> None:
+    """Delete the folders of stored steps that only steps already written have read."""
+    for step in steps:
+        path = step.sparkSession._jvm.org.apache.hadoop.fs.Path(step.stored_at)
+        path.getFileSystem(step.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def running_total(df: DataFrame, position: str, value: str, name: str, block: int = 4096) -> DataFrame:

@@ -16,13 +16,14 @@ the same offset. Neighbouring windows mostly share it and travel as one *segment
 2. Whole segments: one whose bytes all stand in an earlier segment is repeated outright, and only
    the pointer of each bucket of equal segments goes on. A passage or a group of near copies of any
    size is thereby looked into once.
-3. 58-byte buckets, which begin or end at the key gram: a window reaches 42 bytes to one of
-   its sides, so halves of segments that are alone in theirs are settled.
+3. 80-byte buckets around the key gram: windows that have it at offsets ``STEP`` * c and the next
+   20 all hold the 80 bytes from c steps before it, so that part of a segment is settled if it is
+   alone in that bucket.
 4. 100-byte buckets of the suffixes in what is left.
 
 Every step counts and takes minima, which combine before the shuffle, and joins back to one row per
 bucket, so that a bucket of any size costs its rows and no pairs. Identifiers have 64 bits in steps
-1 and 3, which only settle, and 96 where they decide.
+1 and 3, which only settle, and 96 where they decide. Texts move three times.
 
 Nulls and cases: a null text is empty. Rows that agree in id and text are one document and share
 its result; rows of one id and different texts stand in the order of a hash of the text; null ids
@@ -42,12 +43,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldlens.llm.common import running_total, stored, table, text_of
+from fieldlens.llm.common import release, running_total, stored, table, text_of
 
 MATCH = 100
 GRAM = 16  # bytes of an initial bucket
 SPAN = MATCH - GRAM + 1  # grams of a window
-REACH = (MATCH - GRAM) // 2  # a window reaches so many bytes or more to one side of its key gram
+STEP = 21  # windows that share an 80-byte bucket: MATCH - STEP + 1 bytes
 PIECE = 1 << 20  # window starts read at a time
 PLACE_BITS = 21
 # fixed values: odd multipliers of the two families of identifiers, and the stirring of SplitMix64
@@ -82,10 +83,10 @@ def finer(grams: np.ndarray, at: np.ndarray, family: int = 0) -> np.ndarray:
     return paired(named64(at), named64(at + MATCH - 64), family)
 
 
-def reach_bucket(grams: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The identifier of the GRAM + REACH = 58 bytes from the places ``at``."""
-    first, last = paired(grams[at], grams[at + 16]), paired(grams[at + 26], grams[at + 42])
-    return paired(first, last)
+def shared_part(grams: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The identifier of the MATCH - STEP + 1 = 80 bytes from the places ``at``."""
+    first, last = paired(grams[at], grams[at + 16]), paired(grams[at + 32], grams[at + 48])
+    return paired(paired(first, last), grams[at + 64])
 
 
 def key_grams(grams: np.ndarray) -> np.ndarray:
@@ -150,14 +151,14 @@ def pieces(rows: Iterator[tuple]) -> Iterator[tuple[Piece, list]]:
         yield Piece(held), extras
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """(start, bytes, other columns...) row by row, without copies of whole batches."""
+def _texts(batches: Iterator[pa.RecordBatch], key: str = "start") -> Iterator[tuple]:
+    """(key, bytes, other columns...) row by row, without copies of whole batches."""
     for batch in batches:
         text = batch.column("text").cast(pa.large_binary())
-        start = batch.column("start").to_pylist()
-        others = [c for n, c in zip(batch.schema.names, batch.columns) if n not in ("start", "text")]
+        keys = batch.column(key).to_pylist()
+        others = [c for n, c in zip(batch.schema.names, batch.columns) if n not in (key, "text")]
         for i in range(batch.num_rows):
-            yield (start[i], text[i].as_py(), *[c[i].values.to_numpy(zero_copy_only=False) for c in others])
+            yield (keys[i], text[i].as_py(), *[c[i].values.to_numpy(zero_copy_only=False) for c in others])
 
 
 def _rows(names: list[str], *columns: np.ndarray) -> pa.RecordBatch:
@@ -165,20 +166,20 @@ def _rows(names: list[str], *columns: np.ndarray) -> pa.RecordBatch:
 
 
 def _key_gram_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(gram, start, place): the bucket of each segment's key gram, and where it is."""
-    for piece, _ in pieces(_texts(batches)):
+    """(gram, key, place): the bucket of each segment's key gram, and in which text and where it is."""
+    for piece, _ in pieces(_texts(batches, "key")):
         grams = gram_buckets(piece.data)
         part, _, _, key = piece.segments(grams)
         place = piece.offsets[part] + key - piece.begins[part]
-        yield _rows(["gram", "start", "place"], grams[key], piece.docs[part], place.astype(np.int32))
+        yield _rows(["gram", "key", "place"], grams[key], piece.docs[part], place.astype(np.int32))
 
 
-SEGMENTS = "s1 bigint, s2 int, start bigint, first int, n int, n_tail int, tail bigint, head bigint"
+SEGMENTS = "s1 bigint, s2 int, start bigint, first int, n int, gram int, parts array<bigint>"
 
 
 def _segment_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Segments whose key gram is in ``places``: the identifier of all their bytes, their windows, how many
-    of these reach far to the left of the key gram, and the 58-byte buckets that end (tail) and begin (head) there."""
+    """Segments whose key gram is in ``places``: the identifier of all their bytes, their windows, the
+    place of the key gram, and the 80-byte buckets of their parts from the last windows to the first."""
     for piece, extras in pieces(_texts(batches)):
         grams = gram_buckets(piece.data)
         part, first, last, key = piece.segments(grams)
@@ -194,11 +195,14 @@ def _segment_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         s1 = paired(finer(grams, first), finer(grams, last)) + n.astype(np.uint64)
         other = gram_buckets(piece.data, 1)
         s2 = _high(paired(finer(other, first, 1), finer(other, last, 1), 1))
-        n_tail = np.clip(key - first - REACH + 1, 0, n)
-        tail = reach_bucket(grams, np.where(n_tail > 0, key - REACH, first))
-        head = reach_bucket(grams, np.where(n_tail < n, key, first))
-        offset = piece.offsets[part] + first - piece.begins[part]
-        yield _rows(["s1", "s2", "start", "first", "n", "n_tail", "tail", "head"], s1, s2, piece.docs[part], *(x.astype(np.int32) for x in (offset, n, n_tail)), tail, head)
+        low, high = (key - last) // STEP, (key - first) // STEP
+        count = high - low + 1
+        which = np.repeat(low, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        parts = shared_part(grams, np.repeat(key, count) - which * STEP).view(np.int64)
+        local = piece.begins[part] - piece.offsets[part]
+        rows = _rows(["s1", "s2", "start", "first", "n", "gram"], s1, s2, piece.docs[part], *(x.astype(np.int32) for x in (first - local, n, key - local)))
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(count)]).astype(np.int32)), pa.array(parts))
+        yield pa.RecordBatch.from_arrays([*rows.columns, lists], names=[*rows.schema.names, "parts"])
 
 
 def _suffix_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,49 +234,62 @@ def _mark(text: Column) -> Column:
 
 
 def texts_in_a_row(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(mark, owner, n_bytes, start): each text by its hash, the id of the first document that has it,
+    """(mark, key, owner, n_bytes, start): each text by its hash (and a short one), the id of the first document that has it,
     and where its bytes start when all texts stand in a row."""
     text = text_of(text_col)
-    each = docs.select(F.col(id_col).alias("id"), _mark(text).alias("mark"), F.octet_length(text).alias("n_bytes")).distinct()
+    each = docs.select(F.col(id_col).alias("id"), _mark(text).alias("mark"), F.octet_length(text).alias("n_bytes"), F.xxhash64(text).alias("key")).distinct()
     first = F.min(F.struct(F.col("id").isNull().alias("void"), "id")).alias("f")
-    owners = each.groupBy("mark").agg(first, F.first("n_bytes").alias("n_bytes")).select("mark", F.col("f.id").alias("owner"), "n_bytes")
+    owners = each.groupBy("mark").agg(first, F.first("n_bytes").alias("n_bytes"), F.first("key").alias("key"))
+    owners = owners.select("mark", F.col("f.id").alias("owner"), "n_bytes", "key")
     numbered = stored(owners.orderBy(F.col("owner").isNull(), "owner", "mark").withColumn("_no", F.monotonically_increasing_id()))
     # whole numbers from 0: rows of earlier partitions, then the row in its own
     part, row = F.shiftrightunsigned("_no", 33), F.col("_no").bitwiseAND(F.lit((1 << 33) - 1))
     sizes = running_total(numbered.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows")), "_part", "_rows", "_rows_before")
     dense = numbered.join(sizes.select("_part", "_rows_before"), part == F.col("_part")).withColumn("_no", F.col("_rows_before") + row)
-    return stored(running_total(dense, "_no", "n_bytes", "start").select("mark", "owner", "n_bytes", "start"))
+    return stored(running_total(dense, "_no", "n_bytes", "start").select("mark", "key", "owner", "n_bytes", "start"))
 
 
 def repeated_windows(docs: DataFrame, owners: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(start, begins, counts): for each text, ranges of windows that start earlier, from the text's own start."""
     text = text_of(text_col)
-    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), _mark(text).alias("mark"))
-    held = owners.filter(F.col("n_bytes") >= MATCH).withColumnRenamed("mark", "o_mark")
-    texts = rows.join(held, (rows["mark"] == held["o_mark"]) & rows["id"].eqNullSafe(held["owner"])).select("start", "text")
-
-    grams = texts.mapInArrow(_key_gram_rows, "gram bigint, start bigint, place int")
-    shared = stored(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("gram"))
-    places = stored(grams.join(shared, "gram", "left_semi").groupBy("start").agg(F.collect_set("place").alias("places")))
-
-    segments = stored(texts.join(places, "start").select("start", "text", "places").mapInArrow(_segment_rows, SEGMENTS))
+    long = F.octet_length(text) >= MATCH
+    # all rows are read here, as texts are few bytes to read again and many to move; a copy of a text meets
+    # no other place than the text itself
+    grams = docs.filter(long).select(F.xxhash64(text).alias("key"), text.alias("text")).mapInArrow(_key_gram_rows, "gram bigint, key bigint, place int")
+    spot = F.xxhash64("key", "place")
+    shared = stored(grams.groupBy("gram").agg(F.min(spot).alias("a"), F.max(spot).alias("b")).filter("a < b").select("gram"))
+    places = grams.join(shared, "gram", "left_semi").groupBy("key").agg(F.collect_set("place").alias("places"))
+    places = stored(places.join(owners, "key").select("mark", "owner", "start", "places"))
+
+    def with_text(lists: DataFrame, *columns: str) -> DataFrame:
+        rows = docs.filter(long).select(F.col(id_col).alias("id"), text.alias("text"), _mark(text).alias("r_mark"))
+        return rows.join(lists, (rows["r_mark"] == lists["mark"]) & rows["id"].eqNullSafe(lists["owner"])).select("start", "text", *columns)
+
+    segments = stored(with_text(places, "places").mapInArrow(_segment_rows, SEGMENTS))
+    release(places, shared)
     suffix = F.col("start") + F.col("first")
     pointers = segments.groupBy("s1", "s2").agg(F.min(suffix).alias("pointer"))
     pointed = stored(segments.join(pointers, ["s1", "s2"]).withColumn("is_first", suffix == F.col("pointer")).drop("s1", "s2", "pointer"))
     again = pointed.filter(~F.col("is_first")).select("start", "first", "n")
 
-    tails = F.struct(F.lit(0).alias("side"), F.col("tail").alias("bucket"), "first", F.col("n_tail").alias("n"))
-    heads = F.struct(F.lit(1).alias("side"), F.col("head").alias("bucket"), (F.col("first") + F.col("n_tail")).alias("first"), (F.col("n") - F.col("n_tail")).alias("n"))
-    halves = pointed.filter("is_first").select("start", F.explode(F.array(tails, heads)).alias("b")).select("start", "b.*").filter("n > 0")
-    met = stored(halves.groupBy("side", "bucket").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").drop("k"))
-    open_ = stored(_by_text(halves.join(met, ["side", "bucket"], "left_semi")))
-
-    suffixes = texts.join(open_, "start").select("start", "text", "begins", "counts").mapInArrow(_suffix_rows, "h1 bigint, h2 int, start bigint, place int")
+    # part c of a segment: its windows that have the key gram STEP * c to STEP * c + 20 bytes on
+    c = F.floor((F.col("gram") - F.col("first") - F.col("n") + 1) / STEP) + F.col("at")
+    begin = F.greatest(F.col("first"), F.col("gram") - c * STEP - (STEP - 1))
+    end = F.least(F.col("first") + F.col("n") - 1, F.col("gram") - c * STEP)
+    parts = pointed.filter("is_first").select("start", "first", "n", "gram", F.posexplode("parts").alias("at", "bucket"))
+    parts = parts.select("start", c.cast("int").alias("side"), "bucket", begin.cast("int").alias("first"), (end - begin + 1).cast("int").alias("n"))
+    met = stored(parts.groupBy("side", "bucket").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").drop("k"))
+    open_ = _by_text(parts.join(met, ["side", "bucket"], "left_semi"))
+    open_ = stored(open_.join(owners, "start").select("start", "mark", "owner", "begins", "counts"))
+    held = stored(with_text(open_, "begins", "counts"))
+    release(segments, met, open_)
+
+    suffixes = held.mapInArrow(_suffix_rows, "h1 bigint, h2 int, start bigint, place int")
     # made once for the pointers and once to meet them, as they take more room than time
     at = F.col("start") + F.col("place")
     pointers = stored(suffixes.groupBy("h1", "h2").agg(F.min(at).alias("pointer"), F.count(F.lit(1)).alias("k")).filter("k > 1").drop("k"))
     late = suffixes.join(pointers, ["h1", "h2"]).filter(at > F.col("pointer")).select("start", F.col("place").alias("first"), F.lit(1).alias("n"))
-    return _by_text(again.unionByName(late))
+    return stored(_by_text(again.unionByName(late)), held, pointed, pointers)
 
 
 def _by_text(ranges: DataFrame) -> DataFrame:
@@ -296,7 +313,7 @@ def without_ranges(raw: bytes, begins: np.ndarray, counts: np.ndarray) -> tuple[
 def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(row, n_bytes, n_removed, n_spans, kept): every input row as a struct and what is left of its bytes."""
     owners = texts_in_a_row(docs, id_col, text_col)
-    windows = stored(repeated_windows(docs, owners, id_col, text_col))
+    windows = repeated_windows(docs, owners, id_col, text_col)
     text = text_of(text_col)
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), _mark(text).alias("r_mark"))
     named = owners.join(windows, "start", "left").select("mark", "owner", "begins", "counts")
