@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from fieldlens.llm.common import stored, table
 from fieldlens.llm.packing import ODD, Vocabulary, vocabulary
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 
 
 @dataclass(frozen=True)
@@ -52,16 +52,18 @@ def public_pair() -> Pair:
     return Pair(vocabulary(), public.path("piece_bpe_32k.model"))
 
 
-@dataclass
 class Side:
-    """A tokenizer as a function of a list of texts, and the bytes of each id."""
+    """A tokenizer as a function of a text, and the bytes of each id."""
 
-    encode: Callable[[list[str]], list[list[int]]]
-    bytes_of: pa.Array
-
-    def __post_init__(self):
+    def __init__(self, encode: Callable[[str], Sequence[int]], bytes_of: list[bytes]):
+        self.encode = encode
+        self.bytes_of = pa.array(bytes_of, pa.binary())
         self.lengths = pc.binary_length(self.bytes_of).cast(pa.int64())
 
+    def said(self, after: str) -> list[str]:
+        """Each id as text with what stands after it."""
+        return [f"{i}{after}" for i in range(len(self.bytes_of))]
+
 
 def byte_letters() -> dict[str, int]:
     """The letter of each byte in byte-level vocabularies: printable ones stand for themselves, the others follow from 256."""
@@ -80,12 +82,12 @@ def byte_level_side(v: Vocabulary) -> Side:
         ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f)}
     quick = tiktoken.Encoding("ranks", pat_str=v.pattern, mergeable_ranks=ranks, special_tokens={})
 
-    def encode(texts):
-        return [exact.encode(" " + t, add_special_tokens=False).ids if ODD.search(t) else quick.encode_ordinary(" " + t) for t in texts]
+    def encode(text):
+        return exact.encode(" " + text, add_special_tokens=False).ids if ODD.search(text) else quick.encode_ordinary(" " + text)
 
     letters = byte_letters()
     entries = [exact.id_to_token(i) or "" for i in range(exact.get_vocab_size(with_added_tokens=True))]
-    return Side(encode, pa.array([bytes(letters[c] for c in e) for e in entries], pa.binary()))
+    return Side(encode, [bytes(letters[c] for c in e) for e in entries])
 
 
 def piece_side(path: str) -> Side:
@@ -93,11 +95,13 @@ def piece_side(path: str) -> Side:
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = [bytes([int(p[3:5], 16)]) if model.is_byte(i) else p.replace("▁", " ").encode() for i, p in ((i, model.id_to_piece(i)) for i in range(len(model)))]
-    return Side(lambda texts: model.encode(texts, num_threads=1), pa.array(pieces, pa.binary()))
+    return Side(model.encode, pieces)
 
 
-def token_lists(ids: list[list[int]]) -> pa.ListArray:
-    return pa.array(ids, pa.list_(pa.int32()))
+def token_lists(texts: list[str], side: Side) -> pa.ListArray:
+    ids = [np.array(side.encode(t), np.int32) for t in texts]
+    offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32)))
 
 
 def joined_bytes(lists: pa.ListArray, side: Side) -> pa.Array:
@@ -105,39 +109,47 @@ def joined_bytes(lists: pa.ListArray, side: Side) -> pa.Array:
 
 
 def token_ends(lists: pa.ListArray, side: Side, name: str) -> pa.Table:
-    """(doc, end, token): where each token ends in its document; token is its id."""
+    """(at, token): the document of each token and where it ends there, as one number; token is its id."""
     ids, doc = pc.list_flatten(lists), pc.list_parent_indices(lists).cast(pa.int64())
     total = pc.cumulative_sum(side.lengths.take(ids))
     # what had come before the document
     before = np.concatenate([[0], total.to_numpy()])[lists.offsets.to_numpy()[:-1]]
-    return pa.table({"doc": doc, "end": pc.subtract(total, pa.array(before, pa.int64()).take(doc)), name: ids})
+    end = pc.subtract(total, pa.array(before, pa.int64()).take(doc))
+    return pa.table({"at": pc.bit_wise_or(pc.shift_left(doc, 32), end), name: ids})
 
 
 def cuts(a: pa.Table, b: pa.Table) -> pa.Table:
-    """(doc, end, a, b, common) in order: every end of either side, the token of each side there, and whether both end."""
-    both = a.join(b, keys=["doc", "end"], join_type="full outer", use_threads=False).sort_by([("doc", "ascending"), ("end", "ascending")]).combine_chunks()
-    one = {n: both[n].chunk(0) if both[n].num_chunks else pa.array([], both.schema.field(n).type) for n in both.column_names}
-    a_ends, b_ends = pc.is_valid(one["a"]), pc.is_valid(one["b"])
+    """(doc, a, b, a_ends, b_ends, common) in order: every end of either side, the token of each side there, and what ends."""
+    both = a.join(b, keys="at", join_type="full outer", use_threads=False).sort_by("at").combine_chunks()
+    at, one, other = (both[n].chunk(0) if both[n].num_chunks else pa.array([], both.schema.field(n).type) for n in ("at", "a", "b"))
+    a_ends, b_ends = pc.is_valid(one), pc.is_valid(other)
     # a token covers what lies up to its end; the last ends of a document are always common
-    return pa.table({"doc": one["doc"], "a": pc.fill_null_backward(one["a"]), "b": pc.fill_null_backward(one["b"]), "a_ends": a_ends, "b_ends": b_ends, "common": pc.and_(a_ends, b_ends)})
+    return pa.table({"doc": pc.shift_right(at, 32), "a": pc.fill_null_backward(one), "b": pc.fill_null_backward(other), "a_ends": a_ends, "b_ends": b_ends, "common": pc.and_(a_ends, b_ends)})
 
 
-def group_texts(found: pa.Table, a: pa.ListArray, b: pa.ListArray) -> pa.Array:
+class GroupTexts:
     """Per document ``a1,a2|b1;a3|b2,b3``: the ids of each group."""
-    common = found["common"].to_numpy().astype(np.int64)
-    group = np.cumsum(common) - common
-    of_a, of_b = group[found["a_ends"].to_numpy()], group[found["b_ends"].to_numpy()]
-    a_last, b_last = (common[found[e].to_numpy()] > 0 for e in ("a_ends", "b_ends"))
-    ends = b.offsets.to_numpy()[1:] - 1
-    after_b = np.where(b_last, ";", ",").astype(object)
-    after_b[ends[ends >= 0]] = ""
-    at_a = np.arange(len(of_a)) + np.searchsorted(of_b, of_a, side="left")
-    at_b = np.arange(len(of_b)) + np.searchsorted(of_a, of_b, side="right")
-    said = [pc.binary_join_element_wise(pc.list_flatten(x).cast(pa.string()), pa.array(s, pa.string()), "") for x, s in ((a, np.where(a_last, "|", ",").astype(object)), (b, after_b))]
-    order = np.empty(len(at_a) + len(at_b), np.int64)
-    order[at_a], order[at_b] = np.arange(len(at_a)), len(at_a) + np.arange(len(at_b))
-    offsets = pc.add(a.offsets, b.offsets)
-    return pc.binary_join(pa.ListArray.from_arrays(offsets, pa.concat_arrays(said).take(pa.array(order))), "")
+
+    def __init__(self, a: Side, b: Side):
+        self.a, self.b = len(a.bytes_of), len(b.bytes_of)
+        self.words = pa.array(a.said(",") + a.said("|") + b.said(",") + b.said(";") + b.said(""), pa.string())
+
+    def of(self, found: pa.Table, a: pa.ListArray, b: pa.ListArray) -> pa.Array:
+        common = found["common"].to_numpy().astype(np.int64)
+        group = np.cumsum(common) - common
+        a_ends, b_ends = found["a_ends"].to_numpy(), found["b_ends"].to_numpy()
+        of_a, of_b = group[a_ends], group[b_ends]
+        n = int(common.sum())
+        # tokens of the groups before each, and of all groups up to each
+        before_b = np.concatenate([[0], np.cumsum(np.bincount(of_b, minlength=n))])
+        upto_a = np.cumsum(np.bincount(of_a, minlength=n))
+        closing = common[b_ends]
+        last = b.offsets.to_numpy()[1:] - 1
+        closing[last[np.diff(b.offsets.to_numpy()) > 0]] = 2
+        word = np.empty(len(of_a) + len(of_b), np.int64)
+        word[np.arange(len(of_a)) + before_b[of_a]] = pc.list_flatten(a).to_numpy() + self.a * common[a_ends]
+        word[np.arange(len(of_b)) + upto_a[of_b]] = pc.list_flatten(b).to_numpy() + 2 * self.a + self.b * closing
+        return pc.binary_join(pa.ListArray.from_arrays(pc.add(a.offsets, b.offsets), self.words.take(pa.array(word))), "")
 
 
 def by_document(doc: pa.Array, values: dict[str, pa.Array], n: int) -> dict[str, np.ndarray]:
@@ -153,11 +165,11 @@ ALIGNED = "block bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint
 MEASURES = ("n_a", "n_b", "n_groups", "n_links")
 
 
-def align_block(texts: list[str], side_a: Side, side_b: Side) -> tuple[dict[str, np.ndarray], list[str], list[np.ndarray], pa.Table]:
+def align_block(texts: list[str], side_a: Side, side_b: Side, said: GroupTexts) -> tuple[dict[str, np.ndarray], list[str], list[np.ndarray], pa.Table]:
     """Measures, digests and links (as numbers of the block's pairs) of each text, and the pairs (pair_a, pair_b, pair_n)."""
     n = len(texts)
     has = [k for k, t in enumerate(texts) if t]
-    a, b = (token_lists(side.encode([texts[k] for k in has])) for side in (side_a, side_b))
+    a, b = (token_lists([texts[k] for k in has], side) for side in (side_a, side_b))
     spaced = pa.array([b" " + texts[k].encode() for k in has], pa.binary())
     good = pc.and_(pc.equal(joined_bytes(a, side_a), spaced), pc.equal(joined_bytes(b, side_b), spaced))
     a, b, at = a.filter(good), b.filter(good), np.array(has, np.int64)[good.to_numpy(zero_copy_only=False)]
@@ -172,8 +184,8 @@ def align_block(texts: list[str], side_a: Side, side_b: Side) -> tuple[dict[str,
     pair = both.dictionary_encode()
     numbers = pair.indices.to_numpy()
     stops = np.cumsum(sums["n_links"])
-    for k, said, stop, size in zip(at, group_texts(found, a, b), stops, sums["n_links"]):
-        digests[k] = hashlib.sha256(said.as_buffer()).hexdigest()
+    for k, groups, stop, size in zip(at, said.of(found, a, b), stops, sums["n_links"]):
+        digests[k] = hashlib.sha256(groups.as_buffer()).hexdigest()
         links[k] = numbers[stop - size : stop]
     counted = pa.table({"pair": pair.indices}).group_by("pair").aggregate([([], "count_all")]).sort_by("pair")
     ids = pair.dictionary
@@ -184,6 +196,7 @@ def align_block(texts: list[str], side_a: Side, side_b: Side) -> tuple[dict[str,
 def _aligner(pair: Pair):
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = byte_level_side(pair.a), piece_side(pair.b)
+        said = GroupTexts(a, b)
         context = TaskContext.get()
         block = (context.partitionId() if context else 0) << 32
         for batch in batches:
@@ -193,7 +206,7 @@ def _aligner(pair: Pair):
                 base = sizes[at - 1] if at else 0
                 end = max(at + 1, int(np.searchsorted(sizes, base + BLOCK_BYTES, side="right")))
                 part = batch.slice(at, end - at)
-                measures, digests, links, pairs = align_block(part.column("text").to_pylist(), a, b)
+                measures, digests, links, pairs = align_block(part.column("text").to_pylist(), a, b, said)
                 n = part.num_rows
                 none = [None]
                 whole = {"pair_a": pa.int32(), "pair_b": pa.int32(), "pair_n": pa.int64()}
