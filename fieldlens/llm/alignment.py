@@ -193,7 +193,7 @@ def align_block(texts: list[str], side_a: Side, side_b: Side, said: GroupTexts)
     return measures, digests, links, pairs
 
 
-def _aligner(pair: Pair):
+def _aligner(pair: Pair, block_bytes: int):
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = byte_level_side(pair.a), piece_side(pair.b)
         said = GroupTexts(a, b)
@@ -204,7 +204,7 @@ def _aligner(pair: Pair):
             at = 0
             while at < batch.num_rows:
                 base = sizes[at - 1] if at else 0
-                end = max(at + 1, int(np.searchsorted(sizes, base + BLOCK_BYTES, side="right")))
+                end = max(at + 1, int(np.searchsorted(sizes, base + block_bytes, side="right")))
                 part = batch.slice(at, end - at)
                 measures, digests, links, pairs = align_block(part.column("text").to_pylist(), a, b, said)
                 n = part.num_rows
@@ -240,12 +240,12 @@ def _summer(names: list[str]):
     return summed
 
 
-def align(docs: DataFrame, pair: Pair | None = None, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+def align(docs: DataFrame, pair: Pair | None = None, block_bytes: int = BLOCK_BYTES, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(documents, pairs): per row id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256; per
     pair of ids that is linked anywhere a, b, count and whether it is the highest count of b."""
     plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = plain.schema["id"].dataType.simpleString()
-    rows = stored(plain.mapInArrow(_aligner(pair or public_pair()), f"id {kind}, {ALIGNED}"))
+    rows = stored(plain.mapInArrow(_aligner(pair or public_pair(), block_bytes), f"id {kind}, {ALIGNED}"))
     zipped = F.arrays_zip("pair_a", "pair_b", "pair_n")
     local = rows.filter("pair_a IS NOT NULL").select("block", F.posexplode(zipped).alias("pos", "p"))
     local = local.select("block", "pos", F.col("p.pair_a").alias("a"), F.col("p.pair_b").alias("b"), F.col("p.pair_n").alias("n"))

@@ -280,7 +280,8 @@ def repeated_windows(docs: DataFrame, owners: DataFrame, id_col: str, text_col:
     parts = parts.select("start", c.cast("int").alias("side"), "bucket", begin.cast("int").alias("first"), (end - begin + 1).cast("int").alias("n"))
     met = stored(parts.groupBy("side", "bucket").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").drop("k"))
     open_ = _by_text(parts.join(met, ["side", "bucket"], "left_semi"))
-    open_ = stored(open_.join(owners, "start").select("start", "mark", "owner", "begins", "counts"))
+    # an empty text starts where the next one does
+    open_ = stored(open_.join(owners.filter(F.col("n_bytes") >= MATCH), "start").select("start", "mark", "owner", "begins", "counts"))
     held = stored(with_text(open_, "begins", "counts"))
     release(segments, met, open_)
 
@@ -319,9 +320,12 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     named = owners.join(windows, "start", "left").select("mark", "owner", "begins", "counts")
     both = rows.join(named, rows["r_mark"] == named["mark"])
     later = ~F.col("id").eqNullSafe(F.col("owner"))
-    whole = F.octet_length(text_of(f"row.{text_col}"))
-    begins = F.when(later, F.when(whole >= MATCH, F.array(F.lit(0)))).otherwise(F.col("begins"))
-    counts = F.when(later, F.when(whole >= MATCH, F.array(whole - MATCH + 1))).otherwise(F.col("counts"))
+    size = F.octet_length(text_of(f"row.{text_col}"))
+
+    def ranges(of_copy: Column, of_first: Column) -> Column:
+        return F.when(size >= MATCH, F.when(later, F.array(of_copy)).otherwise(of_first))
+
+    begins, counts = ranges(F.lit(0), F.col("begins")), ranges(size - MATCH + 1, F.col("counts"))
     return both.select("row", _left(text_of(f"row.{text_col}"), begins, counts).alias("left")).select("row", "left.*")
 
 
