@@ -67,16 +67,16 @@ def paired(a: np.ndarray, b: np.ndarray, family: int = 0) -> np.ndarray:
     return x
 
 
-def gram_buckets(data: np.ndarray, family: int = 0) -> np.ndarray:
+def gram_buckets(data: np.ndarray) -> np.ndarray:
     """The identifier of the 16 bytes from each place."""
     h = data.astype(np.uint64)
     for step in (1, 2, 4, 8):
-        h = paired(h[:-step], h[step:], family)
+        h = paired(h[:-step], h[step:])
     return h
 
 
 def finer(grams: np.ndarray, at: np.ndarray, family: int = 0) -> np.ndarray:
-    """The identifier of the 100 bytes from the places ``at``."""
+    """The identifier of the 100 bytes from the places ``at``; families share the identifiers of 16 bytes."""
     def named64(i):
         return paired(paired(grams[i], grams[i + 16], family), paired(grams[i + 32], grams[i + 48], family), family)
 
@@ -193,8 +193,7 @@ def _segment_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             continue
         n = last - first + 1
         s1 = paired(finer(grams, first), finer(grams, last)) + n.astype(np.uint64)
-        other = gram_buckets(piece.data, 1)
-        s2 = _high(paired(finer(other, first, 1), finer(other, last, 1), 1))
+        s2 = _high(paired(finer(grams, first, 1), finer(grams, last, 1), 1))
         low, high = (key - last) // STEP, (key - first) // STEP
         count = high - low + 1
         which = np.repeat(low, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
@@ -219,8 +218,8 @@ def _suffix_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = np.flatnonzero(np.cumsum(wanted[:-1]) > 0)
         if not len(at):
             continue
-        h1 = finer(gram_buckets(piece.data), at)
-        h2 = _high(finer(gram_buckets(piece.data, 1), at, 1))
+        grams = gram_buckets(piece.data)
+        h1, h2 = finer(grams, at), _high(finer(grams, at, 1))
         part = piece.of(at)
         yield _rows(["h1", "h2", "start", "place"], h1, h2, piece.docs[part], (piece.offsets[part] + at - piece.begins[part]).astype(np.int32))
 
@@ -268,8 +267,10 @@ def repeated_windows(docs: DataFrame, owners: DataFrame, id_col: str, text_col:
     segments = stored(with_text(places, "places").mapInArrow(_segment_rows, SEGMENTS))
     release(places, shared)
     suffix = F.col("start") + F.col("first")
-    pointers = segments.groupBy("s1", "s2").agg(F.min(suffix).alias("pointer"))
-    pointed = stored(segments.join(pointers, ["s1", "s2"]).withColumn("is_first", suffix == F.col("pointer")).drop("s1", "s2", "pointer"))
+    # written, so that Spark can split the join of a bucket with many segments
+    heads = stored(segments.groupBy("s1", "s2").agg(F.min(suffix).alias("pointer"), F.max(suffix).alias("last")).filter("pointer < last").drop("last"))
+    is_first = F.col("pointer").isNull() | (suffix == F.col("pointer"))
+    pointed = stored(segments.join(heads, ["s1", "s2"], "left").withColumn("is_first", is_first).drop("s1", "s2", "pointer"), heads)
     again = pointed.filter(~F.col("is_first")).select("start", "first", "n")
 
     # part c of a segment: its windows that have the key gram STEP * c to STEP * c + 20 bytes on
@@ -294,8 +295,9 @@ def repeated_windows(docs: DataFrame, owners: DataFrame, id_col: str, text_col:
 
 
 def _by_text(ranges: DataFrame) -> DataFrame:
-    both = ranges.groupBy("start").agg(F.collect_set(F.struct("first", "n")).alias("r"))
-    return both.select("start", F.col("r.first").alias("begins"), F.col("r.n").alias("counts"))
+    both = ranges.groupBy("start").agg(F.collect_set(F.shiftleft(F.col("first").cast("bigint"), 32) + F.col("n")).alias("r"))
+    begins, counts = F.transform("r", lambda x: F.shiftright(x, 32).cast("int")), F.transform("r", lambda x: x.bitwiseAND(F.lit((1 << 32) - 1)).cast("int"))
+    return both.select("start", begins.alias("begins"), counts.alias("counts"))
 
 
 LEFT = T.StructType().add("n_bytes", T.LongType()).add("n_removed", T.LongType()).add("n_spans", T.LongType()).add("kept", T.BinaryType())
