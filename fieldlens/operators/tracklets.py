@@ -297,7 +297,7 @@ def gap_evidence(gaps: DataFrame, cand: DataFrame, tracklets: DataFrame, cfg: Sc
     dom = point_in_interval(labels, g, ["clip_id"], "frame", "start_frame", "end_frame").groupBy(
         "clip_id", "start_frame", "end_frame", "in_static").agg(F.sum("k").alias("k"), F.min("frame").alias("ff"))
     dom = dom.groupBy("clip_id", "start_frame", "end_frame").agg(
-        F.max_by("in_static", F.struct(F.col("k"), -F.col("ff"))).alias("dominant"))
+        F.max_by("in_static", F.struct(F.col("k"), -F.col("ff"), F.col("in_static"))).alias("dominant"))
     t = tracklets.filter("status <> 'anchor'").select(
         "clip_id", "tracklet_id", F.col("start_frame").alias("ts"), F.col("end_frame").alias("te"), "status", "best_available_score")
     comp = overlap_join(g, t, ["clip_id"], "start_frame", "end_frame", "ts", "te").groupBy("clip_id", "start_frame", "end_frame").agg(

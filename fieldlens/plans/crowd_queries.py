@@ -332,10 +332,10 @@ def render_modes(spark, sf):
 
 
 def thin_series(spark, sf):
-    return crowd_series(spark, sf).filter("score >= 0.42e0").withColumn("mode", F.when(F.expr("sample % 3 = 0"), "wide").otherwise("follow"))
+    return crowd_series(spark, sf).withColumn("mode", F.when(F.expr("sample % 3 = 0"), "wide").otherwise("follow"))
 
 
-THIN = "SELECT *, CASE WHEN sample%3=0 THEN 'wide' ELSE 'follow' END AS mode FROM (SELECT clip_id, sample, ts, cy, score FROM cs) WHERE score>=0.42e0"
+THIN = "SELECT *, CASE WHEN sample%3=0 THEN 'wide' ELSE 'follow' END AS mode FROM (SELECT clip_id, sample, ts, cy, score FROM cs)"
 UNW = f"SELECT *, sum(d) OVER (PARTITION BY clip_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS u FROM (SELECT *, coalesce({Q.delta('cy', 'ly')}, cy) AS d FROM (SELECT *, lag(cy) OVER (PARTITION BY clip_id ORDER BY ts) AS ly FROM thin))"
 DENSE = """SELECT g.clip_id, g.k, g.k/5e0 AS gt, (SELECT max({'t': u.ts, 'u': u.u, 's': u.score, 'm': u.mode}) FROM unw u WHERE u.clip_id=g.clip_id AND u.ts<=g.k/5e0) AS a,
    (SELECT min({'t': u.ts, 'u': u.u, 's': u.score, 'm': u.mode}) FROM unw u WHERE u.clip_id=g.clip_id AND u.ts>=g.k/5e0) AS b
@@ -388,14 +388,14 @@ def chunk_stitch(spark, sf):
 # ---------------------------------------------------------------- fused target
 def fusion_rows(spark, sf):
     p = V.players(spark, sf)
-    anchors = V.track_obs(spark, sf).filter("weighted_conf >= 0.95e0").select("clip_id", "frame", "yaw", "weighted_conf", "det_id")
+    anchors = V.track_obs(spark, sf).filter("source = 'stage0_reuse'").select("clip_id", "frame", "yaw", "weighted_conf", "det_id")
     s = crowd_series(spark, sf).select("clip_id", "sample", "ts", "centroid_yaw")
     return CR.fusion_anchors(s, anchors), p
 
 
 FUS_S = "SELECT *, round_even(ts*2e0, 0) AS fr, lag(round_even(ts*2e0, 0)) OVER (PARTITION BY clip_id ORDER BY sample) AS pf, row_number() OVER (PARTITION BY clip_id ORDER BY sample) AS n FROM (SELECT clip_id, sample, ts, cy FROM cs)"
 FUS_H = """SELECT s.clip_id, s.sample, s.n, s.cy, arg_max({'y': o.yaw, 'c': o.weighted_conf}, {'a': o.weighted_conf, 'b': -o.frame, 'c': -o.det_id}) FILTER (o.det_id IS NOT NULL) AS hit
-  FROM ss s LEFT JOIN (SELECT * FROM v_track_obs WHERE weighted_conf>=0.95e0) o ON o.clip_id=s.clip_id AND o.frame<=s.fr AND o.frame>coalesce(s.pf,-1) GROUP BY ALL"""
+  FROM ss s LEFT JOIN (SELECT * FROM v_track_obs WHERE source='stage0_reuse') o ON o.clip_id=s.clip_id AND o.frame<=s.fr AND o.frame>coalesce(s.pf,-1) GROUP BY ALL"""
 
 
 @query(

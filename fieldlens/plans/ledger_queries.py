@@ -413,12 +413,12 @@ def stage_roundtrip(spark, sf):
 
 @query(
     "frame_documents", "SRC-1 SNK-1 SRC-2",
-    Q.sql(["v_detections", "v_frames"], f"SELECT f.clip_id, f.frame, count(d.det_id) AS n, {Q.r4('max(raw_conf)')} AS top FROM v_frames f LEFT JOIN (SELECT * FROM v_detections WHERE raw_conf>=0.7e0) d ON d.clip_id=f.clip_id AND d.frame=f.frame GROUP BY f.clip_id, f.frame"),
+    Q.sql(["v_detections", "v_frames"], f"SELECT f.clip_id, f.frame, count(d.det_id) AS n, {Q.r4('max(raw_conf)')} AS top FROM v_frames f LEFT JOIN v_detections d ON d.clip_id=f.clip_id AND d.frame=f.frame GROUP BY f.clip_id, f.frame"),
 )
 def frame_documents(spark, sf):
     """Pack candidates into one document per frame and open them again: empty frames survive."""
     det = V.detections(spark, sf)
-    doc = WR.frame_map(det.filter("raw_conf >= 0.7e0").select("clip_id", "frame", "det_id", "yaw", "pitch", "raw_conf"), V.dense_frames(det))
+    doc = WR.frame_map(det.select("clip_id", "frame", "det_id", "yaw", "pitch", "raw_conf"), V.dense_frames(det))
     doc = doc.select("clip_id", "frame", F.to_json("candidates").alias("doc"))
     back = doc.select("clip_id", "frame", F.explode_outer(F.from_json("doc", "array<struct<det_id:long,yaw:double,pitch:double,raw_conf:double>>")).alias("c"))
     return back.groupBy("clip_id", "frame").agg(F.count("c.det_id").alias("n"), r4(F.max("c.raw_conf")).alias("top"))

@@ -330,15 +330,15 @@ def tracker_report(spark, sf):
 
 
 PF = """SELECT f.clip_id, f.frame, count(d.det_id) AS n, max(raw_conf) AS top_conf, min(CASE WHEN d.det_id IS NOT NULL THEN CASE WHEN det_id%8=0 THEN 0.3e0 WHEN det_id%8=1 THEN 0.7e0 ELSE 1e0 END END) AS min_penalty, any_value(total) AS total
-  FROM v_frames f LEFT JOIN (SELECT * FROM v_detections WHERE raw_conf>=0.7e0) d ON d.clip_id=f.clip_id AND d.frame=f.frame JOIN (SELECT clip_id, count(*) AS total FROM v_frames GROUP BY 1) t ON t.clip_id=f.clip_id GROUP BY f.clip_id, f.frame"""
+  FROM v_frames f LEFT JOIN v_detections d ON d.clip_id=f.clip_id AND d.frame=f.frame JOIN (SELECT clip_id, count(*) AS total FROM v_frames GROUP BY 1) t ON t.clip_id=f.clip_id GROUP BY f.clip_id, f.frame"""
 QT = "SELECT clip_id, list(top_conf ORDER BY top_conf)[CAST(floor(count(*)*0.25) AS BIGINT)+1] AS low_t, list(top_conf ORDER BY top_conf)[CAST(floor(count(*)*0.75) AS BIGINT)+1] AS high_t FROM pf WHERE top_conf IS NOT NULL GROUP BY clip_id"
 THIRD = "CASE WHEN frame<total//3 THEN 'temporal_early' WHEN frame<2*(total//3) THEN 'temporal_mid' ELSE 'temporal_late' END"
 
 
 def sample_inputs(spark, sf):
     det = V.detections(spark, sf)
-    cand = det.filter("raw_conf >= 0.7e0").select("clip_id", "frame", "det_id", F.col("raw_conf").alias("weighted_conf"),
-                                                F.expr("case when det_id % 8 = 0 then 0.3e0 when det_id % 8 = 1 then 0.7e0 else 1e0 end").alias("penalty"))
+    cand = det.select("clip_id", "frame", "det_id", F.col("raw_conf").alias("weighted_conf"),
+                      F.expr("case when det_id % 8 = 0 then 0.3e0 when det_id % 8 = 1 then 0.7e0 else 1e0 end").alias("penalty"))
     return SM.frame_summary(V.dense_frames(det), cand)
 
 

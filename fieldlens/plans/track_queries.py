@@ -175,15 +175,15 @@ _GAPS = """SELECT clip_id, 0 AS start_frame, coalesce(first_start-1, last) AS en
   SELECT a.clip_id, end_frame+1, coalesce(nstart-1, last), CASE WHEN nid IS NULL THEN 'after_last_anchor' ELSE 'between_anchors' END, tracklet_id, nid FROM
     (SELECT *, lead(start_frame) OVER w AS nstart, lead(tracklet_id) OVER w AS nid FROM anchors WINDOW w AS (PARTITION BY clip_id ORDER BY start_frame, tracklet_id)) a
     JOIN (SELECT clip_id, max(frame) AS last FROM v_frames GROUP BY 1) r ON r.clip_id=a.clip_id"""
-# Stretches of confident observations act as tracklets, so that gaps exist.
-PIECES = "SELECT clip_id, frame//20 AS tracklet_id, frame, det_id, yaw, pitch, weighted_conf, source, bbox_area_px, bbox_aspect_ratio FROM v_track_obs WHERE weighted_conf>=0.9e0"
+# Stretches of reused detections act as tracklets, so that gaps exist.
+PIECES = "SELECT clip_id, frame//20 AS tracklet_id, frame, det_id, yaw, pitch, weighted_conf, source, bbox_area_px, bbox_aspect_ratio FROM v_track_obs WHERE source='stage0_reuse'"
 GAP_ANCHORS = """SELECT clip_id, tracklet_id, min(frame) AS start_frame, max(frame) AS end_frame, avg(weighted_conf) AS best,
     CASE WHEN tracklet_id%3=0 THEN 'passing' WHEN count(*)<4 THEN 'fragment' WHEN tracklet_id%7=0 THEN 'rejected_static' ELSE 'anchor' END AS status FROM pieces GROUP BY clip_id, tracklet_id"""
 GAP = dict(pieces=PIECES, tk=GAP_ANCHORS, anchors="SELECT * FROM tk WHERE status='anchor'", gaps_all=_GAPS, gaps="SELECT *, end_frame-start_frame+1 AS span_frames FROM gaps_all WHERE start_frame<=end_frame")
 
 
 def gap_inputs(spark, sf):
-    obs = V.track_obs(spark, sf).filter("weighted_conf >= 0.9e0").withColumn("tracklet_id", F.expr("frame div 20"))
+    obs = V.track_obs(spark, sf).filter("source = 'stage0_reuse'").withColumn("tracklet_id", F.expr("frame div 20"))
     tk = obs.groupBy("clip_id", "tracklet_id").agg(
         F.min("frame").alias("start_frame"), F.max("frame").alias("end_frame"), F.avg("weighted_conf").alias("best_available_score"), F.count(F.lit(1)).alias("n"))
     status = F.when(F.expr("tracklet_id % 3 = 0"), "passing").when(F.col("n") < 4, "fragment").when(F.expr("tracklet_id % 7 = 0"), "rejected_static").otherwise("anchor")
@@ -204,7 +204,7 @@ def anchor_gaps(spark, sf):
 _EV = """SELECT g.clip_id, g.start_frame, g.end_frame, count(*) FILTER (sup) AS support_coverage_frames, coalesce(sum(res),0) AS n_res, coalesce(sum(res_static),0) AS n_static
   FROM gaps g LEFT JOIN (SELECT clip_id, frame, bool_or(raw_conf>=0.1e0) AS sup, count(*) FILTER (raw_conf<0.1e0) AS res, count(*) FILTER (raw_conf<0.1e0 AND lab IS NOT NULL) AS res_static FROM cd GROUP BY ALL) c
   ON c.clip_id=g.clip_id AND c.frame BETWEEN g.start_frame AND g.end_frame GROUP BY ALL"""
-_DOM = """SELECT clip_id, start_frame, end_frame, arg_max(lab, {'a': k, 'b': -ff}) AS dominant FROM
+_DOM = """SELECT clip_id, start_frame, end_frame, arg_max(lab, {'a': k, 'b': -ff, 'c': lab}) AS dominant FROM
   (SELECT g.clip_id, start_frame, end_frame, lab, count(*) AS k, min(frame) AS ff FROM gaps g JOIN cd c ON c.clip_id=g.clip_id AND c.frame BETWEEN start_frame AND end_frame WHERE raw_conf<0.1e0 AND lab IS NOT NULL GROUP BY ALL) GROUP BY ALL"""
 _CMP = """SELECT g.clip_id, g.start_frame, g.end_frame, count(t.tracklet_id) AS competing, count(*) FILTER (t.status='rejected_static') AS rejected, max(t.best) AS best
   FROM gaps g LEFT JOIN (SELECT * FROM tk WHERE status<>'anchor') t ON t.clip_id=g.clip_id AND t.start_frame<=g.end_frame AND t.end_frame>=g.start_frame GROUP BY ALL"""
@@ -230,7 +230,7 @@ def gap_evidence(spark, sf):
 
 
 # ---------------------------------------------------------------- loss windows and repair
-LOSS_IN = "SELECT * FROM v_detections WHERE raw_conf>=0.9e0 AND bbox_aspect_ratio IS NOT NULL"
+LOSS_IN = "SELECT * FROM v_detections WHERE source='stage0_reuse'"
 LOSS_SQL = """SELECT *, 'W' || lpad(CAST(row_number() OVER (PARTITION BY clip_id ORDER BY start_frame) AS VARCHAR), 4, '0') AS window_id,
     CASE WHEN b IS NULL THEN 'isolated' WHEN a IS NULL THEN 'open' ELSE 'bridgeable' END AS status FROM (
   SELECT clip_id, island, min(frame) AS start_frame, max(frame) AS end_frame, count(*) AS duration_frames, any_value(b) AS b, any_value(a) AS a FROM (
@@ -244,7 +244,8 @@ LOSS_SQL = """SELECT *, 'W' || lpad(CAST(row_number() OVER (PARTITION BY clip_id
 
 def loss_inputs(spark, sf):
     det = V.with_geometry(V.detections(spark, sf))
-    return det.filter("raw_conf >= 0.9e0 and bbox_aspect_ratio is not null"), V.dense_frames(det)
+    # the object is seen where detections are reused, and lost between
+    return det.filter("source = 'stage0_reuse'"), V.dense_frames(det)
 
 
 @query(
@@ -262,7 +263,7 @@ def loss_windows(spark, sf):
 def repaired(spark, sf):
     cand, frames = loss_inputs(spark, sf)
     windows = WN.loss_windows(frames, cand, conf="raw_conf")
-    # every detection of the clip may support a trace, not only the trusted object
+    # every detection of the clip may support a trace, not only those of the object
     return R.repair_windows(windows, V.with_geometry(V.detections(spark, sf)), RepairConfig(), conf="raw_conf")
 
 
@@ -286,7 +287,7 @@ def repair_summary(spark, sf):
 @query("backward_paths", "TRK-6")
 def backward_paths(spark, sf):
     det = V.detections(spark, sf)
-    anchors = V.track_obs(spark, sf).filter("weighted_conf >= 0.95e0").select("clip_id", F.col("det_id").alias("anchor_id"), "frame", "yaw", "pitch")
+    anchors = V.track_obs(spark, sf).filter("source = 'stage0_reuse'").select("clip_id", F.col("det_id").alias("anchor_id"), "frame", "yaw", "pitch")
     return rounded(R.propagate_backward(anchors, det, conf="raw_conf"), "yaw", "pitch", "score")
 
 
@@ -362,7 +363,7 @@ def replay_outcomes(spark, sf):
     return M.replay_summary(*replay_inputs(spark, sf))
 
 
-KEYF = "SELECT clip_id, frame, arg_max({'yaw': yaw, 'pitch': pitch, 'id': tracklet_id, 'score': weighted_conf}, {'c': weighted_conf, 'd': -det_id}) AS k FROM v_track_obs WHERE weighted_conf>=0.9e0 GROUP BY ALL"
+KEYF = "SELECT clip_id, frame, arg_max({'yaw': yaw, 'pitch': pitch, 'id': tracklet_id, 'score': weighted_conf}, {'c': weighted_conf, 'd': -det_id}) AS k FROM v_track_obs WHERE source='stage0_reuse' GROUP BY ALL"
 
 
 @query(
@@ -378,7 +379,7 @@ FROM (SELECT *, coalesce(k IS NULL AND nf-pf<=12,false) AS br, (frame-pf)/CAST(n
   WINDOW b AS (PARTITION BY clip_id ORDER BY frame ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), a AS (PARTITION BY clip_id ORDER BY frame ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)))""", kf=KEYF),
 )
 def dense_track(spark, sf):
-    obs = V.track_obs(spark, sf).filter("weighted_conf >= 0.9e0").groupBy("clip_id", "frame").agg(
+    obs = V.track_obs(spark, sf).filter("source = 'stage0_reuse'").groupBy("clip_id", "frame").agg(
         F.max_by(F.struct("yaw", "pitch", F.col("weighted_conf").alias("score"), "tracklet_id"), F.struct(F.col("weighted_conf"), -F.col("det_id"))).alias("k")).select("clip_id", "frame", "k.*")
     d = WN.dense_track(obs, V.dense_frames(V.detections(spark, sf)), 12)
     return rounded(d, "yaw", "pitch", "best_score")
@@ -448,11 +449,11 @@ def interval_overlaps(spark, sf):
 @query(
     "best_in_interval", "JOIN-8",
     Q.sql(["v_track_obs"], f"""SELECT i.clip_id, i.lo, arg_max(o.det_id, {{'a': o.weighted_conf, 'b': -o.det_id}}) AS det_id, {Q.r4('max(o.weighted_conf)')} AS conf, count(*) AS n
-FROM (SELECT DISTINCT clip_id, frame-3 AS lo, frame+3 AS hi FROM v_track_obs WHERE weighted_conf>=0.9e0) i JOIN v_track_obs o ON o.clip_id=i.clip_id AND o.frame BETWEEN lo AND hi GROUP BY ALL"""),
+FROM (SELECT DISTINCT clip_id, frame-3 AS lo, frame+3 AS hi FROM v_track_obs WHERE source='stage0_reuse') i JOIN v_track_obs o ON o.clip_id=i.clip_id AND o.frame BETWEEN lo AND hi GROUP BY ALL"""),
 )
 def best_in_interval(spark, sf):
     obs = V.track_obs(spark, sf)
-    i = obs.filter("weighted_conf >= 0.9e0").select("clip_id", (F.col("frame") - 3).alias("lo"), (F.col("frame") + 3).alias("hi")).distinct()
+    i = obs.filter("source = 'stage0_reuse'").select("clip_id", (F.col("frame") - 3).alias("lo"), (F.col("frame") + 3).alias("hi")).distinct()
     j = J.point_in_interval(obs.select("clip_id", "frame", "det_id", "weighted_conf"), i, ["clip_id"], "frame", "lo", "hi", 16)
     return j.groupBy("clip_id", "lo").agg(F.max_by("det_id", F.struct(F.col("weighted_conf"), -F.col("det_id"))).alias("det_id"), r4(F.max("weighted_conf")).alias("conf"), F.count(F.lit(1)).alias("n"))
 
