@@ -80,39 +80,57 @@ def new_arrivals(items: DataFrame, at: str, key: str, delay: str, cutoff=None) -
 
 # ---------------------------------------------------------------- state per group
 class CompletenessGate(StatefulProcessor):
-    """File counts per group: new / changed / waiting / ready, as the batch gate; a timer one
-    hour after the last change reports a group that nobody scans any more."""
+    """File counts per group: new / changed / waiting, ``ready`` once when the count held still for ``hold_s``,
+    ``done`` from then on. A group that no scan shows for ``absent_s`` leaves the state: reported as
+    ``vanished`` where it never got ready, else as ``closed``; if it comes back, it is new."""
 
     hold_s = 3600.0
 
+    def __init__(self, absent_s: float = 7200.0):
+        self.absent_s = absent_s
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("s", "last double, n long, since double")
+        self.state = handle.getValueState("s", "last double, n long, since double, ready boolean")
 
     def handleInputRows(self, key, rows, timerValues):
-        pdf = pd.concat(list(rows)).sort_values("scan_at")
-        last, n, since = self.state.get() if self.state.exists() else (None, None, None)
+        scans = pd.concat(list(rows)).groupby("scan_at", as_index=False)["n_files"].max()
+        now = self.state.get() if self.state.exists() else None
         out = []
-        for r in pdf.itertuples():
-            if last is not None and r.scan_at <= last:
+        for at, n in zip(scans["scan_at"].astype(float), scans["n_files"].astype(int)):
+            if now and at <= now[0]:
                 continue  # late
-            if n is None or n != r.n_files:
-                state, since = ("new" if n is None else "changed"), r.scan_at
+            if now and at - now[0] > self.absent_s:
+                out.append(self._gone(key, now))
+                now = None
+            if now is None:
+                state, now = "new", (at, n, at, False)
             else:
-                state = "ready" if r.scan_at - since >= self.hold_s else "waiting"
-            last, n = float(r.scan_at), int(r.n_files)
-            out.append((key[0], last, n, last - float(since), state))
-        self.state.update((last, n, float(since)))
-        self.handle.registerTimer(int((since + self.hold_s) * 1000))
+                last, before, since, ready = now
+                since = at if n != before else since
+                held = n == before and at - since >= self.hold_s
+                state = "done" if ready else "changed" if n != before else "ready" if held else "waiting"
+                now = (at, n, since, ready or held)
+            out.append((key[0], at, n, at - now[2], state))
+        self.state.update(now)
+        self.handle.registerTimer(self._leaves(now))
         yield self._frame(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        last, n, since = self.state.get()
-        at = expiredTimerInfo.getExpiryTimeInMs() / 1000.0
-        # the count changed since, or a scan after the hold has reported the group itself
-        stale = at < since + self.hold_s - 0.001 or last >= at
-        out = [] if stale else [(key[0], at, n, at - since, "ready_by_timer")]
-        yield self._frame(out)
+        now = self.state.get() if self.state.exists() else None
+        # a scan since has put the time off
+        over = now is not None and self._leaves(now) <= expiredTimerInfo.getExpiryTimeInMs()
+        if over:
+            self.state.clear()
+        yield self._frame([self._gone(key, now)] if over else [])
+
+    def _leaves(self, now) -> int:
+        return round((now[0] + self.absent_s) * 1000)
+
+    def _gone(self, key, now):
+        last, n, since, ready = now
+        at = last + self.absent_s
+        return (key[0], at, n, at - since, "closed" if ready else "vanished")
 
     def _frame(self, rows):
         df = pd.DataFrame(rows, columns=["grp", "scan_at", "n_files", "stable_s", "state"])
@@ -122,40 +140,112 @@ class CompletenessGate(StatefulProcessor):
         pass
 
 
-def completeness_stream(scans: DataFrame, delay: str = "0 seconds") -> DataFrame:
+def completeness_stream(scans: DataFrame, delay: str = "0 seconds", absent_s: float = 7200.0) -> DataFrame:
     """scans: grp, scan_at, n_files."""
     s = scans.withColumn("at", F.timestamp_micros((F.col("scan_at") * 1e6).cast("long"))).withWatermark("at", delay)
     return s.groupBy("grp").transformWithStateInPandas(
-        CompletenessGate(), "grp long, scan_at double, n_files long, stable_s double, state string", "Append", "eventTime")
+        CompletenessGate(absent_s), "grp long, scan_at double, n_files long, stable_s double, state string", "Append", "eventTime")
 
 
 class FailureCounter(StatefulProcessor):
-    """Consecutive failures per media item; a success clears them."""
+    """Failures of a media item since its last success, whatever order the attempts come in.
+
+    The state is the latest success and the failures after it. A later success drops those before
+    it, an earlier one changes nothing, so files in any order give what all rows at once give, and no
+    watermark has to wait for late ones. Attempts that came after a later one are counted."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.count = handle.getValueState("c", "fails long, seen long")
+        self.head = handle.getValueState("h", "seen long, late long, newest string, success string")
+        self.failures = handle.getMapState("f", "at string", "n long, reason string")
 
     def handleInputRows(self, key, rows, timerValues):
-        pdf = pd.concat(list(rows)).sort_values(["attempted_at", "attempt", "tie"])
-        fails, seen = self.count.get() if self.count.exists() else (0, 0)
-        for r in pdf.itertuples():
-            fails, seen = (fails + 1 if r.outcome == "failed" else 0), seen + 1
-        self.count.update((fails, seen))
-        yield pd.DataFrame([(key[0], fails, 24 if fails >= 3 else 0, seen)], columns=["media_id", "fail_count", "long_cooldown_h", "attempts_seen"])
+        pdf = pd.concat(list(rows))
+        seen, late, newest, success = self.head.get() if self.head.exists() else (0, 0, "", "")
+        # places in time as text that sorts like the numbers
+        names = [f"{round(t * 1e6) + 2**62:020d}|{a:012d}|{k:020d}" for t, a, k in zip(pdf["attempted_at"], pdf["attempt"], pdf["tie"])]
+        late += sum(n < newest for n in names)
+        seen, newest = seen + len(names), max([newest, *names])
+        failed = (pdf["outcome"] == "failed").tolist()
+        won = max([n for n, f in zip(names, failed) if not f], default="")
+        if won > success:
+            success = won
+            for (at,) in [k for k in self.failures.keys() if k[0] <= success]:
+                self.failures.removeKey((at,))
+        for name, f, reason in zip(names, failed, pdf["reason"]):
+            if f and name > success:
+                n, other = self.failures.getValue((name,)) if self.failures.containsKey((name,)) else (0, "")
+                self.failures.updateValue((name,), (n + 1, max(other, reason or "")))
+        self.head.update((seen, late, newest, success))
+        held = sorted((k[0], v[0], v[1]) for k, v in self.failures.iterator())
+        fails = sum(n for _, n, _ in held)
+        hours = 0 if not held else 24 if fails >= 3 else 1 if held[-1][2] in ("no download URL", "download failed") else 6
+        yield pd.DataFrame([(key[0], fails, hours, seen, late)], columns=["media_id", "fail_count", "cooldown_h", "attempts_seen", "out_of_order"])
 
     def close(self) -> None:
         pass
 
 
 def failure_stream(attempts: DataFrame) -> DataFrame:
+    """attempts: media_id, attempted_at (seconds), attempt, tie, outcome, reason. A row per item and batch that names it."""
     return attempts.groupBy("media_id").transformWithStateInPandas(
-        FailureCounter(), "media_id long, fail_count long, long_cooldown_h int, attempts_seen long", "Append", "None")
+        FailureCounter(), "media_id long, fail_count long, cooldown_h int, attempts_seen long, out_of_order long", "Append", "None")
+
+
+class EncoderMonitor(StatefulProcessor):
+    """Speed of an encoder over windows of ticks, with the last windows in the state. After ``strikes`` slow
+    ones in a row the run is to be aborted; the windows go on, for those who only watch."""
+
+    def __init__(self, floor: float, warmup: int, every: int, strikes: int):
+        self.floor, self.warmup, self.every, self.strikes = floor, warmup, every, strikes
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.at = handle.getValueState("a", "tick long, work double, t double, done double, streak long")
+        self.ring = handle.getListState("r", "speed double")
+
+    def handleInputRows(self, key, rows, timerValues):
+        pdf = pd.concat(list(rows)).sort_values("seq", kind="stable")
+        tick, work, t0, done, streak = self.at.get() if self.at.exists() else (0, 0.0, 0.0, 0.0, 0)
+        ring = [r[0] for r in self.ring.get()] if self.ring.exists() else []
+        out = []
+        for t, k in zip(pdf["t"].astype(float), pdf["work"].astype(float)):
+            tick, work = tick + 1, work + (0.0 if pd.isna(k) else k)
+            if tick < self.warmup or tick % self.every:
+                continue
+            speed = (work - done) / (t - t0) if t > t0 else 0.0
+            t0, done, ring = t, work, [*ring, speed][-self.strikes :]
+            streak = streak + 1 if speed < self.floor else 0
+            out.append((key[0], tick, speed, speed < self.floor, streak, len(ring) == self.strikes and max(ring) < self.floor))
+        self.at.update((tick, work, t0, done, streak))
+        self.ring.put([(x,) for x in ring])
+        df = pd.DataFrame(out, columns=["clip_id", "tick", "speed", "slow", "slow_streak", "abort"])
+        yield df.astype({"clip_id": object, "tick": "int32", "speed": float, "slow": bool, "slow_streak": "int64", "abort": bool})
+
+    def close(self) -> None:
+        pass
+
+
+def encoder_stream(ticks: DataFrame, floor: float, warmup: int = 12, every: int = 6, strikes: int = 3) -> DataFrame:
+    """ticks: clip_id, seq, t, work (done in this tick), in the order of seq over the files."""
+    return ticks.groupBy("clip_id").transformWithStateInPandas(
+        EncoderMonitor(floor, warmup, every, strikes), "clip_id string, tick int, speed double, slow boolean, slow_streak long, abort boolean", "Append", "None")
 
 
 # ---------------------------------------------------------------- online tracker
 TRACK_OUT = "frame int, yaw double, pitch double, best_score double, tracker_state string, loss_state string"
 
 
+def _records(g: pd.DataFrame) -> list[dict]:
+    """Rows of one frame; those without det_id are positions of players."""
+    rows = g[["det_id", "yaw", "pitch", "conf", "area", "px"]].to_dict("records")
+    return [{**r, "det_id": int(r["det_id"])} if pd.notna(r["det_id"]) else {"det_id": None, "yaw": r["yaw"], "pitch": r["pitch"]} for r in rows]
+
+
+def _crowd(rows):
+    """The middle of a frame's players, to which the camera drifts when the object has long been lost."""
+    at = sorted((r["yaw"], r["pitch"]) for r in rows if r["det_id"] is None)
+    return [sum(x) / len(at) for x in zip(*at)] if at else None
+
+
 def _advance(state, by_frame, upto):
     """Frames from the next expected one up to ``upto``; a frame without rows still ticks."""
     out = []
@@ -163,7 +253,8 @@ def _advance(state, by_frame, upto):
         return out
     first = state["frame"] + 1 if state["frame"] is not None else min(by_frame)
     for f in range(first, upto + 1):
-        out.append(TK.step(state, f, by_frame.get(f, [])))
+        rows = by_frame.get(f, [])
+        out.append(TK.step(state, f, sorted((r for r in rows if r["det_id"] is not None), key=lambda r: r["det_id"]), _crowd(rows)))
     return out
 
 
@@ -189,15 +280,15 @@ class OnlineTracker(StatefulProcessor):
                     continue
                 k = (int(f),)
                 old = json.loads(self.pending.getValue(k)[0]) if self.pending.containsKey(k) else []
-                recs = [{**r, "det_id": int(r["det_id"])} for r in g[["det_id", "yaw", "pitch", "conf", "area", "px"]].to_dict("records")]
-                self.pending.updateValue(k, (json.dumps(old + recs),))
-                self.handle.registerTimer((int(f) + 2) * self.frame_ms)
+                self.pending.updateValue(k, (json.dumps(old + _records(g)),))
+                # the first moment at which rows of the frame are late, so that the last frame of a clip needs no later one
+                self.handle.registerTimer((int(f) + 1) * self.frame_ms - 1)
         self.late.update((late,))
         self.track.update((json.dumps(state),))
         yield self._frame(key, [])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        upto = int(expiredTimerInfo.getExpiryTimeInMs() // self.frame_ms) - 2
+        upto = int((expiredTimerInfo.getExpiryTimeInMs() + 1) // self.frame_ms) - 1
         state = json.loads(self.track.get()[0])
         due = {}
         for k, v in list(self.pending.iterator()):
@@ -219,7 +310,7 @@ class OnlineTracker(StatefulProcessor):
 
 
 def track_stream(det: DataFrame, delay: str = "0 seconds") -> DataFrame:
-    """det: clip_id, frame, det_id, yaw, pitch, conf, area, px. One second of event time per
+    """det: clip_id, frame, det_id (null: a player), yaw, pitch, conf, area, px. One second of event time per
     frame, starting at second one: a row at the initial watermark (zero) would count as late."""
     d = det.withColumn("at", F.timestamp_seconds(F.col("frame") + 1)).withWatermark("at", delay)
     return d.groupBy("clip_id").transformWithStateInPandas(OnlineTracker(), f"clip_id string, {TRACK_OUT}", "Append", "eventTime")
@@ -231,7 +322,7 @@ def track_batch(det: DataFrame, block_frames: int = 65536) -> DataFrame:
 
     def run(pdf, text):
         state = json.loads(text) if text is not None else TK.fresh_state()
-        by = {int(f): [{**r, "det_id": int(r["det_id"])} for r in g[["det_id", "yaw", "pitch", "conf", "area", "px"]].to_dict("records")] for f, g in pdf.groupby("frame")}
+        by = {int(f): _records(g) for f, g in pdf.groupby("frame")}
         out = pd.DataFrame(_advance(state, by, int(pdf["frame"].max())), columns=["frame", "yaw", "pitch", "best_score", "tracker_state", "loss_state"])
         return out.astype({"frame": "int32", "yaw": float, "pitch": float, "best_score": "Float64"}), json.dumps(state)
 
