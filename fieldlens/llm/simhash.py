@@ -144,7 +144,7 @@ def wide_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Replace the last column, lists of hashes, by their ``WIDE`` SimHashes as one binary."""
     for batch in batches:
         lists = batch.column(batch.num_columns - 1)
-        values, ends = lists.values.to_numpy().astype("u8"), lists.offsets.to_numpy()
+        values, ends = lists.values.to_numpy().view("u8"), lists.offsets.to_numpy()
         prints = []
         for start, end in zip(ends[:-1], ends[1:]):
             ones = np.zeros((WIDE, 64), np.int64)

@@ -204,6 +204,13 @@ def fit(docs: DataFrame, labels: DataFrame, how: Fit = Fit(), exceptions: tuple[
     return lex
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Batches in parts, so that the texts of few rows are Python strings at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def score(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """(id, score, and the ``carry`` columns) for every row of ``docs``; score is 0 to 1."""
     plain = docs.select(F.col(id_col).alias("id"), *carry, text_of(text_col).alias("text"))
@@ -212,7 +219,7 @@ def score(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = lexicon.automaton()
-        for b in batches:
+        for b in slices(batches):
             d = [lexicon.density(t, automaton) for t in b.column("text").to_pylist()]
             scores = pa.array([x / (x + lexicon.cut) for x in d], pa.float64())
             yield pa.RecordBatch.from_arrays([*[b.column(f.name) for f in fields], scores], names=[*[f.name for f in fields], "score"])
@@ -223,9 +230,15 @@ def score(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: s
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that score below 0.5, unchanged."""
     lexicon = fit(docs, labels, id_col=id_col, text_col=text_col)
-    packed = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.struct(*docs.columns).alias("row"))
-    scored = score(packed, lexicon, "id", "text", carry=("row",))
-    return scored.filter("score < 0.5").select("row.*")
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = lexicon.automaton()
+        for b in slices(batches):
+            d = [lexicon.density(t or "", automaton) for t in b.column(text_col).to_pylist()]
+            # a score of 0.5 is a density at the cut
+            yield b.filter(pa.array([x / (x + lexicon.cut) < 0.5 for x in d], pa.bool_()))
+
+    return docs.mapInArrow(clean, docs.schema)
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
