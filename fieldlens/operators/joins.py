@@ -88,6 +88,24 @@ def nearest_in_frame(left: DataFrame, right: DataFrame, tolerance: float | None,
     return left.join(best, ["clip_id", "frame", "row_id"], "left").select(*left.columns, "b.*")
 
 
+def first_track_near(probes: DataFrame, tracks: DataFrame, tolerance: float, probe: str, order: str, payload: list[str]) -> DataFrame:
+    """The first track (lowest ``order``) that covers a probe's frame and lies within ``tolerance`` degrees of it.
+
+    probes: clip_id, ``probe``, frame, yaw, pitch. tracks: clip_id, ``order``, start_frame, end_frame, yaw, pitch.
+    Both meet by cell of that size and frame bucket, so neither the tracks of a moment nor those of a
+    place are paired as a whole. Adds 'm_<payload>', null where there is no such track.
+    """
+    edge = spatial.chord(tolerance) * (1 + 1e-6) + 1e-12
+    t = tracks.select("clip_id", "start_frame", "end_frame", F.col("yaw").alias("ty"), F.col("pitch").alias("tp"), F.col(order).alias("_order"),
+                      *[F.col(p).alias(f"m_{p}") for p in payload])
+    t = spatial.shift_cells(spatial.with_cell(t, edge, "ty", "tp"), 1)
+    at = spatial.with_cell(probes.select("clip_id", probe, "frame", "yaw", "pitch"), edge)
+    met = point_in_interval(at, t, ["clip_id", *spatial.CELL], "frame", "start_frame", "end_frame")
+    met = met.filter(geo.within(geo.angular_distance("yaw", "pitch", "ty", "tp"), tolerance))
+    first = met.groupBy("clip_id", probe).agg(F.min_by(F.struct(*[f"m_{p}" for p in payload]), "_order").alias("b"))
+    return probes.join(first, ["clip_id", probe], "left").select(*probes.columns, "b.*")
+
+
 def nearest_frame_of_track(probes: DataFrame, obs: DataFrame, reach: int = 5) -> DataFrame:
     """Closest observation of a track to a frame, at most ``reach`` frames away.
 

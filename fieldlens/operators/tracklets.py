@@ -238,10 +238,13 @@ def upper_median_position(obs: DataFrame) -> DataFrame:
 
 
 def feature_stats(obs: DataFrame) -> DataFrame:
-    """Mean, population deviation and maximum of box, confidence and plain yaw/pitch steps."""
+    """Mean, population deviation and maximum of box, confidence and plain yaw/pitch steps. Width and height
+    follow from area and aspect, and are null where the box is."""
+    width, height = F.sqrt(F.col("bbox_area_px") * F.col("bbox_aspect_ratio")), F.sqrt(F.col("bbox_area_px") / F.col("bbox_aspect_ratio"))
     o = carry_scan(obs, KEY, ["frame"], frame_block(), {"prev": Carry("last", F.struct("yaw", "pitch"), exclusive=True)})
     o = o.withColumn("step", F.hypot(F.col("yaw") - F.col("prev.yaw"), F.col("pitch") - F.col("prev.pitch")))
     return o.groupBy(*KEY).agg(
+        F.avg(width).alias("width_mean"), F.max(width).alias("width_max"), F.avg(height).alias("height_mean"),
         F.avg("bbox_area_px").alias("area_mean"), F.avg("bbox_aspect_ratio").alias("aspect_mean"), F.max("bbox_aspect_ratio").alias("aspect_max"),
         F.avg("weighted_conf").alias("conf_mean"), F.stddev_pop("weighted_conf").alias("conf_std"),
         F.avg("step").alias("step_mean"), F.max("step").alias("step_max"), F.stddev_pop("step").alias("step_std"),

@@ -140,7 +140,8 @@ def static_motion_audit(spark, sf):
 
 @query(
     "observation_features", "AGG-7",
-    Q.sql(["v_track_obs"], f"""SELECT clip_id, tracklet_id, {Q.r4('avg(bbox_area_px)')} AS area_mean, {Q.r4('avg(bbox_aspect_ratio)')} AS aspect_mean, {Q.r4('max(bbox_aspect_ratio)')} AS aspect_max,
+    Q.sql(["v_track_obs"], f"""SELECT clip_id, tracklet_id, {Q.r4('avg(sqrt(bbox_area_px*bbox_aspect_ratio))')} AS width_mean, {Q.r4('max(sqrt(bbox_area_px*bbox_aspect_ratio))')} AS width_max, {Q.r4('avg(sqrt(bbox_area_px/bbox_aspect_ratio))')} AS height_mean,
+  {Q.r4('avg(bbox_area_px)')} AS area_mean, {Q.r4('avg(bbox_aspect_ratio)')} AS aspect_mean, {Q.r4('max(bbox_aspect_ratio)')} AS aspect_max,
   {Q.r4('avg(weighted_conf)')} AS conf_mean, {Q.r4('stddev_pop(weighted_conf)')} AS conf_std, {Q.r4('avg(step)')} AS step_mean, {Q.r4('max(step)')} AS step_max, {Q.r4('stddev_pop(step)')} AS step_std,
   {Q.r4('count(bbox_area_px)/CAST(count(*) AS DOUBLE)')} AS geo_coverage
 FROM (SELECT *, sqrt(pow(yaw-lag(yaw) OVER w,2)+pow(pitch-lag(pitch) OVER w,2)) AS step FROM v_track_obs WINDOW w AS (PARTITION BY clip_id, tracklet_id ORDER BY frame)) GROUP BY ALL"""),
@@ -500,6 +501,23 @@ def track_at_frame(spark, sf):
     return rounded(J.nearest_frame_of_track(probes, obs, 5).drop("pitch"), "yaw")
 
 
+MID = """SELECT clip_id, tracklet_id, min(frame) AS s, max(frame) AS e, list_sort(list(yaw))[count(*)//2+1] AS ty, list_sort(list(pitch))[count(*)//2+1] AS tp FROM v_track_obs GROUP BY ALL"""
+
+
+@query(
+    "track_near_detection", "JOIN-14",
+    Q.sql(["v_track_obs"], f"""SELECT d.clip_id, d.det_id, min(t.tracklet_id) FILTER ({Q.gc('d.yaw', 'd.pitch', 'ty', 'tp')}<=10e0+{Q.TOL}) AS tracklet_id
+FROM v_detections d LEFT JOIN tm t ON t.clip_id=d.clip_id AND d.frame BETWEEN s AND e GROUP BY d.clip_id, d.det_id""", tm=MID),
+)
+def track_near_detection(spark, sf):
+    obs = V.track_obs(spark, sf)
+    span = obs.groupBy("clip_id", "tracklet_id").agg(F.min("frame").alias("start_frame"), F.max("frame").alias("end_frame"))
+    mid = T.upper_median_position(obs).withColumnsRenamed({"median_yaw": "yaw", "median_pitch": "pitch"})
+    det = V.detections(spark, sf).select("clip_id", "det_id", "frame", "yaw", "pitch")
+    near = J.first_track_near(det, span.join(mid, ["clip_id", "tracklet_id"]), 10.0, "det_id", "tracklet_id", ["tracklet_id"])
+    return near.select("clip_id", "det_id", F.col("m_tracklet_id").alias("tracklet_id"))
+
+
 @query(
     "early_mid_late", "WIN-12",
     Q.sql(["v_track_obs"], """SELECT clip_id, tracklet_id, frame, unnest(list_filter([CASE WHEN rn=1 THEN 'EARLY' END, CASE WHEN rn=(CASE WHEN n<=2 THEN 1 ELSE n//2+1 END) THEN 'MID' END, CASE WHEN rn=n THEN 'LATE' END], lambda x: x IS NOT NULL)) AS pick
