@@ -16,6 +16,8 @@ class HotspotConfig:
     merge_radius_deg: float = 4.0
     pitch_soft_min: float = -30.0
     pitch_hard_max: float = 18.0
+    leader_radius_deg: float = 5.0
+    leader_min_coverage: float = 0.40
 
 
 @dataclass(frozen=True)

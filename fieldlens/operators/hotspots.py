@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -11,6 +14,7 @@ from pyspark.sql import functions as F
 from fieldlens.config import HotspotConfig
 from fieldlens.functions import geo
 from fieldlens.operators import spatial
+from fieldlens.operators.blockrun import run_blocks
 from fieldlens.session import cut
 
 
@@ -127,3 +131,66 @@ def hits_per_region(det: DataFrame, regions: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("hit_count"))
     )
     return regions.join(hits, ["clip_id", "region_rank"], "left").withColumn("hit_count", F.coalesce("hit_count", F.lit(0)))
+
+
+def _leader(radius: float):
+    """Rows in order: each joins the first cluster whose running centre is nearer than ``radius``, else it
+    opens one. A centre weighs a new member against the frames it has been seen in so far."""
+
+    def run(pdf: pd.DataFrame, state: str | None):
+        centres = [tuple(c) for c in json.loads(state)] if state else []  # yaw, pitch, frames, last frame
+        at = np.empty((max(64, 2 * len(centres)), 3))
+        unit = lambda y, p: (math.cos(p) * math.cos(y), math.cos(p) * math.sin(y), math.sin(p))
+        turn = lambda y, p: unit(math.radians(y), math.radians(p))
+        for i, (y, p, _, _) in enumerate(centres):
+            at[i] = turn(y, p)
+        found = []
+        for frame, yaw, pitch in zip(pdf["frame"].tolist(), pdf["yaw"].tolist(), pdf["pitch"].tolist()):
+            v = np.array(turn(yaw, pitch))
+            near = at[: len(centres)]
+            dist = np.degrees(np.arctan2(np.linalg.norm(np.cross(near, v), axis=1), near @ v))
+            hits = np.flatnonzero(dist < radius - 1e-9)
+            if len(hits):
+                k = int(hits[0])
+                y, p, n, seen = centres[k]
+                centres[k] = ((y * n + yaw) / (n + 1), (p * n + pitch) / (n + 1), n + (seen != frame), frame)
+            else:
+                k = len(centres)
+                centres.append((yaw, pitch, 1, frame))
+                if k == len(at):
+                    at = np.concatenate([at, np.empty_like(at)])
+            at[k] = turn(*centres[k][:2])
+            found.append((k, *centres[k][:2]))
+        out = pd.DataFrame(found, columns=["cluster", "centre_yaw", "centre_pitch"])
+        for c in ("frame", "det_id", "raw_conf", "crop_yaw"):
+            out[c] = pdf[c].to_numpy()
+        return out, json.dumps(centres)
+
+    return run
+
+
+def leader_clusters(det: DataFrame, frames: DataFrame, cfg: HotspotConfig = HotspotConfig(), block_frames: int = 65536) -> DataFrame:
+    """Static regions by clustering in order: detections are read by (frame, det_id), and the first
+    cluster in reach takes each. A cluster seen in enough of the clip's frames is a region.
+
+    The order decides, so a clip is one chain: its blocks of frames hand the centres on. Centres lie a
+    radius apart when they open, so the state is bounded by the sphere, not by the clip.
+    Columns: clip_id, cluster (in order of opening), yaw, pitch, frame_count, coverage, mean_conf, crops.
+    """
+    rows = det.select("clip_id", "frame", "det_id", "yaw", "pitch", "raw_conf", "crop_yaw").withColumn("_block", F.floor(F.col("frame") / block_frames))
+    ids = det.schema["det_id"].dataType.simpleString()
+    schema = f"cluster int, centre_yaw double, centre_pitch double, frame int, det_id {ids}, raw_conf double, crop_yaw double"
+    member = run_blocks(rows, ["clip_id"], "_block", ["frame", "det_id"], _leader(cfg.leader_radius_deg), schema)
+    # members of one frame and crop are counted first, so that every step combines map-side
+    per_crop = member.groupBy("clip_id", "cluster", "crop_yaw").agg(F.count(F.lit(1)).alias("n"))
+    crops = per_crop.filter("crop_yaw is not null").groupBy("clip_id", "cluster").agg(
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("crop_yaw", "n")))).alias("crops"))
+    per_frame = member.groupBy("clip_id", "cluster", "frame").agg(
+        F.sum("raw_conf").alias("conf"), F.count("raw_conf").alias("n"),
+        F.max_by(F.struct("centre_yaw", "centre_pitch"), "det_id").alias("c"))
+    per = per_frame.groupBy("clip_id", "cluster").agg(
+        F.count(F.lit(1)).alias("frame_count"), (F.sum("conf") / F.sum("n")).alias("mean_conf"), F.max_by("c", "frame").alias("c"))
+    total = frames.groupBy("clip_id").agg(F.count(F.lit(1)).alias("total"))
+    kept = per.join(total, "clip_id").withColumn("coverage", F.col("frame_count") / F.col("total")).filter(F.col("coverage") >= cfg.leader_min_coverage)
+    return kept.join(crops, ["clip_id", "cluster"], "left").select(
+        "clip_id", "cluster", F.col("c.centre_yaw").alias("yaw"), F.col("c.centre_pitch").alias("pitch"), "frame_count", "coverage", "mean_conf", "crops")

@@ -31,6 +31,12 @@ STRATA = (
     ("high_conf", 7), ("low_conf", 7), ("cluttered", 6), ("hotspot_adjacent", 6), ("hotspot_neutral", 5),
 )
 TARGET = 75
+# The same for the frames whose best candidate is reviewed.
+CANDIDATE_STRATA = (
+    ("temporal_early", 10), ("temporal_mid", 10), ("temporal_late", 10), ("high_conf", 7), ("low_conf", 7), ("multi_candidate", 6),
+    ("hotspot_adjacent", 5), ("single_candidate", 5), ("hotspot_neutral", 4), ("cluttered", 4),
+)
+TOP_QUOTA, SECOND_QUOTA, EMPTY_QUOTA = 50, 10, 15
 
 
 def shuffle_key(seed: int, *cols):
@@ -124,3 +130,29 @@ def thirds_sample(frames: DataFrame, quota: int, seed: int) -> DataFrame:
     f = f.withColumn("first", (F.col("rk") <= share).cast("int"))
     order = W.partitionBy("clip_id").orderBy(F.desc("first"), "h")
     return f.withColumn("pos", F.row_number().over(order)).filter(F.col("pos") <= quota).select("clip_id", "frame", "third")
+
+
+def ranked_samples(per_frame: DataFrame, cand: DataFrame, seed: int = 42, top: int = TOP_QUOTA, second: int = SECOND_QUOTA, empty: int = EMPTY_QUOTA) -> DataFrame:
+    """Review rows of a clip: the best candidate of ``top`` frames picked by stratum, the runner-up of
+    ``second`` other frames, and ``empty`` frames without a candidate. What a stratum or a third
+    cannot fill goes to the frames that are left.
+
+    Columns: clip_id, frame, sample_type, reviewed_rank (0 the best), reason, candidate_count and det_id.
+    """
+    strata = frame_strata(per_frame.filter("n > 0"), quartile_thresholds(per_frame))
+    tops = review_manifest(strata, seed, CANDIDATE_STRATA, top)
+    runners = thirds_sample(per_frame.filter("n >= 2").join(tops, ["clip_id", "frame"], "left_anti"), second, seed + 2)
+    blanks = thirds_sample(per_frame.filter("n = 0"), empty, seed + 1)
+
+    def part(df, kind, rank, reason):
+        return df.select("clip_id", "frame", F.lit(kind).alias("sample_type"), F.lit(rank).cast("int").alias("reviewed_rank"), F.col(reason).alias("reason"))
+
+    picked = part(tops, "top", 0, "stratum").unionByName(part(runners, "non_top", 1, "third")).unionByName(part(blanks, "zero", None, "third"))
+    # picks are a fixed number per clip: only their candidates are ranked
+    best_first = W.partitionBy("clip_id", "frame").orderBy(F.desc("weighted_conf"), "det_id")
+    met = cand.select("clip_id", "frame", "det_id", "weighted_conf").join(picked, ["clip_id", "frame"])
+    ranked = met.withColumn("rank", F.row_number().over(best_first) - 1).withColumn("candidate_count", F.count(F.lit(1)).over(W.partitionBy("clip_id", "frame")))
+    shown = ["clip_id", "frame", "sample_type", "reviewed_rank", "reason", "candidate_count", "det_id"]
+    filled = ranked.filter(F.col("rank") == F.col("reviewed_rank")).select(*shown)
+    none = picked.filter("reviewed_rank is null").withColumn("candidate_count", F.lit(0).cast("long")).withColumn("det_id", F.lit(None).cast(cand.schema["det_id"].dataType))
+    return filled.unionByName(none.select(*shown))

@@ -297,6 +297,14 @@ def coverage_hotspots(spark, sf):
     return H.hits_per_region(V.detections(spark, sf), regions).select("clip_id", "comp", r4("peak_duty").alias("peak_duty"), "hit_count")
 
 
+@query("leader_hotspots", "AGG-23")
+def leader_hotspots(spark, sf):
+    det = V.detections(spark, sf)
+    found = H.leader_clusters(det, V.dense_frames(det), HotspotConfig(leader_min_coverage=0.30))
+    return found.select("clip_id", "cluster", r4("yaw").alias("yaw"), r4("pitch").alias("pitch"), "frame_count", r4("coverage").alias("coverage"), r4("mean_conf").alias("mean_conf"),
+                        F.to_json("crops").alias("crops"))
+
+
 # ---------------------------------------------------------------- refinement
 @query(
     "candidate_penalties", "FLT-2",

@@ -342,18 +342,37 @@ def sample_inputs(spark, sf):
     return SM.frame_summary(V.dense_frames(det), cand)
 
 
-@query(
-    "frame_strata", "SMP-1",
-    Q.sql(["v_detections", "v_frames"], f"""SELECT clip_id, frame, unnest(list_filter([{THIRD}, CASE WHEN n=0 THEN 'zero_candidates' WHEN n=1 THEN 'single_candidate' ELSE 'multi_candidate' END, CASE WHEN n>=3 THEN 'cluttered' END,
+FS = f"""SELECT clip_id, frame, unnest(list_filter([{THIRD}, CASE WHEN n=0 THEN 'zero_candidates' WHEN n=1 THEN 'single_candidate' ELSE 'multi_candidate' END, CASE WHEN n>=3 THEN 'cluttered' END,
   CASE WHEN n>0 AND top_conf>=high_t THEN 'high_conf' END, CASE WHEN n>0 AND top_conf<=low_t THEN 'low_conf' END, CASE WHEN n>0 AND min_penalty<0.5e0 THEN 'hotspot_adjacent' END, CASE WHEN n>0 AND min_penalty>=0.9e0 THEN 'hotspot_neutral' END], lambda x: x IS NOT NULL)) AS stratum
-FROM pf LEFT JOIN qt USING (clip_id)""", pf=PF, qt=QT),
-)
+FROM pf LEFT JOIN qt USING (clip_id)"""
+
+
+def _fill_ctes(prefix, where, budgets, target, seed=42):
+    """CTEs ``<prefix>`` (clip_id, frame, stratum): budgets filled one after the other, then trimmed or topped up."""
+    c = {f"{prefix}s": f"SELECT *, md5('{seed}|' || clip_id || '|' || stratum || '|' || CAST(frame AS VARCHAR)) AS h, count(*) OVER (PARTITION BY clip_id, stratum) AS pool FROM fs WHERE {where}"}
+    taken = None
+    for k, (name, n) in enumerate(budgets):
+        free = f" AND NOT EXISTS (SELECT 1 FROM {taken} t WHERE t.clip_id=s.clip_id AND t.frame=s.frame)" if taken else ""
+        picks = f"SELECT clip_id, frame, stratum FROM {prefix}s s WHERE stratum='{name}'{free} QUALIFY row_number() OVER (PARTITION BY clip_id ORDER BY h)<={n}"
+        c[f"{prefix}{k}"] = f"SELECT * FROM {taken} UNION ALL ({picks})" if taken else picks
+        taken = f"{prefix}{k}"
+    c[f"{prefix}r"] = f"SELECT clip_id, frame, sum(pool) AS rarity, md5('{seed}|' || clip_id || '|' || CAST(frame AS VARCHAR)) AS h FROM {prefix}s GROUP BY clip_id, frame"
+    c[prefix] = f"""SELECT clip_id, frame, stratum FROM (SELECT r.clip_id, r.frame, coalesce(t.stratum, 'top_up') AS stratum,
+   row_number() OVER (PARTITION BY r.clip_id ORDER BY CASE WHEN t.stratum IS NULL THEN 1 ELSE 0 END, CASE WHEN t.stratum IS NOT NULL THEN rarity END, CASE WHEN t.stratum IS NOT NULL THEN r.frame END, r.h) AS pos
+  FROM {prefix}r r LEFT JOIN {taken} t ON t.clip_id=r.clip_id AND t.frame=r.frame) WHERE pos<={target}"""
+    return c
+
+
+@query("frame_strata", "SMP-1", Q.sql(["v_detections", "v_frames"], "SELECT clip_id, frame, stratum FROM fs", pf=PF, qt=QT, fs=FS))
 def frame_strata(spark, sf):
     f = sample_inputs(spark, sf)
     return SM.frame_strata(f, SM.quartile_thresholds(f))
 
 
-@query("review_manifest", "SMP-1")
+@query(
+    "review_manifest", "SMP-1",
+    Q.sql(["v_detections", "v_frames"], "SELECT clip_id, frame, stratum FROM mf", pf=PF, qt=QT, fs=FS, **_fill_ctes("mf", "true", SM.STRATA, SM.TARGET)),
+)
 def review_manifest(spark, sf):
     f = sample_inputs(spark, sf)
     return SM.review_manifest(SM.frame_strata(f, SM.quartile_thresholds(f)))
@@ -372,3 +391,26 @@ def second_rank_samples(spark, sf):
 @query("empty_frame_samples", "SMP-2", _thirds_sql("n=0", 15, 43))
 def empty_frame_samples(spark, sf):
     return SM.thirds_sample(sample_inputs(spark, sf).filter("n = 0"), 15, 43)
+
+
+def _share(source, quota, seed):
+    return f"""SELECT clip_id, frame, third FROM (SELECT *, row_number() OVER (PARTITION BY clip_id ORDER BY (CASE WHEN rk<={quota // 3} THEN 1 ELSE 0 END) DESC, h) AS pos FROM
+ (SELECT *, row_number() OVER (PARTITION BY clip_id, third ORDER BY h) AS rk FROM (SELECT clip_id, frame, {THIRD} AS third, md5('{seed}|' || clip_id || '|' || CAST(frame AS VARCHAR)) AS h FROM {source}))) WHERE pos<={quota}"""
+
+
+@query(
+    "ranked_samples", "SMP-2",
+    Q.sql(
+        ["v_detections", "v_frames"],
+        """SELECT clip_id, frame, sample_type, reviewed_rank, reason, candidate_count, det_id FROM (
+  SELECT clip_id, frame, 'top' AS sample_type, 0 AS reviewed_rank, stratum AS reason FROM tp UNION ALL SELECT clip_id, frame, 'non_top', 1, third FROM sd)
+ JOIN (SELECT clip_id, frame, det_id, row_number() OVER (PARTITION BY clip_id, frame ORDER BY raw_conf DESC, det_id)-1 AS rk, count(*) OVER (PARTITION BY clip_id, frame) AS candidate_count FROM v_detections) USING (clip_id, frame)
+ WHERE rk=reviewed_rank UNION ALL SELECT clip_id, frame, 'zero', NULL, third, 0, NULL FROM em""",
+        pf=PF, qt=QT, fs=FS, **_fill_ctes("tp", "frame IN (SELECT frame FROM pf WHERE pf.clip_id=fs.clip_id AND n>0)", SM.CANDIDATE_STRATA, SM.TOP_QUOTA),
+        sd=_share("pf WHERE n>=2 AND NOT EXISTS (SELECT 1 FROM tp WHERE tp.clip_id=pf.clip_id AND tp.frame=pf.frame)", SM.SECOND_QUOTA, 44), em=_share("pf WHERE n=0", SM.EMPTY_QUOTA, 43),
+    ),
+)
+def ranked_samples(spark, sf):
+    f = sample_inputs(spark, sf)
+    cand = V.detections(spark, sf).select("clip_id", "frame", "det_id", F.col("raw_conf").alias("weighted_conf"))
+    return SM.ranked_samples(f, cand)
