@@ -7,8 +7,9 @@ all pairs. A pair is aligned by patience diff on the lines that name it: lines u
 the anchors, their longest rising run is kept, and the gaps between anchors are aligned
 likewise. Lines that did not align, as they stand in another order there, name the first holder
 among the later documents they are left in, in rounds until no line is left twice; a pair always
-aligns a line, so rounds end. Aligned lines of the later document make blocks; a block of at least
-``block_words`` words is deleted. Blank lines between deleted lines go with them.
+aligns a line, so rounds end. A block is a run of the later document's lines that align with one and
+the same partner, blank lines aside; a block of at least ``block_words`` words is deleted, with the blank
+lines inside. Lines that align with several documents, a line each, make no block together.
 
 Work of a round is linear in the lines that are left: a group of copies is one row per line and copy.
 Nulls and cases: a null text stays null; documents are ordered by (id, text hash), a null id
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -99,13 +101,13 @@ def patience(later: list[tuple[int, int]], first: list[tuple[int, int]]) -> list
 
 
 PLACES = T.ArrayType(T.IntegerType())
-ALIGNED = T.StructType().add("aligned", PLACES).add("lines", T.ArrayType(T.LongType())).add("left", T.ArrayType(PLACES))
+ALIGNED = T.StructType().add("aligned", T.ArrayType(PLACES)).add("lines", T.ArrayType(T.LongType())).add("left", T.ArrayType(PLACES))
 
 
 @F.pandas_udf(ALIGNED)
 def aligned_lines(shared: pd.Series) -> pd.DataFrame:
     """Of each document's shared lines (partner, line, its places, the partner's places): the aligned
-    places, and the lines with places that are left."""
+    places by partner, and the lines with places that are left."""
     out = []
     for lines in shared:
         partners: dict[tuple, tuple[list, list]] = {}
@@ -113,9 +115,10 @@ def aligned_lines(shared: pd.Series) -> pd.DataFrame:
             later, first = partners.setdefault((s["first_id"], s["first_mark"]), ([], []))
             later += [(int(p), s["line"]) for p in s["places"]]
             first += [(int(p), s["line"]) for p in s["first_places"]]
-        gone = {p for later, first in partners.values() for p in patience(sorted(later), sorted(first))}
+        blocks = [sorted(patience(sorted(later), sorted(first))) for later, first in partners.values()]
+        gone = {p for places in blocks for p in places}
         left = [(int(s["line"]), rest) for s in lines if (rest := [int(p) for p in s["places"] if p not in gone])]
-        out.append((sorted(gone), [line for line, _ in left], [rest for _, rest in left]))
+        out.append((blocks, [line for line, _ in left], [rest for _, rest in left]))
     return pd.DataFrame(out, columns=["aligned", "lines", "left"])
 
 
@@ -134,7 +137,7 @@ def line_places(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def deleted_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, mark, aligned): the places of lines that align with an earlier document's."""
+    """(id, mark, aligned): the places of lines that align with an earlier document's, a list for each such document."""
     held = line_places(docs, id_col, text_col)
     who = F.struct(F.col("id").isNull().alias("void"), "id", "mark")
     same = F.col("id").eqNullSafe(F.col("first_id")) & (F.col("mark") == F.col("first_mark"))
@@ -155,7 +158,7 @@ def deleted_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     for more in rounds[1:]:
         found = found.unionByName(more.select("id", "mark", "aligned"))
     if len(rounds) > 1:
-        found = found.groupBy("id", "mark").agg(F.array_sort(F.flatten(F.collect_list("aligned"))).alias("aligned"))
+        found = found.groupBy("id", "mark").agg(F.flatten(F.collect_list("aligned")).alias("aligned"))
     return found
 
 
@@ -164,26 +167,25 @@ REWRITTEN = T.StructType().add("text", T.StringType()).add("n_lines", T.IntegerT
 
 @F.pandas_udf(REWRITTEN)
 def rewritten(text: pd.Series, aligned: pd.Series, least: pd.Series) -> pd.DataFrame:
-    """The text without blocks of aligned lines (and the blank lines inside them) of at least so many words."""
+    """The text without blocks of lines aligned with one document (and the blank lines inside them) of at least so many words."""
     out = []
-    for t, hit, n in zip(text, aligned, least):
+    for t, partners, n in zip(text, aligned, least):
         lines = (t or "").split("\n")
-        if hit is None:
+        if partners is None:
             out.append((t, len(lines), 0))
             continue
-        marks, gone = set(map(int, hit)), set()
-        block, blanks, words = [], [], 0
-        for i, line in enumerate([*lines, None]):
-            count = len(WORD.findall(line)) if line is not None else 1
-            if i in marks:
-                block += [*blanks, i]
-                blanks, words = [], words + count
-            elif block and not count:
-                blanks.append(i)
-            else:
-                if words >= n:
-                    gone.update(block)
-                block, blanks, words = [], [], 0
+        words = [len(WORD.findall(line)) for line in lines]
+        worded = list(accumulate(1 if w else 0 for w in words))  # lines with a word up to each
+        gone = set()
+        for places in partners:
+            at = list(map(int, places))
+            start = 0
+            for k in range(1, len(at) + 1):
+                if k < len(at) and worded[at[k]] - worded[at[k - 1]] == 1:
+                    continue
+                if sum(words[p] for p in at[start:k]) >= n:
+                    gone.update(range(at[start], at[k - 1] + 1))
+                start = k
         out.append(("\n".join(x for i, x in enumerate(lines) if i not in gone) if gone else t, len(lines), len(gone)))
     return pd.DataFrame(out, columns=["text", "n_lines", "n_removed"])
 

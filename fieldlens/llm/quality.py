@@ -1,13 +1,15 @@
 """Quality rules whose cutoffs carry a guarantee on false rejection.
 
 Rules measure a document (share of symbols, of repeated lines, of words in repeated runs). In
-each stratum of length, every rule looks for a cutoff above which documents are rejected. The
-labelled good documents of the stratum are the holdout: a cutoff is certified when the exact
-binomial test rejects "more than ``limit`` of good documents would be lost". Cutoffs are tested
-in a fixed order, laxest first, and testing stops at the first that fails, which needs no
-correction along the order; the level ``alpha`` is split over all strata and rules (Bonferroni).
-Of the certified cutoffs the one with the best balance of bad against good documents is used,
-a good one counting ``good_cost`` bad ones. Without a certified and useful cutoff a rule is idle.
+each stratum of length every rule may reject documents above its cutoff. The labelled documents
+of a stratum are dealt by a hash of their id: a quarter of them proposes a cutoff for each rule: the one with
+the best balance of bad against good documents, a good one counting ``good_cost`` bad ones. All rules together then tighten from the laxest
+cutoff to these, step by step. The other three quarters are the holdout: a step is certified when the exact
+binomial test on its good documents rejects "more than ``limit`` of good documents are lost to any rule". Steps
+are tested in order, and testing stops at the first that fails, which needs no correction along the
+order; the level ``alpha`` is split over the strata (Bonferroni). So with a chance of 1 - alpha no stratum loses more
+than ``limit`` of its good documents to all rules together. Of the certified steps the one with the best
+balance is used. Without a certified and useful step the rules of a stratum are idle.
 
 Nulls and cases: a null text has no words and fails the base rules; labels that are null or
 for unknown documents are ignored; a document labelled twice counts with its larger label;
@@ -34,11 +36,13 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 BANDS = (200, 1000)  # strata: up to 199, up to 999, more words
 GRID = tuple(round(0.8**k, 6) for k in range(24))  # cutoffs of a share, laxest first
+DEAL = 20_240_901  # seed of the hash that deals labelled documents
+PARTS = 4  # one of so many parts proposes
 
 
 @dataclass(frozen=True)
 class Risk:
-    limit: float = 0.02  # of good documents, per rule and stratum
+    limit: float = 0.02  # of a stratum's good documents, all rules together
     alpha: float = 0.05
     good_cost: float = 25.0
 
@@ -114,29 +118,49 @@ class Cutoffs:
         return hit
 
 
+def _per_cutoff(counts: np.ndarray) -> np.ndarray:
+    """Documents rejected at each step from the documents first rejected there."""
+    return np.cumsum(counts, axis=-1)
+
+
 def fit(measured: DataFrame, labels: DataFrame, risk: Risk = Risk(), id_col: str = "doc_id", label_col: str = "quality") -> Cutoffs:
     """Cutoffs from all labelled documents that pass the base rules. What comes to the driver
-    is a table of strata x rules x grid x label."""
-    marks = labels.filter(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("good"))
+    are tables of strata x rules x grid x label."""
+    marks = labels.filter(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg((F.max(label_col) > 0).cast("int").alias("good"))
+    # the first grid cutoff below each rule's value; the grid's length where there is none
+    first = [sum(F.when(v > F.lit(g), 0).otherwise(1) for g in GRID).alias(r) for r, v in rules().items()]
     held = measured.filter(~base_failed()).join(marks, "id")
-    over = lambda v: sum(F.when(v > F.lit(g), 1).otherwise(0) for g in GRID)
-    cells = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), over(v).alias("passed")) for r, v in rules().items()]))
-    counts = held.select(stratum().alias("band"), "good", cells.alias("c")).groupBy("band", "good", "c.rule", "c.passed").agg(F.count(F.lit(1)).alias("n"))
+    held = stored(held.select(F.pmod(F.xxhash64(F.lit(DEAL), "id"), F.lit(PARTS)).alias("part"), stratum().alias("band"), "good", *first))
+
+    cells = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).alias("first")) for r in rules()])).alias("c")
+    counts = held.filter("part = 0").select("band", "good", cells).groupBy("band", "good", "c.rule", "c.first").agg(F.count(F.lit(1)).alias("n"))
     seen: dict[tuple[int, str], np.ndarray] = {}
     for r in counts.collect():
-        grid = seen.setdefault((r["band"], r["rule"]), np.zeros((2, len(GRID)), np.int64))
-        grid[int(r["good"] > 0), len(GRID) - r["passed"] :] += r["n"]  # grid[label][g]: documents above cutoff g
-    totals = {(r["band"]): r["n"] for r in held.filter("good > 0").groupBy(stratum().alias("band")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    level = risk.alpha / ((len(BANDS) + 1) * len(rules()))
-    out = Cutoffs()
+        seen.setdefault((r["band"], r["rule"]), np.zeros((2, len(GRID) + 1), np.int64))[r["good"], r["first"]] += r["n"]
+    proposed: dict[int, dict[str, int]] = {}
     for (band, rule), grid in seen.items():
-        n, best = totals.get(band, 0), 0.0
-        for g, cut in enumerate(GRID):
-            bad, good = grid[0][g], grid[1][g]
-            if not n or good >= risk.limit * n or binomial_cdf(int(good), int(n), risk.limit) > level:
+        bad, good = _per_cutoff(grid)[:, :-1]
+        gain = bad - risk.good_cost * good
+        if gain.max() > 0:
+            proposed.setdefault(band, {})[rule] = int(gain.argmax())
+
+    hits = [F.when((F.col("band") == band) & (F.col(rule) <= g), F.col(rule)) for band, found in proposed.items() for rule, g in found.items()]
+    step = F.least(F.lit(len(GRID)), F.lit(len(GRID)), *hits)  # least passes over nulls
+    counts = held.filter("part > 0").groupBy("band", "good", step.alias("step")).agg(F.count(F.lit(1)).alias("n"))
+    steps: dict[int, np.ndarray] = {}
+    for r in counts.collect():
+        steps.setdefault(r["band"], np.zeros((2, len(GRID) + 1), np.int64))[r["good"], r["step"]] += r["n"]
+    out, level = Cutoffs(), risk.alpha / (len(BANDS) + 1)
+    for band, found in proposed.items():
+        bad, good = _per_cutoff(steps.get(band, np.zeros((2, len(GRID) + 1), np.int64)))
+        n, best, chosen = int(good[-1]), 0.0, None
+        for g in range(max(found.values()) + 1):
+            if not n or good[g] >= risk.limit * n or binomial_cdf(int(good[g]), n, risk.limit) > level:
                 break
-            if (gain := bad - risk.good_cost * good) > best:
-                best, out.values[band, rule] = gain, cut
+            if (gain := bad[g] - risk.good_cost * good[g]) > best:
+                best, chosen = gain, g
+        if chosen is not None:
+            out.values |= {(band, rule): GRID[min(chosen, g)] for rule, g in found.items()}
     return out
 
 

@@ -1,11 +1,11 @@
 """Secret scan: patterns, and character Markov models compared by log-likelihood ratio.
 
 Three patterns (assignments, access keys, long hex runs) give the base spans. Beyond them, runs of
-characters that can make a credential are judged by two first-order Markov models of characters:
+16 or more characters that can make a credential, whatever they mix, are judged by two first-order Markov models of characters:
 one of random strings, trained on the values that the patterns found, one of ordinary strings,
-trained on words of documents without any find. The patterns thus label the samples. A run is a
-secret ("markov") if its log-likelihood ratio per character is above the threshold that the
-models' own samples set, and it does not touch a base span.
+trained on words of documents without any find (below 16 characters, or common to several texts). The patterns thus label the samples. A run is a
+secret ("markov") if its whole log-likelihood ratio is above the threshold that the
+models' own samples set, and it does not touch a base span: the longer a run, the surer the sum.
 
 Only DataFrame operations. The models are counts of character pairs over bounded samples:
 ``max_samples`` strings of each kind by smallest hash; they come to the driver as one table of
@@ -30,10 +30,12 @@ ASSIGN_VALUE = r"""^(?:(?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 KINDS = ("assign", "access", "hex", "markov")
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+LEAST = 16  # characters of a run that the models judge, and of the values that teach them
+CANDIDATE = r"[A-Za-z0-9+/_=-]{%d,}" % LEAST
 SPAN = "array<struct<start:int,kind:int,end:int>>"
 FIRST, CHARS = 32, 96  # the characters that have a row of their own; others share the last
 MAX_SAMPLES = 20_000
+LONGEST, SHARED_BY = 64, 5  # a word as long as a candidate is ordinary up to so many characters, if so many texts have it
 BACK_OFF = 5.0
 
 
@@ -74,30 +76,33 @@ def _code(c: Column) -> Column:
 
 
 class Models:
-    """Log-likelihood ratios (random over ordinary) by character pair, and the threshold per character."""
+    """Log-likelihood ratios (random over ordinary) by character pair, and the threshold of a whole string."""
 
     def __init__(self, ratios: list[float] | None = None, threshold: float = 0.0):
         self.ratios, self.threshold = ratios, threshold
 
     def ratio(self, s: Column) -> Column:
-        """Log-likelihood ratio of a string, per character pair."""
+        """Log-likelihood ratio of a string."""
         table_ = F.array(*map(F.lit, self.ratios))
         steps = let(F.transform(F.split(s, ""), _code), lambda c: F.transform(
             F.sequence(F.lit(0), F.size(c) - 2), lambda i: F.get(table_, F.get(c, i) * CHARS + F.get(c, i + 1))))
         total = F.aggregate(steps, F.lit(0.0), lambda a, x: a + x)
-        return F.when(F.length(s) >= 2, total / (F.length(s) - 1)).otherwise(F.lit(-99.0))
+        return F.when(F.length(s) >= 2, total).otherwise(F.lit(-99.0))
 
 
 def train(plain: DataFrame, base: Callable[[Column], Column] = base_matches, max_samples: int = MAX_SAMPLES) -> Models:
     """Models from (text): values of base spans in all texts against words of sampled texts without any."""
     order = F.xxhash64(F.lit(29), "s")
-    values = plain.select(F.explode(base(F.col("text"))["value"]).alias("s")).filter(F.length("s") >= 16).distinct()
+    values = plain.select(F.explode(base(F.col("text"))["value"]).alias("s")).filter(F.length("s") >= LEAST).distinct()
     # texts are drawn by hash before any is searched; of copies one is drawn
     h = F.xxhash64(F.lit(29), "text")
     last = plain.select(h.alias("h")).distinct().orderBy("h").limit(max_samples // 10).agg(F.max("h").alias("h")).first()["h"]
     drawn = plain.filter(h <= F.lit(last if last is not None else 0)).select("text", h.alias("h")).dropDuplicates(["h"])
     ordinary = drawn.filter(F.size(base(F.col("text"))) == 0).select("h", F.posexplode(words(F.col("text"))).alias("at", "s"))
-    ordinary = ordinary.filter(F.length("s").between(6, 19))  # shorter than a candidate, so no unknown secret teaches the model
+    # shorter than a candidate, so no unknown secret teaches the model; longer ones if several texts have them
+    brief = F.length("s").between(6, LEAST - 1)
+    common = ordinary.filter(F.length("s").between(LEAST, LONGEST)).groupBy("s").agg(F.count_distinct("h").alias("texts")).filter(F.col("texts") >= SHARED_BY)
+    ordinary = ordinary.filter(brief).unionByName(ordinary.join(common.select("s"), "s", "left_semi"))
     random = values.orderBy(order, "s").limit(max_samples).select("s", F.lit(1).alias("y"))
     ordinary = ordinary.orderBy(F.xxhash64("h", "at"), "h", "at").limit(max_samples).select("s", F.lit(0).alias("y"))
     sample = stored(random.unionByName(ordinary))
@@ -126,8 +131,7 @@ def added_matches(text: Column, base: Column, models: Models) -> Column:
     if models.ratios is None:
         return F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")
     free = lambda m: ~F.exists(base, lambda b: (m["start"] < b["end"]) & (b["start"] < m["end"]))
-    mixed = lambda s: s.rlike("[0-9]") & s.rlike("[A-Za-z]")
-    return F.filter(matches(text, CANDIDATE, 3), lambda m: free(m) & mixed(m["value"]) & (models.ratio(m["value"]) > models.threshold))
+    return F.filter(matches(text, CANDIDATE, 3), lambda m: free(m) & (models.ratio(m["value"]) > models.threshold))
 
 
 def listed(spans: Column) -> Column:

@@ -45,6 +45,7 @@ _SIGNS = {ord(k): v for k, v in (LOOKS_LIKE | STANDS_FOR).items()}
 _PLAIN = bytes(ord(STANDS_FOR.get(c, c if c.isalnum() else " ")) for c in (chr(i).lower() for i in range(128))) + b" " * 128
 _BETWEEN = re.compile(r"[\W_]+")
 HIDDEN = ("Mn", "Me", "Cf")  # marks above or below a letter, and characters without width
+_LOOSE = re.compile("[\u00ad\u0300-\u036f]")  # soft hyphens, and accents written as characters of their own
 PREFIXES = (4, 5, 6, 7, 8)
 
 
@@ -52,8 +53,8 @@ def fold(text: str) -> str:
     """Plain lower-case words with single or repeated spaces between, a space at either end."""
     if text.isascii():
         return f" {text.encode().translate(_PLAIN).decode()} "
-    t = unicodedata.normalize("NFKC", text.casefold()).translate(_SIGNS)
-    if max(t) > "\u00ff":  # Latin letters with accents are spelling; other marks are taken off
+    t = unicodedata.normalize("NFKC", _LOOSE.sub("", text.casefold())).translate(_SIGNS)
+    if t and max(t) > "\u00ff":  # Latin letters with accents are spelling; other marks are taken off
         t = "".join(c for x in t for c in (x if x <= "\u00ff" else unicodedata.normalize("NFKD", x)) if c <= "\u00ff" or unicodedata.category(c) not in HIDDEN)
     return f" {_BETWEEN.sub(' ', t)} "
 
