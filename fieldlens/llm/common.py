@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import gc
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -34,16 +34,28 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+# Spark's switch to delete the shuffle files of a query at its end
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_end_with_query(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def stored(df: DataFrame, *used: DataFrame) -> DataFrame:
     """Write to the folder that all executors share and read back: a lost executor then costs
-    no earlier work, and later readers see one fixed result. ``used`` are stored steps that nothing
-    reads any more once this one is written; their folders go."""
+    no earlier work, and later readers see one fixed result. The shuffle files of the step go with its
+    end. ``used`` are stored steps that nothing reads any more once this one is written; their folders go."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    # Spark deletes the shuffle files of a finished plan once the driver has collected it as garbage
-    gc.collect()
-    spark._jvm.System.gc()
+    with shuffles_end_with_query(spark):
+        df.write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back.stored_at = path
     release(*used)

@@ -133,8 +133,10 @@ def _counted(sample: DataFrame, terms_in, by: str) -> DataFrame:
     ``terms_in(text)`` counts the terms of a text."""
     def emit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            rows = [(t, y, n) for text, y in zip(pdf["text"], pdf["y"]) for t, n in terms_in(text).items()]
-            yield pd.DataFrame(rows, columns=[by, "y", "n"])
+            for at in range(0, len(pdf), 128):  # a text has some hundred terms
+                part = pdf.iloc[at : at + 128]
+                rows = [(t, y, n) for text, y in zip(part["text"], part["y"]) for t, n in terms_in(text).items()]
+                yield pd.DataFrame(rows, columns=[by, "y", "n"])
 
     uses = sample.mapInPandas(emit, f"{by} string, y int, n bigint")
     n, y = F.col("n"), F.col("y")

@@ -160,3 +160,14 @@ def test_long_lists_of_fingerprints_lose_no_link(spark):
     want = {(a, b) for i, a in enumerate(fps) for b in fps[i + 1 :] if (a ^ b).bit_count() <= 3}
     for limit in (4, 512):
         assert {(x.a, x.b) for x in simhash.similar_fingerprints(df, limit).collect()} == want
+
+
+def test_stored_steps_leave_no_shuffle_files(spark):
+    """A step can be read and stored again after its shuffle files went, and the session's own setting comes back."""
+    from fieldlens.llm.common import SHUFFLE_CLEANUP, stored
+
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    dealt = spark.range(1000).repartition(4, "id").groupBy((F.col("id") % 7).alias("k")).count()
+    first, again = stored(dealt), stored(dealt)
+    assert sorted(first.collect()) == sorted(again.collect()) == sorted(dealt.collect())
+    assert spark.conf.get(SHUFFLE_CLEANUP) == before
