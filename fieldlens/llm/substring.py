@@ -57,6 +57,20 @@ def run_hashes(w: np.ndarray, places: np.ndarray, size: int, multiplier: int) ->
     return out.view(np.int64)
 
 
+def window_hashes(w: np.ndarray, size: int, multiplier: int) -> np.ndarray:
+    """A 64-bit hash of the ``size`` numbers from every place, by doubling: two runs of half the length make
+    one, and the last two overlap where ``size`` is no power of two."""
+    h = w.astype(np.uint64)
+    length, level = 1, 0
+    with np.errstate(over="ignore"):
+        while length < size:
+            step = min(length, size - length)
+            h = h[: max(len(h) - step, 0)] * np.uint64(multiplier + 2 * level) + h[step:]
+            h ^= h >> np.uint64(29)
+            length, level = length + step, level + 1
+    return h.view(np.int64)
+
+
 def cover_places(n: int) -> np.ndarray:
     """Places on the cover where an anchor fits in n words."""
     last = n - ANCHOR + 1
@@ -98,7 +112,7 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             np.add.at(mark, np.maximum(hot - (PERIOD - 1), 0), 1)
             np.add.at(mark, np.minimum(hot + 1, n), -1)
             starts = np.flatnonzero(np.cumsum(mark[:-1]) > 0)
-            h = [run_hashes(w, starts, WINDOW, m) for m in MULTIPLIERS]
+            h = [window_hashes(w, WINDOW, m)[starts] for m in MULTIPLIERS]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(h[0]), pa.array((h[1] >> 32).astype(np.int32)), pa.array(np.full(len(starts), key)), pa.array(starts.astype(np.int32))], names=["h1", "h2", "nr", "place"])
 

@@ -171,3 +171,18 @@ def test_stored_steps_leave_no_shuffle_files(spark):
     first, again = stored(dealt), stored(dealt)
     assert sorted(first.collect()) == sorted(again.collect()) == sorted(dealt.collect())
     assert spark.conf.get(SHUFFLE_CLEANUP) == before
+
+
+@given(st.lists(st.integers(0, 2), min_size=1, max_size=90), st.integers(1, 40))
+@settings(max_examples=100, deadline=None)
+def test_window_hashes_tell_windows_apart(numbers, size):
+    """Windows are equal where their hashes are, whatever their length; too short a list has none."""
+    assert not len(substring.window_hashes(np.ones(6, np.int64), 8, 3))
+    w = np.array(numbers, np.int64) * 0x1234567 + 1
+    found = substring.window_hashes(w, size, substring.MULTIPLIERS[0])
+    assert len(found) == max(len(w) - size + 1, 0)
+    by_window = {}
+    for i, h in enumerate(found.tolist()):
+        by_window.setdefault(tuple(numbers[i : i + size]), set()).add(h)
+    assert all(len(v) == 1 for v in by_window.values())
+    assert len(set.union(set(), *by_window.values())) == len(by_window)
