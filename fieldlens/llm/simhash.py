@@ -196,6 +196,18 @@ def dissimilar(docs: DataFrame, id_col: str, text_col: str, size: int, similarit
     firsts = prints.groupBy("same").agg(F.min(order).alias("f"), F.first("wide").alias("wide"))
     firsts = firsts.select("same", F.col("f.id").alias("id"), F.col("f.mark").alias("mark"), "wide").orderBy(F.col("id").isNull(), "id", "mark")
     entries = stored(firsts.withColumn("no", F.monotonically_increasing_id()))  # rises with the order
+
+    def similar(pairs: DataFrame) -> DataFrame:
+        """(no) of each b whose shingle set is similar to that of its a."""
+        near = stored(_with_both(pairs.distinct(), entries, "wide").select("a", "b", "wide_a", "wide_b").mapInArrow(wide_near, "a bigint, b bigint"))
+        met_again = near.select(F.col("a").alias("no")).unionByName(near.select(F.col("b").alias("no"))).distinct()
+        marks = entries.join(met_again, "no", "left_semi").select("no", "mark")
+        texts = docs.select(F.xxhash64(text).alias("mark"), text.alias("t")).join(marks.select("mark").distinct(), "mark", "left_semi").dropDuplicates(["mark"])
+        hashes = stored(texts.join(marks, "mark").select("no", F.array_distinct(shingle_hashes(F.col("t"), size)).alias("set")))
+        common = F.size(F.array_intersect("set_a", "set_b"))
+        alike = common >= similarity * (F.size("set_a") + F.size("set_b") - common)
+        return stored(_with_both(near, hashes, "set").filter(alike).select(F.col("b").alias("no")).distinct())
+
     live = entries.select("no", "wide").mapInArrow(wide_postings, "key bigint, no bigint").repartition("key")
     gone = []
     for n in range(rounds + 1):
@@ -203,17 +215,16 @@ def dissimilar(docs: DataFrame, id_col: str, text_col: str, size: int, similarit
         met = stored(live.join(heads, "key").filter("no > head").select("key", "no", "head"))
         if met.isEmpty():
             break
+        if n == 0:
+            # members of a large group share lists with many heads: the one shared most often settles most of them
+            tally = met.groupBy("no", "head").agg(F.count(F.lit(1)).alias("shared"))
+            best = tally.groupBy(F.col("no").alias("b")).agg(F.max_by("head", F.struct("shared", -F.col("head"))).alias("a"))
+            gone.append(similar(best.select("a", "b")))
+            met = stored(met.join(gone[-1], "no", "left_anti"), met)
         pairs = met.select(F.col("head").alias("a"), F.col("no").alias("b"))
         if n == rounds:
             pairs = pairs.unionByName(met.select("key", F.col("no").alias("a")).join(met.select("key", F.col("no").alias("b")), "key").filter("a < b").select("a", "b"))
-        near = stored(_with_both(pairs.distinct(), entries, "wide").select("a", "b", "wide_a", "wide_b").mapInArrow(wide_near, "a bigint, b bigint"))
-        met_again = near.select(F.col("a").alias("no")).unionByName(near.select(F.col("b").alias("no"))).distinct()
-        marks = entries.join(met_again, "no", "left_semi").select("no", "mark")
-        texts = docs.select(F.xxhash64(text).alias("mark"), text.alias("t")).join(marks.select("mark").distinct(), "mark", "left_semi").dropDuplicates(["mark"])
-        hashes = stored(texts.join(marks, "mark").select("no", F.array_distinct(shingle_hashes(F.col("t"), size)).alias("set")))
-        common = F.size(F.array_intersect("set_a", "set_b"))
-        alike = common >= similarity * (F.size("set_a") + F.size("set_b") - common)
-        gone.append(stored(_with_both(near, hashes, "set").filter(alike).select(F.col("b").alias("no")).distinct()))
+        gone.append(similar(pairs))
         live = met.select("key", "no").join(gone[-1], "no", "left_anti")
     left = entries.select("no", F.col("id").alias("h_id"), F.col("mark").alias("h_mark"))
     for g in gone:
