@@ -14,7 +14,7 @@ from fieldlens.functions import geo
 from fieldlens.operators import spatial
 from fieldlens.operators.scan import Carry, carry_scan, frame_block, halo_windows, row_index
 from fieldlens.operators.windows import run_lengths
-from fieldlens.session import cut
+from fieldlens.session import cut, shuffled
 
 SAMPLE = ["clip_id", "sample"]
 TRACK = ["clip_id", "track_id"]
@@ -27,7 +27,7 @@ def crowd_clusters(players: DataFrame, cfg: CrowdConfig = CrowdConfig(), id_col:
     if cfg.min_players <= 2:
         comp = spatial.spatial_components(players, SAMPLE, id_col, cfg.cluster_radius_deg)
         size = comp.groupBy(*SAMPLE, "comp").agg(F.count(F.lit(1)).alias("size"))
-        return comp.join(size.filter(F.col("size") >= cfg.min_players), [*SAMPLE, "comp"])
+        return comp.join(shuffled(size.filter(F.col("size") >= cfg.min_players)), [*SAMPLE, "comp"])
     pairs = spatial.within_pairs(players, SAMPLE, id_col, cfg.cluster_radius_deg)
     both = pairs.select(*SAMPLE, "a", "b").unionByName(pairs.select(*SAMPLE, F.col("b").alias("a"), F.col("a").alias("b")))
     core = both.groupBy(*SAMPLE, "a").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") + 1 >= cfg.min_players).select(*SAMPLE, F.col("a").alias("core"))
@@ -45,10 +45,10 @@ def crowd_clusters(players: DataFrame, cfg: CrowdConfig = CrowdConfig(), id_col:
 
 def top_cluster(players: DataFrame, clusters: DataFrame, id_col: str = "det_id") -> DataFrame:
     """Members of the biggest cluster of each sample; ties by mean confidence, then label."""
-    m = players.join(clusters, [*SAMPLE, id_col])
+    m = players.join(shuffled(clusters), [*SAMPLE, id_col])
     s = m.groupBy(*SAMPLE, "comp").agg(F.count(F.lit(1)).alias("n"), F.avg("conf").alias("mc"))
     best = s.groupBy(*SAMPLE).agg(F.max_by("comp", F.struct(F.col("n"), geo.r4("mc", 9), -F.col("comp"))).alias("comp"))
-    return m.join(best, [*SAMPLE, "comp"])
+    return m.join(shuffled(best), [*SAMPLE, "comp"])
 
 
 def centroid_and_dispersion(members: DataFrame) -> DataFrame:
@@ -56,9 +56,9 @@ def centroid_and_dispersion(members: DataFrame) -> DataFrame:
     c = members.groupBy(*SAMPLE).agg(
         geo.circular_mean("yaw").alias("centroid_yaw"), F.avg("pitch").alias("centroid_pitch"), F.count(F.lit(1)).alias("cluster_size"),
         F.avg("vel").alias("mean_vel"))
-    d = members.join(c.select(*SAMPLE, "centroid_yaw", "centroid_pitch"), SAMPLE).groupBy(*SAMPLE).agg(
+    d = members.join(shuffled(c.select(*SAMPLE, "centroid_yaw", "centroid_pitch")), SAMPLE).groupBy(*SAMPLE).agg(
         F.avg(geo.angular_distance("yaw", "pitch", "centroid_yaw", "centroid_pitch")).alias("dispersion_deg"))
-    return c.join(d, SAMPLE)
+    return c.join(shuffled(d), SAMPLE)
 
 
 def activity_centroid(members: DataFrame, cfg: CrowdConfig = CrowdConfig()) -> DataFrame:
@@ -118,15 +118,15 @@ def nearest_match_velocity(players: DataFrame, dt: float, cfg: CrowdConfig = Cro
     cur = players.select(*SAMPLE, "det_id", "yaw", "pitch")
     edge = spatial.chord(cfg.motion_match_deg) * (1 + 1e-9)
     a = spatial.with_cell(cur, edge)
-    b = spatial.shift_cells(spatial.with_cell(cur.select("clip_id", (F.col("sample") + 1).alias("sample"), F.col("det_id").alias("pid"), F.col("yaw").alias("qy"), F.col("pitch").alias("qp")), edge, "qy", "qp"), 1)
+    b = spatial.with_cell(cur.select("clip_id", (F.col("sample") + 1).alias("sample"), F.col("det_id").alias("pid"), F.col("yaw").alias("qy"), F.col("pitch").alias("qp")), edge, "qy", "qp")
     d = geo.angular_distance("yaw", "pitch", "qy", "qp")
-    pairs = a.join(b, [*SAMPLE, *spatial.CELL]).withColumn("d", d).filter(geo.within(F.col("d"), cfg.motion_match_deg))
+    pairs = spatial.near_join(a, b, SAMPLE).withColumn("d", d).filter(geo.within(F.col("d"), cfg.motion_match_deg))
     item = F.struct(geo.r4("d", 4).alias("k"), F.col("det_id").alias("c"), F.col("pid").alias("p"), F.col("d").alias("d"))
     packed = pairs.groupBy(*SAMPLE).agg(F.array_sort(F.collect_list(item)).alias("xs"))
     free = lambda kept, x: ~F.exists(kept, lambda k: (k["c"] == x["c"]) | (k["p"] == x["p"]))
     won = packed.select(*SAMPLE, F.explode(F.aggregate("xs", F.slice("xs", 1, 0), lambda kept, x: F.when(free(kept, x), F.concat(kept, F.array(x))).otherwise(kept))).alias("m"))
     won = won.select(*SAMPLE, F.col("m.c").alias("det_id"), (F.col("m.d") / dt).alias("v"))
-    return players.join(won, [*SAMPLE, "det_id"], "left").withColumn("match_vel", F.coalesce("v", geo.lit(0.0))).drop("v")
+    return players.join(shuffled(won), [*SAMPLE, "det_id"], "left").withColumn("match_vel", F.coalesce("v", geo.lit(0.0))).drop("v")
 
 
 def flow_direction(players: DataFrame, samples: DataFrame, cfg: CrowdConfig = CrowdConfig()) -> DataFrame:

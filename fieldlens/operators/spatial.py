@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from fieldlens.functions import geo
 from fieldlens.operators.scan import null_safe_join
-from fieldlens.session import cut
+from fieldlens.session import cut, shuffled
 
 CELL = ("cx", "cy", "cz")
 
@@ -33,7 +33,7 @@ def with_cell(df: DataFrame, edge: float, yaw: str = "yaw", pitch: str = "pitch"
 
 def shift_cells(df: DataFrame, reach: int, half: bool = False) -> DataFrame:
     """One row per cell within ``reach`` cells (a fixed number of copies). ``half`` takes one of
-    each two opposite neighbours, so that an unordered pair of cells is met once."""
+    each two opposite neighbours, so that an unordered pair of cells is met once. The next join shuffles them."""
     offsets = F.array(*[
         F.struct(*[F.lit(v).alias(a) for v, a in zip(o, "abc")])
         for o in product(range(-reach, reach + 1), repeat=3) if not half or o > (0, 0, 0)
@@ -41,7 +41,29 @@ def shift_cells(df: DataFrame, reach: int, half: bool = False) -> DataFrame:
     o = df.withColumn("_o", F.explode(offsets))
     for c, a in zip(CELL, "abc"):
         o = o.withColumn(c, F.col(c) + F.col(f"_o.{a}"))
-    return o.drop("_o")
+    return shuffled(o.drop("_o"))
+
+
+def near_join(a: DataFrame, b: DataFrame, keys: list[str], reach: int = 1, half: bool = False, few: int = 128) -> DataFrame:
+    """Rows of a key whose cells are at most ``reach`` apart; both sides carry CELL, the result has that of ``a``.
+
+    Keys with at most ``few`` rows in ``b`` meet as they are, since a copy per neighbouring cell would be many
+    times the table; only rows of larger keys are copied. ``half`` as in shift_cells, the greater cell being ``a``'s.
+    """
+    crowded = cut(b.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > few).select(*keys))
+
+    def direct(a, b):
+        j = a.join(shuffled(b.withColumnsRenamed({c: f"_{c}" for c in CELL})), keys)
+        for c in CELL:
+            j = j.filter(F.abs(F.col(c) - F.col(f"_{c}")) <= reach)
+        j = j.filter(F.struct(*CELL) > F.struct(*[F.col(f"_{c}").alias(c) for c in CELL])) if half else j
+        return j.drop(*[f"_{c}" for c in CELL])
+
+    if crowded.isEmpty():
+        return direct(a, b)
+    rest = direct(a.join(crowded, keys, "left_anti"), b.join(crowded, keys, "left_anti"))
+    copied = a.join(crowded, keys, "left_semi").join(shift_cells(b.join(crowded, keys, "left_semi"), reach, half), [*keys, *CELL])
+    return rest.unionByName(copied.select(*rest.columns))
 
 
 def within_pairs(df: DataFrame, keys: list[str], id_col: str, radius: float, strict: bool = False) -> DataFrame:
@@ -78,10 +100,10 @@ def connected_components(edges: DataFrame, keys: list[str], max_rounds: int = 60
             break
         both = e.unionByName(e.select(*keys, F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy(*keys, "u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        big = both.join(low, [*keys, "u"]).filter("v > u and v <> m").select(*keys, F.col("v").alias("u"), F.col("m").alias("v"))
+        big = both.join(shuffled(low), [*keys, "u"]).filter("v > u and v <> m").select(*keys, F.col("v").alias("u"), F.col("m").alias("v"))
         low = big.groupBy(*keys, "u").agg(F.min("v").alias("m"))
         small = (
-            big.join(low, [*keys, "u"])
+            big.join(shuffled(low), [*keys, "u"])
             .select(*keys, F.explode(F.array(F.col("v"), F.col("u"))).alias("n"), "m")
             .filter("n <> m")
             .select(*keys, F.col("n").alias("u"), F.col("m").alias("v"))
@@ -122,7 +144,7 @@ def _cell_links(pairs: DataFrame, members: DataFrame, keys: list[str], edge: flo
     def side(df: DataFrame, n: int) -> DataFrame:
         return df.select(*keys, *[F.col(c).alias(f"c{n}" if c == "cell_id" else f"{c}{n}") for c in df.columns if c not in keys])
 
-    both = pairs.join(side(boxes, 1), [*keys, "c1"]).join(side(boxes, 2), [*keys, "c2"])
+    both = pairs.join(shuffled(side(boxes, 1)), [*keys, "c1"]).join(shuffled(side(boxes, 2)), [*keys, "c2"])
     square = lambda v: v * v
     gap = sum(square(F.greatest(F.col(f"lo{n}1") - F.col(f"hi{n}2"), F.col(f"lo{n}2") - F.col(f"hi{n}1"), geo.lit(0.0))) for n in "xyz")
     span = sum(square(F.greatest(F.col(f"hi{n}1") - F.col(f"lo{n}2"), F.col(f"hi{n}2") - F.col(f"lo{n}1"))) for n in "xyz")
@@ -130,9 +152,9 @@ def _cell_links(pairs: DataFrame, members: DataFrame, keys: list[str], edge: flo
     near = both.filter(gap <= geo.lit((reach * (1 + 1e-7) + 1e-9) ** 2)).withColumn("sure", span < geo.lit((reach * (1 - 1e-7)) ** 2))
     pair = [*keys, "c1", "c2"]
     sure = near.filter("sure").select(*pair).distinct()
-    opened = near.filter(~F.col("sure")).select(*pair, *[f"{f}{n}" for n in (1, 2) for f in SUB]).join(sure, pair, "left_anti")
+    opened = near.filter(~F.col("sure")).select(*pair, *[f"{f}{n}" for n in (1, 2) for f in SUB]).join(shuffled(sure), pair, "left_anti")
     spots = at.select(*keys, "cell_id", *SUB, "yaw", "pitch")
-    met = opened.join(side(spots, 1), [*keys, "c1", *[f"{f}1" for f in SUB]]).join(side(spots, 2), [*keys, "c2", *[f"{f}2" for f in SUB]])
+    met = opened.join(shuffled(side(spots, 1)), [*keys, "c1", *[f"{f}1" for f in SUB]]).join(shuffled(side(spots, 2)), [*keys, "c2", *[f"{f}2" for f in SUB]])
     met = met.filter(geo.within(geo.angular_distance("yaw1", "pitch1", "yaw2", "pitch2"), radius, strict)).select(*pair).distinct()
     return sure.unionByName(met).select(*keys, F.col("c1").alias("a"), F.col("c2").alias("b"))
 
@@ -148,13 +170,12 @@ def spatial_components(df: DataFrame, keys: list[str], id_col: str, radius: floa
     pts = with_cell(df.select(*keys, F.col(id_col).alias("id"), "yaw", "pitch"), edge)
     spots = pts.groupBy(*keys, *CELL, "yaw", "pitch").agg(F.min("id").alias("spot"))
     cells = spots.groupBy(*keys, *CELL).agg(F.min("spot").alias("cell_id"))
-    near = shift_cells(cells.select(*keys, *CELL, F.col("cell_id").alias("c1")), 2, half=True)
-    pairs = near.join(cells, [*keys, *CELL]).select(*keys, "c1", F.col("cell_id").alias("c2"))
-    members = spots.join(cells, [*keys, *CELL]).select(*keys, "cell_id", "yaw", "pitch")
+    pairs = near_join(cells.withColumnRenamed("cell_id", "c1"), cells.withColumnRenamed("cell_id", "c2"), keys, 2, half=True).select(*keys, "c1", "c2")
+    members = spots.join(shuffled(cells), [*keys, *CELL]).select(*keys, "cell_id", "yaw", "pitch")
     links = _cell_links(pairs, members, keys, edge / SUBCELLS, radius, strict)
     comp = connected_components(links, keys).withColumnRenamed("node", "cell_id")
-    labelled = cells.join(comp, [*keys, "cell_id"], "left").withColumn("comp", F.coalesce("comp", "cell_id"))
-    return pts.join(labelled, [*keys, *CELL]).select(*keys, F.col("id").alias(id_col), "comp")
+    labelled = cells.join(shuffled(comp), [*keys, "cell_id"], "left").withColumn("comp", F.coalesce("comp", "cell_id"))
+    return pts.join(shuffled(labelled), [*keys, *CELL]).select(*keys, F.col("id").alias(id_col), "comp")
 
 
 REGION_EDGE = chord(6.0)

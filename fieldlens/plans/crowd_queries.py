@@ -15,6 +15,7 @@ from fieldlens.operators.scan import Carry, carry_scan, frame_block, halo_window
 from fieldlens.plans import sqlkit as Q
 from fieldlens.plans.registry import query
 from fieldlens.plans.track_queries import rounded
+from fieldlens.session import shuffled
 from fieldlens.sources import views as V
 
 # Fixture venue: the outline's yaw extent in a 3840 pixel wide frame.
@@ -55,7 +56,7 @@ FROM centre JOIN (SELECT clip_id, sample, count(*) AS total FROM v_players GROUP
 )
 def crowd_centroids(spark, sf):
     p, members = crowd(spark, sf)
-    c = CR.centroid_and_dispersion(members).join(p.groupBy("clip_id", "sample").agg(F.count(F.lit(1)).alias("total")), ["clip_id", "sample"])
+    c = CR.centroid_and_dispersion(members).join(shuffled(p.groupBy("clip_id", "sample").agg(F.count(F.lit(1)).alias("total"))), ["clip_id", "sample"])
     c = c.withColumn("concentration", CR.concentration("cluster_size", "total", "dispersion_deg"))
     return rounded(c.drop("mean_vel", "total"), "centroid_yaw", "centroid_pitch", "dispersion_deg", "concentration")
 

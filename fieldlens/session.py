@@ -42,3 +42,9 @@ def cut(df: DataFrame) -> DataFrame:
     """Truncate lineage on reliable storage, so a lost executor costs no recomputation."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def shuffled(df: DataFrame) -> DataFrame:
+    """A join side that grows with the rows. Spark's estimate goes by compressed files and does not count
+    exploded copies, so by estimate alone such a side may be broadcast, all of it through the driver."""
+    return df.hint("merge")
