@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fieldlens.functions import geo
 from fieldlens.operators import spatial
 from fieldlens.operators.scan import Carry, carry_scan
+from fieldlens.session import shuffled
 
 
 def overlap_join(left: DataFrame, right: DataFrame, keys: list[str], ls: str, le: str, rs: str, re: str, bucket: int = 64) -> DataFrame:
@@ -17,7 +18,7 @@ def overlap_join(left: DataFrame, right: DataFrame, keys: list[str], ls: str, le
     l = left.withColumn("_b", F.explode(F.sequence(b(ls), b(le))))
     r = right.withColumn("_b", F.explode(F.sequence(b(rs), b(re))))
     return (
-        l.join(r, [*keys, "_b"])
+        l.join(shuffled(r), [*keys, "_b"])
         .filter((F.col(ls) <= F.col(re)) & (F.col(le) >= F.col(rs)))
         .filter(F.col("_b") == F.greatest(b(ls), b(rs)))
         .drop("_b")
@@ -27,7 +28,7 @@ def overlap_join(left: DataFrame, right: DataFrame, keys: list[str], ls: str, le
 def point_in_interval(points: DataFrame, intervals: DataFrame, keys: list[str], at: str, start: str, end: str, bucket: int = 64) -> DataFrame:
     b = lambda c: F.floor(F.col(c) / F.lit(bucket))
     i = intervals.withColumn("_b", F.explode(F.sequence(b(start), b(end))))
-    return points.withColumn("_b", b(at)).join(i, [*keys, "_b"]).filter(F.col(at).between(F.col(start), F.col(end))).drop("_b")
+    return points.withColumn("_b", b(at)).join(shuffled(i), [*keys, "_b"]).filter(F.col(at).between(F.col(start), F.col(end))).drop("_b")
 
 
 def nearest_in_time(left: DataFrame, right: DataFrame, keys: list[str], t: str, payload: list[str], later_on_tie: bool = True,
@@ -76,16 +77,17 @@ def nearest_in_frame(left: DataFrame, right: DataFrame, tolerance: float | None,
     r = right.select("clip_id", "frame", F.col("yaw").alias("ry"), F.col("pitch").alias("rp"), F.col(order).alias("_order"),
                      *[F.col(p).alias(f"m_{p}") for p in payload])
     near, keys = left.select("clip_id", "frame", "row_id", "yaw", "pitch"), ["clip_id", "frame"]
-    if tolerance is not None:
+    if tolerance is None:
+        j = near.join(shuffled(r), keys)
+    else:
         edge = spatial.chord(tolerance) * (1 + 1e-6) + 1e-12
-        near, r = spatial.with_cell(near, edge), spatial.shift_cells(spatial.with_cell(r, edge, "ry", "rp"), 1)
-        keys += spatial.CELL
-    j = near.join(r, keys).withColumn("match_dist", geo.angular_distance("yaw", "pitch", "ry", "rp"))
+        j = spatial.near_join(spatial.with_cell(near, edge), spatial.with_cell(r, edge, "ry", "rp"), keys)
+    j = j.withColumn("match_dist", geo.angular_distance("yaw", "pitch", "ry", "rp"))
     if tolerance is not None:
         j = j.filter(geo.within(F.col("match_dist"), tolerance))
     best = j.groupBy("clip_id", "frame", "row_id").agg(
         F.min_by(F.struct("match_dist", *[f"m_{p}" for p in payload]), F.struct("match_dist", "_order")).alias("b"))
-    return left.join(best, ["clip_id", "frame", "row_id"], "left").select(*left.columns, "b.*")
+    return left.join(shuffled(best), ["clip_id", "frame", "row_id"], "left").select(*left.columns, "b.*")
 
 
 def first_track_near(probes: DataFrame, tracks: DataFrame, tolerance: float, probe: str, order: str, payload: list[str]) -> DataFrame:
@@ -103,7 +105,7 @@ def first_track_near(probes: DataFrame, tracks: DataFrame, tolerance: float, pro
     met = point_in_interval(at, t, ["clip_id", *spatial.CELL], "frame", "start_frame", "end_frame")
     met = met.filter(geo.within(geo.angular_distance("yaw", "pitch", "ty", "tp"), tolerance))
     first = met.groupBy("clip_id", probe).agg(F.min_by(F.struct(*[f"m_{p}" for p in payload]), "_order").alias("b"))
-    return probes.join(first, ["clip_id", probe], "left").select(*probes.columns, "b.*")
+    return probes.join(shuffled(first), ["clip_id", probe], "left").select(*probes.columns, "b.*")
 
 
 def nearest_frame_of_track(probes: DataFrame, obs: DataFrame, reach: int = 5) -> DataFrame:
