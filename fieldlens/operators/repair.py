@@ -217,44 +217,52 @@ def repair_summary(out: dict[str, DataFrame]) -> DataFrame:
 def propagate_backward(anchors: DataFrame, cand: DataFrame, cfg: BackwardConfig = BackwardConfig(), conf: str = "weighted_conf") -> DataFrame:
     """Chronological path that leads to each anchor, over at most ``horizon_frames`` frames.
 
-    anchors: clip_id, anchor_id, frame, yaw, pitch. A group is one anchor's horizon.
+    anchors: clip_id, anchor_id, frame, yaw, pitch. The anchors of a stretch of frames share one group with the
+    candidates that any of their horizons holds; a candidate is in as many groups as horizons reach over, two at most.
     """
-    w = anchors.withColumn("lo", F.col("frame") - cfg.horizon_frames).withColumn("hi", F.col("frame") - 1)
-    near = point_in_interval(
-        cand.select("clip_id", F.col("frame").alias("cf"), "det_id", F.col("yaw").alias("cy"), F.col("pitch").alias("cp"), F.col(conf).alias("conf")),
-        w.select("clip_id", "anchor_id", "lo", "hi"), ["clip_id"], "cf", "lo", "hi").drop("lo", "hi")
-    rows = w.join(near, ["clip_id", "anchor_id"], "left").repartition(
-        int(cand.sparkSession.conf.get("spark.sql.shuffle.partitions")), "clip_id", "anchor_id")
+    size = max(64, cfg.horizon_frames)
+    block = lambda f: F.floor(f / F.lit(size))
+    a = anchors.filter("frame is not null").select("clip_id", block(F.col("frame")).alias("_b"), "anchor_id", "frame", "yaw", "pitch")
+    reached = F.sequence(block(F.col("frame") + 1), block(F.col("frame") + cfg.horizon_frames))
+    c = cand.select("clip_id", F.explode(reached).alias("_b"), F.col("frame").alias("cf"), "det_id", F.col("yaw").alias("cy"), F.col("pitch").alias("cp"), F.col(conf).alias("conf"))
+    parts = int(cand.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    a, c = [df.repartition(parts, "clip_id", "_b").groupBy("clip_id", "_b") for df in (a, c)]
     schema = f"clip_id {anchors.schema['clip_id'].dataType.simpleString()}, anchor_id {anchors.schema['anchor_id'].dataType.simpleString()}, frame int, det_id long, yaw double, pitch double, score double"
-    return rows.groupBy("clip_id", "anchor_id").applyInPandas(_backward(cfg), schema)
+    return a.cogroup(c).applyInPandas(_backward(cfg), schema)
 
 
 def _backward(cfg):
-    def run(pdf):
-        h = pdf.iloc[0]
+    def path_to(h, frames):
         path, out, misses = [(h.yaw, h.pitch)], [], 0
-        frames = {int(f): g for f, g in pdf[pdf["det_id"].notna()].sort_values("det_id").groupby("cf")}
-        for f in range(int(h.hi), int(h.lo) - 1, -1):
+        for f in range(int(h.frame) - 1, int(h.frame) - cfg.horizon_frames - 1, -1):
             y, p = path[-1]
             if len(path) > 1:
                 y, p = 2 * path[-1][0] - path[-2][0], 2 * path[-1][1] - path[-2][1]
             best = None
-            for r in frames[f].itertuples() if f in frames else ():
-                d = _arc(r.cy, r.cp, y, p)
+            for det, cy, cp, conf in frames.get(f, ()):
+                d = _arc(cy, cp, y, p)
                 if d > cfg.max_jump_deg:
                     continue
-                s = cfg.confidence_weight * r.conf + cfg.motion_weight * (1.0 - d / cfg.max_jump_deg)
+                s = cfg.confidence_weight * conf + cfg.motion_weight * (1.0 - d / cfg.max_jump_deg)
                 if best is None or s > best[0]:
-                    best = (s, r)
+                    best = (s, det, cy, cp)
             if best is None:
                 misses += 1
                 if misses > cfg.max_gap_frames:
                     break
                 continue
             misses = 0
-            path.append((best[1].cy, best[1].cp))
-            out.append((h.clip_id, h.anchor_id, f, int(best[1].det_id), best[1].cy, best[1].cp, best[0]))
-        return pd.DataFrame(out, columns=["clip_id", "anchor_id", "frame", "det_id", "yaw", "pitch", "score"]).sort_values("frame")
+            path.append(best[2:])
+            out.append((h.clip_id, h.anchor_id, f, int(best[1]), *best[2:], best[0]))
+        return out[::-1]
+
+    def run(pdf, near):
+        frames = {}
+        near = near[near["det_id"].notna()].sort_values("det_id", kind="stable")
+        for f, *row in zip(near["cf"].tolist(), near["det_id"].tolist(), near["cy"].tolist(), near["cp"].tolist(), near["conf"].tolist()):
+            frames.setdefault(f, []).append(row)
+        out = [x for h in pdf.rename(columns={"_b": "block"}).itertuples(index=False) for x in path_to(h, frames)]
+        return pd.DataFrame(out, columns=["clip_id", "anchor_id", "frame", "det_id", "yaw", "pitch", "score"])
 
     return run
 

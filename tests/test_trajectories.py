@@ -174,3 +174,40 @@ def test_stream_and_batch_tracker_agree(spark, small_dir):
     live = {(r["clip_id"], r["frame"]): tuple(r) for r in REGISTRY["live_tracks"].run(spark, small_dir).collect()}
     stored = {(r["clip_id"], r["frame"]): tuple(r) for r in REGISTRY["stored_tracks"].run(spark, small_dir).collect()}
     assert live and live == stored
+
+
+def test_backward_paths_share_groups_and_equal_a_walk_per_anchor(spark):
+    import math
+    import random
+
+    from fieldlens.config import BackwardConfig
+    from fieldlens.operators.repair import propagate_backward
+
+    cfg, r = BackwardConfig(), random.Random(3)
+    # frames around the edges of the stretches that share a group
+    det = [("a", f, 10 * f + k, -170.0 + 0.5 * f + r.random(), r.random() * 6.0, r.random()) for f in [*range(0, 70), *range(100, 200)] for k in range(2)]
+    anchors = [("a", 10_000 + f, f, -170.0 + 0.5 * f, 3.0) for f in (0, 1, 60, 63, 64, 65, 104, 127, 128, 129, 199, 240)]
+
+    def arc(y1, p1, y2, p2):
+        a, b = math.radians(p1), math.radians(p2)
+        return math.degrees(math.acos(max(-1.0, min(1.0, math.sin(a) * math.sin(b) + math.cos(a) * math.cos(b) * math.cos(math.radians(y1 - y2))))))
+
+    want = []
+    for _, anchor, at, yaw, pitch in anchors:
+        path, misses = [(yaw, pitch)], 0
+        for f in range(at - 1, at - cfg.horizon_frames - 1, -1):
+            y, p = path[-1] if len(path) == 1 else (2 * path[-1][0] - path[-2][0], 2 * path[-1][1] - path[-2][1])
+            near = [(cfg.confidence_weight * c + cfg.motion_weight * (1.0 - arc(cy, cp, y, p) / cfg.max_jump_deg), -d, cy, cp)
+                    for _, g, d, cy, cp, c in det if g == f and arc(cy, cp, y, p) <= cfg.max_jump_deg]
+            misses = 0 if near else misses + 1
+            if misses > cfg.max_gap_frames:
+                break
+            if near:
+                s, d, cy, cp = max(near)
+                path.append((cy, cp))
+                want.append((anchor, f, -d, s))
+    got = propagate_backward(spark.createDataFrame(anchors, "clip_id string, anchor_id long, frame int, yaw double, pitch double"),
+                             spark.createDataFrame(det, "clip_id string, frame int, det_id long, yaw double, pitch double, weighted_conf double"))
+    assert "Join" not in got._jdf.queryExecution().analyzed().toString()  # no row per anchor and candidate
+    assert sorted((x.anchor_id, x.frame, x.det_id, x.score) for x in got.collect()) == sorted(want)
+    assert len(want) > 100
