@@ -79,10 +79,22 @@ def new_arrivals(items: DataFrame, at: str, key: str, delay: str, cutoff=None) -
 
 
 # ---------------------------------------------------------------- state per group
+BUCKETS = 4096
+
+
+def by_bucket(df: DataFrame, key: str):
+    """Many small keys share the state of a bucket, which is read and written once a batch; a call into Python
+    for every key would cost more than its rows. The number of buckets holds for the life of a checkpoint."""
+    return df.withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(BUCKETS))).groupBy("_bucket")
+
+
 class CompletenessGate(StatefulProcessor):
     """File counts per group: new / changed / waiting, ``ready`` once when the count held still for ``hold_s``,
     ``done`` from then on. A group that no scan shows for ``absent_s`` leaves the state: reported as
-    ``vanished`` where it never got ready, else as ``closed``; if it comes back, it is new."""
+    ``vanished`` where it never got ready, else as ``closed``; if it comes back, it is new.
+
+    The state of a bucket: its groups (last scan, count, unchanged since, ready) and the time of its one timer,
+    at which the first of them leaves."""
 
     hold_s = 3600.0
 
@@ -91,17 +103,18 @@ class CompletenessGate(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("s", "last double, n long, since double, ready boolean")
+        self.state = handle.getValueState("s", "doc string")
 
     def handleInputRows(self, key, rows, timerValues):
-        scans = pd.concat(list(rows)).groupby("scan_at", as_index=False)["n_files"].max()
-        now = self.state.get() if self.state.exists() else None
+        timer, groups = self._load()
+        scans = pd.concat(list(rows)).groupby(["grp", "scan_at"], as_index=False)["n_files"].max()
         out = []
-        for at, n in zip(scans["scan_at"].astype(float), scans["n_files"].astype(int)):
+        for grp, at, n in zip(scans["grp"].tolist(), scans["scan_at"].astype(float).tolist(), scans["n_files"].astype(int).tolist()):
+            now = groups.get(str(grp))
             if now and at <= now[0]:
                 continue  # late
             if now and at - now[0] > self.absent_s:
-                out.append(self._gone(key, now))
+                out.append(self._gone(grp, now))
                 now = None
             if now is None:
                 state, now = "new", (at, n, at, False)
@@ -111,26 +124,39 @@ class CompletenessGate(StatefulProcessor):
                 held = n == before and at - since >= self.hold_s
                 state = "done" if ready else "changed" if n != before else "ready" if held else "waiting"
                 now = (at, n, since, ready or held)
-            out.append((key[0], at, n, at - now[2], state))
-        self.state.update(now)
-        self.handle.registerTimer(self._leaves(now))
+            groups[str(grp)] = now
+            out.append((grp, at, n, at - now[2], state))
+        self._store(timer, groups)
         yield self._frame(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        now = self.state.get() if self.state.exists() else None
-        # a scan since has put the time off
-        over = now is not None and self._leaves(now) <= expiredTimerInfo.getExpiryTimeInMs()
-        if over:
+        over = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+        _, groups = self._load()
+        gone = {g: now for g, now in groups.items() if self._leaves(now) <= over}
+        self._store(None, {g: now for g, now in groups.items() if g not in gone})
+        yield self._frame([self._gone(int(g), now) for g, now in gone.items()])
+
+    def _load(self):
+        return json.loads(self.state.get()[0]) if self.state.exists() else (None, {})
+
+    def _store(self, timer, groups) -> None:
+        first = min(map(self._leaves, groups.values()), default=None)
+        if timer is not None and first != timer:
+            self.handle.deleteTimer(timer)
+        if first is None:
             self.state.clear()
-        yield self._frame([self._gone(key, now)] if over else [])
+            return
+        if first != timer:
+            self.handle.registerTimer(first)
+        self.state.update((json.dumps([first, groups]),))
 
     def _leaves(self, now) -> int:
         return round((now[0] + self.absent_s) * 1000)
 
-    def _gone(self, key, now):
+    def _gone(self, grp, now):
         last, n, since, ready = now
         at = last + self.absent_s
-        return (key[0], at, n, at - since, "closed" if ready else "vanished")
+        return (grp, at, n, at - since, "closed" if ready else "vanished")
 
     def _frame(self, rows):
         df = pd.DataFrame(rows, columns=["grp", "scan_at", "n_files", "stable_s", "state"])
@@ -143,43 +169,44 @@ class CompletenessGate(StatefulProcessor):
 def completeness_stream(scans: DataFrame, delay: str = "0 seconds", absent_s: float = 7200.0) -> DataFrame:
     """scans: grp, scan_at, n_files."""
     s = scans.withColumn("at", F.timestamp_micros((F.col("scan_at") * 1e6).cast("long"))).withWatermark("at", delay)
-    return s.groupBy("grp").transformWithStateInPandas(
+    return by_bucket(s, "grp").transformWithStateInPandas(
         CompletenessGate(absent_s), "grp long, scan_at double, n_files long, stable_s double, state string", "Append", "eventTime")
 
 
 class FailureCounter(StatefulProcessor):
     """Failures of a media item since its last success, whatever order the attempts come in.
 
-    The state is the latest success and the failures after it. A later success drops those before
-    it, an earlier one changes nothing, so files in any order give what all rows at once give, and no
+    The state is the latest success and the failures after it, for all items of a bucket. A later success drops
+    those before it, an earlier one changes nothing, so files in any order give what all rows at once give, and no
     watermark has to wait for late ones. Attempts that came after a later one are counted."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.head = handle.getValueState("h", "seen long, late long, newest string, success string")
-        self.failures = handle.getMapState("f", "at string", "n long, reason string")
+        self.state = handle.getValueState("s", "doc string")
 
     def handleInputRows(self, key, rows, timerValues):
-        pdf = pd.concat(list(rows))
-        seen, late, newest, success = self.head.get() if self.head.exists() else (0, 0, "", "")
-        # places in time as text that sorts like the numbers
-        names = [f"{round(t * 1e6) + 2**62:020d}|{a:012d}|{k:020d}" for t, a, k in zip(pdf["attempted_at"], pdf["attempt"], pdf["tie"])]
-        late += sum(n < newest for n in names)
-        seen, newest = seen + len(names), max([newest, *names])
-        failed = (pdf["outcome"] == "failed").tolist()
-        won = max([n for n, f in zip(names, failed) if not f], default="")
-        if won > success:
-            success = won
-            for (at,) in [k for k in self.failures.keys() if k[0] <= success]:
-                self.failures.removeKey((at,))
-        for name, f, reason in zip(names, failed, pdf["reason"]):
-            if f and name > success:
-                n, other = self.failures.getValue((name,)) if self.failures.containsKey((name,)) else (0, "")
-                self.failures.updateValue((name,), (n + 1, max(other, reason or "")))
-        self.head.update((seen, late, newest, success))
-        held = sorted((k[0], v[0], v[1]) for k, v in self.failures.iterator())
-        fails = sum(n for _, n, _ in held)
-        hours = 0 if not held else 24 if fails >= 3 else 1 if held[-1][2] in ("no download URL", "download failed") else 6
-        yield pd.DataFrame([(key[0], fails, hours, seen, late)], columns=["media_id", "fail_count", "cooldown_h", "attempts_seen", "out_of_order"])
+        items = json.loads(self.state.get()[0]) if self.state.exists() else {}
+        pdf, mine, out = pd.concat(list(rows)), {}, []
+        columns = [pdf[c].tolist() for c in ("media_id", "attempted_at", "attempt", "tie", "outcome", "reason")]
+        for item, t, attempt, tie, outcome, reason in zip(*columns):
+            mine.setdefault(item, []).append(([round(t * 1e6), attempt, tie], outcome == "failed", reason or ""))
+        for item, attempts in mine.items():
+            # places in time are lists, the empty one comes before all
+            seen, late, newest, success, held = items.get(str(item), (0, 0, [], [], []))
+            late += sum(at < newest for at, _, _ in attempts)
+            seen, newest = seen + len(attempts), max([newest, *[at for at, _, _ in attempts]])
+            success = max([success, *[at for at, failed, _ in attempts if not failed]])
+            failures = {tuple(at): (n, reason) for at, n, reason in held if at > success}
+            for at, failed, reason in attempts:
+                if failed and at > success:
+                    n, other = failures.get(tuple(at), (0, ""))
+                    failures[tuple(at)] = (n + 1, max(other, reason))
+            held = [(at, *failures[at]) for at in sorted(failures)]
+            fails = sum(n for _, n, _ in held)
+            hours = 0 if not held else 24 if fails >= 3 else 1 if held[-1][2] in ("no download URL", "download failed") else 6
+            items[str(item)] = (seen, late, newest, success, held)
+            out.append((item, fails, hours, seen, late))
+        self.state.update((json.dumps(items),))
+        yield pd.DataFrame(out, columns=["media_id", "fail_count", "cooldown_h", "attempts_seen", "out_of_order"])
 
     def close(self) -> None:
         pass
@@ -187,7 +214,7 @@ class FailureCounter(StatefulProcessor):
 
 def failure_stream(attempts: DataFrame) -> DataFrame:
     """attempts: media_id, attempted_at (seconds), attempt, tie, outcome, reason. A row per item and batch that names it."""
-    return attempts.groupBy("media_id").transformWithStateInPandas(
+    return by_bucket(attempts, "media_id").transformWithStateInPandas(
         FailureCounter(), "media_id long, fail_count long, cooldown_h int, attempts_seen long, out_of_order long", "Append", "None")
 
 

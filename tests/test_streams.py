@@ -107,3 +107,14 @@ def test_tracker_drifts_to_the_players_in_stream_and_batch(spark, tmp_path):
     drift = [x for x in live if x[4].startswith("player_drift")]
     assert drift and drift[-1][1] > drift[0][1] + 5 and drift[-1][1] < 63
     assert [x[1] for x in drift] == sorted(x[1] for x in drift)
+
+
+def test_small_keys_share_a_call(spark, tmp_path, monkeypatch):
+    """A call into Python for every media item took hours on millions of them."""
+    monkeypatch.setattr(O, "BUCKETS", 1)
+    rows = [(i, float(i % 7), 1, 1, "failed", None) for i in range(50)]
+    s = stream_of(spark, tmp_path, [rows[:30], rows[20:]], "media_id long, attempted_at double, attempt long, tie long, outcome string, reason string")
+    plan = O.failure_stream(s)._jdf.queryExecution().analyzed().toString()
+    assert "_bucket" in plan
+    got = O.drain(O.failure_stream(s), "append", "t", ["media_id"]).collect()
+    assert {x.media_id: x.fail_count for x in got} == {i: 2 if 20 <= i < 30 else 1 for i in range(50)}
