@@ -109,13 +109,13 @@ def raw_and_fused_pick(scored: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def pose_guided_pick(cand: DataFrame, keys: list[str], support_min: float = 0.20) -> DataFrame:
-    """Only candidates with pose support compete (0.65 relative confidence + 0.35 support); without
-    any, the raw pick stands and says so."""
+    """Only candidates with pose support compete (0.65 relative confidence + 0.35 support, to nine places, so
+    that equal ones tie whatever their last bits); without any, the raw pick stands and says so."""
     ok = F.coalesce(F.col("pose_support") >= support_min, F.lit(False))
     m = cand.groupBy(*keys).agg(F.max(F.when(ok, F.col("raw_conf"))).alias("best_raw"), F.max_by("det_id", F.struct(F.col("raw_conf"), -F.col("det_id"))).alias("raw_pick"))
     j = cand.join(m, keys)
     rel = F.col("raw_conf") / F.when(F.col("best_raw") > 0, F.col("best_raw")).otherwise(geo.lit(1.0))
-    j = j.withColumn("guided", F.when(ok, rel * 0.65 + F.col("pose_support") * 0.35))
+    j = j.withColumn("guided", F.when(ok, geo.r4(rel * 0.65 + F.col("pose_support") * 0.35, 9)))
     g = j.groupBy(*keys).agg(
         F.first("raw_pick").alias("raw_pick"),
         F.max_by("det_id", F.when(F.col("guided").isNotNull(), F.struct(F.col("guided"), -F.col("det_id")))).alias("g"))
