@@ -205,9 +205,11 @@ def player_tracks(spark, sf):
 
 
 def crowd_series(spark, sf):
-    """One row per sample: plain centroid of all players, spread, concentration score."""
+    """One row per sample: plain centroid of all players, spread, concentration score. Modes compare the score with
+    limits that exact means hit, so confidences are summed as decimals: a sum of doubles hangs on their order."""
     p = V.players(spark, sf)
-    c = p.groupBy("clip_id", "sample").agg(F.max("ts").alias("ts"), geo.circular_mean("yaw").alias("centroid_yaw"), F.avg("conf").alias("mc"), F.count(F.lit(1)).alias("total"),
+    mean = F.sum(F.col("conf").cast("decimal(20,9)")).cast("double") / F.count("conf")
+    c = p.groupBy("clip_id", "sample").agg(F.max("ts").alias("ts"), geo.circular_mean("yaw").alias("centroid_yaw"), mean.alias("mc"), F.count(F.lit(1)).alias("total"),
                                            (geo.lit(1.0) - geo.resultant(F.radians("yaw"))).alias("spread"))
     return c.withColumn("score", geo.clamp(F.col("mc") * 0.9)).withColumn("dispersion_deg", F.col("spread") * 60.0)
 
