@@ -332,7 +332,8 @@ def warmup_chain(cand: DataFrame, hard_pitch: float = 18.0, max_step: float = 30
 
     cand: clip_id, batch, pos (0..4), det_id, yaw, pitch, conf. A chain starts anywhere with
     its first confidence and gains mean confidence minus distance/60 per link. Four equi
-    joins on pos + 1, each reduced to the best chain per end point before the next.
+    joins on pos + 1, each reduced to the best chain per end point before the next: the best score,
+    then the longer chain, then the smaller detections.
     """
     keys = ["clip_id", "batch"]
     node = cand.select(*keys, "pos", "det_id", "yaw", "pitch", "conf", F.col("conf").alias("score"), F.array("det_id").alias("path"), (F.col("pitch") > hard_pitch).alias("bad"))
@@ -347,7 +348,7 @@ def warmup_chain(cand: DataFrame, hard_pitch: float = 18.0, max_step: float = 30
         options = ext.unionByName(node.filter(F.col("pos") == pos))
         rest = ["yaw", "pitch", "conf", "score", "path", "bad"]
         done = layer if done is None else done.unionByName(layer)
-        layer = options.groupBy(*keys, "pos", "det_id").agg(F.max_by(F.struct(*rest), F.struct("score", F.size("path"))).alias("r")).select(*keys, "pos", "det_id", "r.*")
+        layer = options.groupBy(*keys, "pos", "det_id").agg(F.max_by(F.struct(*rest), F.struct("score", F.size("path"), F.transform("path", lambda d: -d))).alias("r")).select(*keys, "pos", "det_id", "r.*")
     done = done.unionByName(layer)
     ok = done.filter((F.size("path") >= min_len) & ~F.col("bad"))
     return ok.groupBy(*keys).agg(F.max_by(F.struct("score", "path"), F.struct(F.col("score"), -F.col("det_id"))).alias("b")).select(
