@@ -12,6 +12,7 @@ from fieldlens.functions.geo import r4
 from fieldlens.operators import ledger as LG
 from fieldlens.operators import merge as M
 from fieldlens.operators import telemetry as TM
+from fieldlens.operators.scan import frame_block
 from fieldlens.plans import sqlkit as Q
 from fieldlens.plans.registry import query
 from fieldlens.plans.track_queries import rounded
@@ -438,7 +439,9 @@ def sample_series_roundtrip(spark, sf):
     rec = WR.rounded(p, {"yaw": 2, "pitch": 2, "vel": 1}).groupBy("clip_id", "sample", "ts").agg(
         F.collect_list(F.struct("yaw", "pitch", "conf", F.lit(None).cast("double").alias("foot_yaw"), F.lit(None).cast("double").alias("foot_pitch"), "box_h", F.col("vel").alias("vel_deg_per_sec"), "track_id")).alias("players"))
     path = f"{shared_dir(spark)}/samples-{uuid.uuid4().hex}"
-    rec.select("clip_id", F.col("ts").alias("timestamp"), F.col("sample").alias("frame"), "players").write.partitionBy("clip_id").json(path)
+    rec = rec.select("clip_id", F.col("ts").alias("timestamp"), F.col("sample").alias("frame"), "players")
+    # one file for a stretch of a clip; else every task writes a file for every clip
+    rec.repartition("clip_id", frame_block()).write.partitionBy("clip_id").json(path)
     _, back = RD.read_samples(spark, path)
     return back.groupBy("clip_id", "track_id").agg(F.count(F.lit(1)).alias("n"), r4(F.sum("yaw"), 2).alias("yaw_sum"), r4(F.sum("vel"), 2).alias("vel_sum"))
 
