@@ -298,34 +298,44 @@ class OnlineTracker(StatefulProcessor):
         self.late = handle.getValueState("l", "n long")
 
     def handleInputRows(self, key, rows, timerValues):
-        state = json.loads(self.track.get()[0]) if self.track.exists() else TK.fresh_state()
+        state, timer = json.loads(self.track.get()[0]) if self.track.exists() else (TK.fresh_state(), None)
         late = self.late.get()[0] if self.late.exists() else 0
-        for pdf in rows:
-            for f, g in pdf.groupby("frame"):
-                if state["frame"] is not None and f <= state["frame"]:
-                    late += len(g)
-                    continue
-                k = (int(f),)
-                old = json.loads(self.pending.getValue(k)[0]) if self.pending.containsKey(k) else []
-                self.pending.updateValue(k, (json.dumps(old + _records(g)),))
-                # the first moment at which rows of the frame are late, so that the last frame of a clip needs no later one
-                self.handle.registerTimer((int(f) + 1) * self.frame_ms - 1)
+        first = timer
+        for f, g in pd.concat(list(rows)).groupby("frame"):
+            if state["frame"] is not None and f <= state["frame"]:
+                late += len(g)
+                continue
+            k = (int(f),)
+            old = json.loads(self.pending.getValue(k)[0]) if self.pending.containsKey(k) else []
+            self.pending.updateValue(k, (json.dumps(old + _records(g)),))
+            first = self._over(f) if first is None else min(first, self._over(f))
         self.late.update((late,))
-        self.track.update((json.dumps(state),))
+        self._store(state, first, timer)
         yield self._frame(key, [])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        upto = int((expiredTimerInfo.getExpiryTimeInMs() + 1) // self.frame_ms) - 1
-        state = json.loads(self.track.get()[0])
-        due = {}
-        for k, v in list(self.pending.iterator()):
-            if k[0] <= upto:
-                due[k[0]] = json.loads(v[0])
-                self.pending.removeKey((k[0],))
-        out = _advance(state, due, upto)
-        self.track.update((json.dumps(state),))
+        over = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+        state, timer = json.loads(self.track.get()[0])
+        waiting = {k[0]: v[0] for k, v in self.pending.iterator()}
+        due = {f: json.loads(doc) for f, doc in waiting.items() if self._over(f) <= over}
+        for f in due:
+            self.pending.removeKey((f,))
+        out = _advance(state, due, max(due)) if due else []
+        self._store(state, min((self._over(f) for f in waiting if f not in due), default=None), None)
         yield self._frame(key, out)
 
+    def _over(self, frame) -> int:
+        """The first moment at which rows of the frame are late, so that the last frame of a clip needs no later one."""
+        return (int(frame) + 1) * self.frame_ms - 1
+
+    def _store(self, state, first, timer) -> None:
+        """One timer a clip, for its first waiting frame: all frames that are over by then step in one call."""
+        if first is not None and first != timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(first)
+        self.track.update((json.dumps([state, first]),))
+
     def _frame(self, key, recs):
         cols = ["frame", "yaw", "pitch", "best_score", "tracker_state", "loss_state"]
         df = pd.DataFrame(recs, columns=cols)
