@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from fieldlens.config import ActionZoneConfig, CrowdConfig, FusionConfig
 from fieldlens.functions import geo
 from fieldlens.operators import spatial
+from fieldlens.operators.blockrun import run_blocks, steps
 from fieldlens.operators.scan import Carry, carry_scan, frame_block, halo_windows, row_index
 from fieldlens.operators.windows import run_lengths
 from fieldlens.session import cut, shuffled
@@ -215,6 +216,9 @@ def subgroup_candidates(zp: DataFrame, cfg: ActionZoneConfig = ActionZoneConfig(
     )
 
 
+BREAKAWAY = ["separation", "sub_speed_norm", "coherence", "main_speed_norm", "size_penalty", "ids"]
+
+
 def breakaway_run(cfg: ActionZoneConfig):
     """Step for blockrun: growth of separation depends on the subgroup chosen one sample before."""
     a1, a2, a3, a4, a5 = cfg.a
@@ -222,19 +226,22 @@ def breakaway_run(cfg: ActionZoneConfig):
     def run(pdf: pd.DataFrame, state: str | None):
         prev = json.loads(state) if state is not None else None
         out = []
-        for sample, g in pdf.groupby("sample", sort=True):
-            ts, best = float(g["ts"].iloc[0]), None
-            for r in g[g["eligible"] & ~g["is_main"]].sort_values("group_no").itertuples():
-                ids = set(int(i) for i in r.ids)
+        for sample, (when, *of_groups) in steps(pdf, "sample", ["ts", "eligible", "is_main", *BREAKAWAY]):
+            ts, best = float(when[0]), None
+            for eligible, is_main, *r in zip(*(c.tolist() for c in of_groups)):
+                if not eligible or is_main:
+                    continue
+                separation, speed, coherence, main_speed, penalty, members = r
+                ids = set(int(i) for i in members)
                 growth = 0.0
                 if prev is not None and prev[2]:
                     shared = len(ids & set(prev[2])) / (min(len(ids), len(prev[2])) or 1)
                     if shared >= cfg.sep_growth_min_overlap:
-                        growth = min(max(0.0, (r.separation - prev[1]) / max(ts - prev[0], 1e-3)) / 10.0, 1.0)
-                x = a1 * r.sub_speed_norm + a2 * r.coherence + a3 * (1.0 - r.main_speed_norm) + a4 * growth - a5 * r.size_penalty
+                        growth = min(max(0.0, (separation - prev[1]) / max(ts - prev[0], 1e-3)) / 10.0, 1.0)
+                x = a1 * speed + a2 * coherence + a3 * (1.0 - main_speed) + a4 * growth - a5 * penalty
                 score = 1.0 / (1.0 + math.exp(-x))
                 if best is None or score > best[0]:
-                    best = (score, r.separation, sorted(ids), growth)
+                    best = (score, separation, sorted(ids), growth)
             if best is None:
                 best = (0.0, 0.0, [], 0.0)
             prev = [ts, best[1], best[2]]
@@ -252,7 +259,6 @@ def action_zone(players: DataFrame, crowd: DataFrame, cfg: ActionZoneConfig = Ac
     dispersion_deg, total, mode. Two sequential steps (subgroup choice, smoothing) run in
     blocks; all scores are native.
     """
-    from fieldlens.operators.blockrun import run_blocks
     from fieldlens.operators.series import ema_series
 
     zp = cut(zone_players(players, cfg))
