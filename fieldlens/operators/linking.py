@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldlens.config import CrowdConfig, LinkConfig
-from fieldlens.operators.blockrun import run_blocks
+from fieldlens.operators.blockrun import run_blocks, steps
 from fieldlens.operators.scan import Carry, carry_scan, frame_block, halo_windows, row_index
 from fieldlens.operators.spatial import connected_components
 from fieldlens.session import cut
@@ -76,12 +76,21 @@ def _unit(yaw, pitch):
 
 
 def _angle(a, b):
-    return np.degrees(np.arccos(np.clip(np.sum(a * b, axis=-1), -1.0, 1.0)))
+    return np.degrees(np.arccos(np.minimum(np.maximum((a * b).sum(axis=-1), -1.0), 1.0)))
+
+
+def _length(v):
+    return np.sqrt((v * v).sum(axis=-1))
+
+
+def _cross(a, b):
+    ax, ay, az, bx, by, bz = a[:, 0], a[:, 1], a[:, 2], b[:, 0], b[:, 1], b[:, 2]
+    return np.stack([ay * bz - az * by, az * bx - ax * bz, ax * by - ay * bx], axis=1)
 
 
 def _predicted(pos, vel, has, delta, mode):
     """Positions after ``delta`` frames; vel is degrees per frame along a tangent."""
-    speed = np.linalg.norm(vel, axis=1)
+    speed = _length(vel)
     moving = has & (speed > 1e-9)
     if not moving.any():
         return pos
@@ -90,9 +99,9 @@ def _predicted(pos, vel, has, delta, mode):
     if mode == "great_circle":
         turned = pos * np.cos(a) + d * np.sin(a)
     else:
-        along = np.sum(d * pos, axis=1, keepdims=True)
-        turned = pos * np.cos(a) + np.cross(d, pos) * np.sin(a) + d * along * (1 - np.cos(a))
-    n = np.linalg.norm(turned, axis=1, keepdims=True)
+        along = (d * pos).sum(axis=1, keepdims=True)
+        turned = pos * np.cos(a) + _cross(d, pos) * np.sin(a) + d * along * (1 - np.cos(a))
+    n = _length(turned)[:, None]
     turned = turned / np.where(n > 1e-9, n, 1.0)
     return np.where((moving & (n[:, 0] > 1e-9))[:, None], turned, pos)
 
@@ -105,11 +114,11 @@ def _link_scores(cv, conf, pred, vel, has, delta, cfg):
     prox = np.exp(-0.5 * (miss / (gate / 2.0)) ** 2)
     still = (cfg.w_conf * c + cfg.w_prox * prox) / (cfg.w_conf + cfg.w_prox)
     step = cv[:, None, :] - pred[None, :, :]
-    step = step - np.sum(step * pred[None, :, :], axis=2, keepdims=True) * pred[None, :, :]
-    ns, nv = np.linalg.norm(step, axis=2), np.linalg.norm(vel, axis=1)
-    dot = np.sum(step * vel[None, :, :], axis=2)
+    step = step - (step * pred[None, :, :]).sum(axis=2, keepdims=True) * pred[None, :, :]
+    ns, nv = _length(step), _length(vel)
+    dot = (step * vel[None, :, :]).sum(axis=2)
     cos = np.where((ns > 1e-9) & (nv > 1e-9)[None, :], dot / np.where(ns * nv > 0, ns * nv, 1.0), 0.0)
-    aligned = cfg.w_conf * c + cfg.w_prox * prox + cfg.w_vel * np.clip(cos, 0.0, 1.0)
+    aligned = cfg.w_conf * c + cfg.w_prox * prox + cfg.w_vel * np.minimum(np.maximum(cos, 0.0), 1.0)
     score = np.where((has & (nv > 1e-9))[None, :], aligned, still)
     return np.where(miss > gate[None, :], -np.inf, score)
 
@@ -131,15 +140,14 @@ def _linker(cfg: LinkConfig):
             refs = [f"i{j}" for j in range(len(tracks))]
         # a track: x y z vx vy vz has_velocity last_frame missed
         tab = np.array(tracks, dtype=float).reshape(-1, 9)
-        for idx, g in pdf.groupby("idx", sort=True):
-            frame = int(g["frame"].iloc[0])
+        at = _unit(pdf["yaw"].to_numpy(), pdf["pitch"].to_numpy())
+        for idx, (frames, ids, cv, yaw, pitch, conf) in steps(pdf, "idx", ["frame", "det_id", at, "yaw", "pitch", "weighted_conf"]):
+            frame = int(frames[0])
             if last_idx is not None and len(tab):
                 tab[:, 8] += idx - last_idx - 1
                 alive = tab[:, 8] < cfg.max_link_gap
                 tab, refs = tab[alive], [r for r, a in zip(refs, alive) if a]
             last_idx = int(idx)
-            cv = _unit(g["yaw"].to_numpy(), g["pitch"].to_numpy())
-            conf, ids = g["weighted_conf"].to_numpy(), g["det_id"].to_numpy()
             won, links = {}, []
             if len(tab):
                 delta = frame - tab[:, 7]
@@ -148,23 +156,24 @@ def _linker(cfg: LinkConfig):
                 score = _link_scores(cv, conf, pred, tab[:, 3:6], has, delta, cfg)
                 ci, ti = np.nonzero(np.isfinite(score))
                 best = np.lexsort((ti, ci, -score[ci, ti]))
-                links = [(int(ci[k]), int(ti[k])) for k in best]
+                links, scores = list(zip(ci[best].tolist(), ti[best].tolist())), score.tolist()
                 won = _greedy([c for c, _ in links], [t for _, t in links])
                 near = {t: [] for t in won}
                 for c, t in links:
-                    if t in won and c != won[t] and score[won[t], t] - score[c, t] <= cfg.alternate_margin:
-                        near[t].append({"det_id": int(ids[c]), "yaw": float(g["yaw"].iloc[c]), "pitch": float(g["pitch"].iloc[c]), "score": float(score[c, t])})
+                    if t in won and c != won[t] and scores[won[t]][t] - scores[c][t] <= cfg.alternate_margin:
+                        near[t].append({"det_id": int(ids[c]), "yaw": float(yaw[c]), "pitch": float(pitch[c]), "score": scores[c][t]})
                 for t, c in won.items():
-                    out.append((frame, int(ids[c]), refs[t], None, float(score[c, t]), near[t]))
-                    p, v = tab[t, :3].copy(), cv[c]
+                    out.append((frame, int(ids[c]), refs[t], None, scores[c][t], near[t]))
+                tab[:, 8] += 1
+                if won:
+                    t, c = list(won), list(won.values())
+                    p, v, gone = tab[t, :3], cv[c], delta[t]
                     diff = v - p
-                    tang = diff - np.dot(diff, p) * p
-                    n = np.linalg.norm(tang)
-                    speed = float(_angle(p, v)) / delta[t] if delta[t] > 0 else 0.0
-                    tab[t, 3:6] = tang / n * speed if n >= 1e-9 else 0.0
+                    tang = diff - (diff * p).sum(axis=1, keepdims=True) * p
+                    n = _length(tang)
+                    speed = np.where(gone > 0, _angle(p, v) / np.where(gone > 0, gone, 1.0), 0.0)
+                    tab[t, 3:6] = np.where(n >= 1e-9, speed / np.where(n > 0, n, 1.0), 0.0)[:, None] * tang
                     tab[t, :3], tab[t, 6], tab[t, 7], tab[t, 8] = v, 1.0, frame, 0.0
-                lost = np.array([t not in won for t in range(len(tab))])
-                tab[lost, 8] += 1
                 alive = tab[:, 8] < cfg.max_link_gap
                 tab, refs = tab[alive], [r for r, a in zip(refs, alive) if a]
             taken = set(won.values())
@@ -216,12 +225,11 @@ def _still_chains(frame_w: float, radius: float):
     def run(pdf, state):
         last_idx, pos = json.loads(state) if state is not None else (None, [])
         refs, born, out = [f"i{j}" for j in range(len(pos))], 0, []
-        for idx, g in pdf.groupby("idx", sort=True):
+        for idx, (frames, ids, x, y) in steps(pdf, "idx", ["frame", "det_id", "cx", "cy"]):
             if last_idx is not None and idx - last_idx > 1:
                 pos, refs = [], []
             last_idx = int(idx)
-            frame, ids = int(g["frame"].iloc[0]), g["det_id"].to_numpy()
-            x, y = g["cx"].to_numpy(), g["cy"].to_numpy()
+            frame = int(frames[0])
             free = np.ones(len(ids), bool)
             keep_pos, keep_ref = [], []
             for (px, py), ref in zip(pos, refs):
@@ -278,18 +286,18 @@ def _player_tracks(cfg: CrowdConfig):
         last_idx, tab = json.loads(state) if state is not None else (None, [])
         refs, born, out = [f"i{j}" for j in range(len(tab))], 0, []
         # a track: yaw pitch box_h missed
-        for idx, g in pdf.groupby("idx", sort=True):
+        at = _unit(pdf["yaw"].to_numpy(), pdf["pitch"].to_numpy())
+        for idx, (frames, ids, cv, yaw, pitch, box, conf) in steps(pdf, "idx", ["frame", "det_id", at, "yaw", "pitch", "box_h", "conf"]):
             if last_idx is not None:
                 blank = int(idx) - last_idx - 1
                 alive = [k for k, t in enumerate(tab) if t[3] + blank <= cfg.max_missed]
                 tab, refs = [[*tab[k][:3], tab[k][3] + blank] for k in alive], [refs[k] for k in alive]
             last_idx = int(idx)
-            frame, ids = int(g["frame"].iloc[0]), g["det_id"].to_numpy()
-            yaw, pitch, box, conf = (g[c].to_numpy() for c in ("yaw", "pitch", "box_h", "conf"))
+            frame = int(frames[0])
             won = {}
             if tab:
                 t = np.array(tab)
-                d = _angle(_unit(yaw, pitch)[:, None, :], _unit(t[:, 0], t[:, 1])[None, :, :])
+                d = _angle(cv[:, None, :], _unit(t[:, 0], t[:, 1])[None, :, :])
                 cost = d + 0.02 * np.abs(box[:, None] - t[None, :, 2]) - 0.1 * conf[:, None]
                 ci, ti = np.nonzero(d <= cfg.motion_match_deg)
                 best = np.lexsort((ti, ci, cost[ci, ti]))
