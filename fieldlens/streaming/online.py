@@ -262,7 +262,7 @@ TRACK_OUT = "frame int, yaw double, pitch double, best_score double, tracker_sta
 
 
 def _records(g: pd.DataFrame) -> list[dict]:
-    """Rows of one frame; those without det_id are positions of players."""
+    """Rows as records; those without det_id are positions of players."""
     rows = g[["det_id", "yaw", "pitch", "conf", "area", "px"]].to_dict("records")
     return [{**r, "det_id": int(r["det_id"])} if pd.notna(r["det_id"]) else {"det_id": None, "yaw": r["yaw"], "pitch": r["pitch"]} for r in rows]
 
@@ -359,7 +359,9 @@ def track_batch(det: DataFrame, block_frames: int = 65536) -> DataFrame:
 
     def run(pdf, text):
         state = json.loads(text) if text is not None else TK.fresh_state()
-        by = {int(f): _records(g) for f, g in pdf.groupby("frame")}
+        by = {}
+        for f, r in zip(pdf["frame"].tolist(), _records(pdf)):
+            by.setdefault(int(f), []).append(r)
         out = pd.DataFrame(_advance(state, by, int(pdf["frame"].max())), columns=["frame", "yaw", "pitch", "best_score", "tracker_state", "loss_state"])
         return out.astype({"frame": "int32", "yaw": float, "pitch": float, "best_score": "Float64"}), json.dumps(state)
 
