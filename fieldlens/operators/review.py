@@ -155,7 +155,7 @@ def greedy_spaced(df: DataFrame, keys: list[str], pos: str, tie: str, gap: float
     def run(pdf, state):
         last = json.loads(state) if state is not None else None
         keep = []
-        for p in pdf[pos]:
+        for p in pdf[pos].tolist():
             ok = last is None or (p - last > gap if strict else p - last >= gap)
             keep.append(ok)
             last = float(p) if ok else last
@@ -165,19 +165,25 @@ def greedy_spaced(df: DataFrame, keys: list[str], pos: str, tie: str, gap: float
     return run_blocks(rows, keys, "_block", [pos, tie], run, f"{pos} {types[pos]}, {tie} {types[tie]}, kept boolean").drop("_block")
 
 
-def static_clusters(members: DataFrame, cfg: ClusterAuditConfig = ClusterAuditConfig()) -> tuple[DataFrame, DataFrame]:
-    """(clusters, members with comp and distance to centre)."""
+def cluster_members(members: DataFrame, cfg: ClusterAuditConfig = ClusterAuditConfig()) -> tuple[DataFrame, DataFrame]:
+    """(clusters with their centres, members with comp and distance to centre)."""
     comp = spatial.spatial_components(members, ["clip_id"], "tracklet_id", cfg.cluster_radius_deg, strict=True)
-    m = members.join(comp, KEY)
+    m = cut(members.join(comp, KEY))
     w = F.col("observation_count")
     c = m.groupBy("clip_id", "comp").agg(
         F.sum(w * geo.unit_x("yaw", "pitch")).alias("x"), F.sum(w * geo.unit_y("pitch")).alias("y"), F.sum(w * geo.unit_z("yaw", "pitch")).alias("z"),
         F.count(F.lit(1)).alias("member_count"), F.min("start_frame").alias("first_frame"), F.max("end_frame").alias("last_frame"), F.sum(w).alias("total_obs"))
     n = F.sqrt(F.col("x") * F.col("x") + F.col("y") * F.col("y") + F.col("z") * F.col("z"))
     c = c.withColumn("centre_yaw", geo.vec_yaw("x", "z")).withColumn("centre_pitch", geo.vec_pitch(F.col("y") / n)).drop("x", "y", "z")
+    c = cut(c)
     m = m.join(c.select("clip_id", "comp", "centre_yaw", "centre_pitch"), ["clip_id", "comp"]).withColumn(
         "dist_to_centre", geo.angular_distance("yaw", "pitch", "centre_yaw", "centre_pitch")).drop("centre_yaw", "centre_pitch")
-    c, m = cut(c), cut(m)
+    return c, cut(m)
+
+
+def static_clusters(members: DataFrame, cfg: ClusterAuditConfig = ClusterAuditConfig()) -> tuple[DataFrame, DataFrame]:
+    """``cluster_members``, and of each cluster its radius, its distinct windows and whether it comes again."""
+    c, m = cluster_members(members, cfg)
     mids = m.withColumn("mid", F.floor((F.col("start_frame") + F.col("end_frame")) / 2))
     spaced = greedy_spaced(mids, ["clip_id", "comp"], "mid", "tracklet_id", cfg.min_window_gap).filter("kept").groupBy("clip_id", "comp").agg(F.count(F.lit(1)).alias("distinct_windows"))
     radius = m.groupBy("clip_id", "comp").agg(F.max("dist_to_centre").alias("radius_deg"))

@@ -17,6 +17,7 @@ from fieldlens.plans import sqlkit as Q
 from fieldlens.plans import track_queries as TQ
 from fieldlens.plans.registry import query
 from fieldlens.plans.track_queries import rounded
+from fieldlens.session import cut
 from fieldlens.sources import views as V
 
 FEATS = ["f1", "f2", "f3", "f4"]
@@ -177,7 +178,7 @@ SCL = dict(pc=PIECE, pt=PT, ns=NS, sl=SL, sr=SR, sc=SC, sk=SK, sm=SM_, so=SO, sw
 
 
 def pieces(spark, sf):
-    obs = V.track_obs(spark, sf).withColumn("tracklet_id", F.expr("tracklet_id * 10 + frame div 20"))
+    obs = cut(V.track_obs(spark, sf).select("clip_id", F.expr("tracklet_id * 10 + frame div 20").alias("tracklet_id"), "frame", "det_id", "yaw", "pitch"))
     t = obs.groupBy(*T.KEY).agg(
         F.count(F.lit(1)).alias("observation_count"), F.min("frame").alias("start_frame"), F.max("frame").alias("end_frame"),
         F.min_by(F.struct("yaw", "pitch"), "frame").alias("a"), F.max_by(F.struct("yaw", "pitch"), "frame").alias("b"))
@@ -185,11 +186,12 @@ def pieces(spark, sf):
     return obs, t
 
 
-def clusters(spark, sf):
-    from fieldlens.session import cut
+def members(obs, t):
+    return cut(RV.near_static(obs, t))
 
-    obs, t = pieces(spark, sf)
-    return RV.static_clusters(cut(RV.near_static(obs, t)))
+
+def clusters(spark, sf):
+    return RV.cluster_members(members(*pieces(spark, sf)))
 
 
 @query(
@@ -199,7 +201,7 @@ def clusters(spark, sf):
 FROM sk JOIN (SELECT clip_id, comp, max(dist) AS radius FROM sm GROUP BY ALL) USING (clip_id, comp) JOIN (SELECT clip_id, comp, sum(kept) AS w FROM sw GROUP BY ALL) USING (clip_id, comp)""", **SCL),
 )
 def static_clusters(spark, sf):
-    c, _ = clusters(spark, sf)
+    c, _ = RV.static_clusters(members(*pieces(spark, sf)))
     return rounded(c.select("clip_id", "comp", "member_count", "centre_yaw", "centre_pitch", "radius_deg", "temporal_span", "total_obs", "distinct_windows", "is_repeated"), "centre_yaw", "centre_pitch", "radius_deg")
 
 
@@ -219,8 +221,8 @@ def cluster_match_radius(spark, sf):
     ON k.clip_id=t.clip_id WHERE {Q.gc('t.yaw', 't.pitch', 'k.cy', 'k.cp')} <= r + {Q.TOL} QUALIFY row_number() OVER (PARTITION BY t.clip_id, t.tracklet_id ORDER BY {Q.gc('t.yaw', 't.pitch', 'k.cy', 'k.cp')}, comp)=1) m USING (clip_id, tracklet_id)""", **{k: SCL[k] for k in ("pc", "pt", "ns", "sl", "sr", "sc", "sk", "sm")}),
 )
 def discovered_static_matches(spark, sf):
-    obs, _ = pieces(spark, sf)
-    c, m = clusters(spark, sf)
+    obs, t = pieces(spark, sf)
+    c, m = RV.cluster_members(members(obs, t))
     centres = c.join(RV.match_radius(m), ["clip_id", "comp"]).select("clip_id", "comp", "centre_yaw", "centre_pitch", "match_radius_deg")
     pts = T.median_position(obs).select("clip_id", "tracklet_id", F.col("median_yaw").alias("yaw"), F.col("median_pitch").alias("pitch"))
     h = spatial.nearest_within(pts, centres, ["clip_id"], "match_radius_deg", "comp")
