@@ -38,14 +38,27 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+# rows that Spark gathers, on both sides of the pipe, before a batch goes to Python
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 @contextmanager
-def shuffles_end_with_query(spark: SparkSession) -> Iterator[None]:
-    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
-    spark.conf.set(SHUFFLE_CLEANUP, "true")
+def setting(spark: SparkSession, name: str, value: str, default: str) -> Iterator[None]:
+    before = spark.conf.get(name, default)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(SHUFFLE_CLEANUP, before)
+        spark.conf.set(name, before)
+
+
+def shuffles_end_with_query(spark: SparkSession):
+    return setting(spark, SHUFFLE_CLEANUP, "true", "false")
+
+
+def batches_of(spark: SparkSession, rows: int):
+    """Smaller Arrow batches for steps run inside, where a row is a long list."""
+    return setting(spark, BATCH_ROWS, str(rows), "10000")
 
 
 def stored(df: DataFrame, *used: DataFrame) -> DataFrame:

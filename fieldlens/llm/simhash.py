@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldlens.llm.common import let, stored, table, text_of, words
+from fieldlens.llm.common import batches_of, let, stored, table, text_of, words
 from fieldlens.operators.spatial import connected_components
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -40,6 +40,8 @@ LINK_BITS, SHARED_BYTES, SHINGLE = 3, 5, 3
 WIDE, FAR_BITS = 8, 160
 # no two of these share more than one byte
 SPREAD = [tuple((i + b) % (WIDE * 8) for b in base) for base in ((0, 1, 3), (0, 4, 11), (0, 5, 18), (0, 6, 22)) for i in range(WIDE * 8)]
+# documents whose lists of hashes are in memory at a time
+LIST_ROWS = 512
 TRIPLES = [c for half in (range(4), range(4, 8)) for c in combinations(half, 3)]
 
 
@@ -191,7 +193,8 @@ def dissimilar(docs: DataFrame, id_col: str, text_col: str, size: int, similarit
     sets = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("mark"), F.array_distinct(shingle_hashes(text, size)).alias("hashes"))
     one = sets.select("id", "mark", F.xxhash64(F.array_sort("hashes")).alias("same"), "hashes")
     kind = one.schema["id"].dataType.simpleString()
-    prints = stored(one.mapInArrow(wide_bits, f"id {kind}, mark bigint, same bigint, wide binary"))
+    with batches_of(docs.sparkSession, LIST_ROWS):
+        prints = stored(one.mapInArrow(wide_bits, f"id {kind}, mark bigint, same bigint, wide binary"))
     # texts with the same shingles are one entry, under its first document
     firsts = prints.groupBy("same").agg(F.min(order).alias("f"), F.first("wide").alias("wide"))
     firsts = firsts.select("same", F.col("f.id").alias("id"), F.col("f.mark").alias("mark"), "wide").orderBy(F.col("id").isNull(), "id", "mark")
