@@ -49,42 +49,54 @@ def tracklet_steps(obs: DataFrame, size: int = 65536) -> DataFrame:
     )
 
 
-def _with_direction(df: DataFrame, name: str, a: Column, b: Column) -> DataFrame:
+def _direction(name: str, a: Column, b: Column) -> dict[str, Column]:
     """Unit tangent at ``a`` towards ``b``; zero when they coincide, null when either is missing.
 
-    Built in named steps, so that no sub-expression is evaluated twice.
+    Named steps, so that no sub-expression is evaluated twice.
     """
     known = a.isNotNull() & b.isNotNull()
-    df = df.withColumn("_d", F.when(known, _axpy(b, geo.lit(-1.0), a)))
-    df = df.withColumn("_t", F.when(known, _axpy(F.col("_d"), -_dot(F.col("_d"), a), a)))
-    df = df.withColumn("_n", _norm(F.col("_t")))
     zero = _vec(geo.lit(0.0), geo.lit(0.0), geo.lit(0.0))
     unit = F.when(F.col("_n") >= 1e-9, _scale(F.col("_t"), geo.lit(1.0) / F.col("_n"))).otherwise(zero)
-    return df.withColumn(name, F.when(known, unit)).drop("_d", "_t", "_n")
+    return {
+        "_d": F.when(known, _axpy(b, geo.lit(-1.0), a)), "_t": F.when(known, _axpy(F.col("_d"), -_dot(F.col("_d"), a), a)),
+        "_n": _norm(F.col("_t")), name: F.when(known, unit),
+    }
+
+
+def motion_steps(obs: DataFrame, size: int = 65536) -> DataFrame:
+    """Adds per observation: v, p1 and f1 (the previous one and its frame), step_deg, k_cur and speed_cur (the way from p1
+    to v), k and speed (the same of the previous observation). The way to p1 is the previous row's way, so it is
+    looked up instead of made again: all terms in one projection are more code than the JVM compiles."""
+    o = row_index(obs.withColumn("v", geo.unit_vec("yaw", "pitch")), KEY, ["frame"], frame_block())
+
+    def columns(w):
+        return {
+            "p1": F.lag("v", 1).over(w), "f1": F.lag("frame", 1).over(w), "step_deg": _gc(F.col("p1"), F.col("v")),
+            **_direction("k_cur", F.col("p1"), F.col("v")),
+            "speed_cur": F.col("step_deg") / (F.col("frame") - F.col("f1")) * _norm(F.col("k_cur")),
+            "k": F.lag("k_cur", 1).over(w), "speed": F.lag("speed_cur", 1).over(w),
+        }
+
+    return halo_windows(o, KEY, "rn", 2, 0, columns, size).drop("_d", "_t", "_n")
 
 
 def motion_terms(steps: DataFrame, predict: str = "reference") -> DataFrame:
-    """Adds step_deg, residual_deg (from the predicted position) and vel_sim."""
+    """Adds residual_deg (from the predicted position) and vel_sim to ``motion_steps``."""
 
-    s = steps.withColumn("step_deg", _gc(F.col("p1"), F.col("v")))
-    s = _with_direction(s, "k", F.col("p2"), F.col("p1"))
-    s = _with_direction(s, "k_cur", F.col("p1"), F.col("v"))
     k, p = F.col("k"), F.col("p1")
-    s = s.withColumn("speed", _gc(F.col("p2"), p) / (F.col("f1") - F.col("f2")) * _norm(k))
-    s = s.withColumn("speed_cur", F.col("step_deg") / (F.col("frame") - F.col("f1")) * _norm(F.col("k_cur")))
     a = F.radians(F.col("speed") * (F.col("frame") - F.col("f1")))
     if predict == "great_circle":
         turned = _axpy(_scale(p, F.cos(a)), F.sin(a), k)
     else:
         cross = _vec(k["y"] * p["z"] - k["z"] * p["y"], k["z"] * p["x"] - k["x"] * p["z"], k["x"] * p["y"] - k["y"] * p["x"])
         turned = _axpy(_axpy(_scale(p, F.cos(a)), F.sin(a), cross), _dot(k, p) * (geo.lit(1.0) - F.cos(a)), k)
-    s = s.withColumn("turned", turned)
+    s = steps.withColumn("turned", turned)
     t = F.col("turned")
-    s = s.withColumn("pred", F.when((F.col("speed") > 1e-9) & F.col("p2").isNotNull(), _scale(t, geo.lit(1.0) / _norm(t))).otherwise(p))
+    s = s.withColumn("pred", F.when((F.col("speed") > 1e-9) & k.isNotNull(), _scale(t, geo.lit(1.0) / _norm(t))).otherwise(p))
     sim = F.when(F.col("speed_cur") > 1e-9, geo.clamp(_dot(k, F.col("k_cur")))).otherwise(geo.lit(0.0))
     return (
         s.withColumn("residual_deg", _gc(F.col("pred"), F.col("v")))
-        .withColumn("vel_sim", F.when(F.col("p2").isNotNull() & (F.col("speed") > 1e-9), sim))
+        .withColumn("vel_sim", F.when(k.isNotNull() & (F.col("speed") > 1e-9), sim))
         .drop("k", "k_cur", "pred", "turned", "speed_cur")
     )
 
@@ -103,7 +115,7 @@ def tracklet_metrics(obs: DataFrame, predict: str = "reference") -> DataFrame:
     for c, t in (("score", "double"), ("in_static", "string")):
         if c not in obs.columns:
             obs = obs.withColumn(c, F.lit(None).cast(t))
-    s = motion_terms(tracklet_steps(obs), predict)
+    s = motion_terms(motion_steps(obs), predict)
     gap = F.col("frame") - F.col("f1") - 1
     m = s.groupBy(*KEY).agg(
         F.min("frame").alias("start_frame"), F.max("frame").alias("end_frame"), F.count(F.lit(1)).alias("observation_count"),
