@@ -24,18 +24,19 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from fieldlens.llm.common import stored, table, text_of, words
+from fieldlens.llm.common import let, stored, table, text_of, words
 
 WINDOW = 35
 PERIOD = 21
 COVER = (0, 1, 4, 14, 16)  # a perfect difference set modulo 21
 ANCHOR = WINDOW - (PERIOD - 1)
+ON_COVER = np.isin(np.arange(PERIOD), COVER)
+# words that numpy works on at a time
+PART_WORDS = 1 << 17
 # fixed values: odd multipliers of the rolling hashes
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
@@ -76,45 +77,48 @@ def cover_places(n: int) -> np.ndarray:
     last = n - ANCHOR + 1
     if n < WINDOW:
         return np.zeros(0, np.int64)
-    return np.sort(np.concatenate([np.arange(c, last, PERIOD, dtype=np.int64) for c in COVER]))
+    return np.flatnonzero(ON_COVER[np.arange(last) % PERIOD])
 
 
-def _each(batch: pa.RecordBatch, column: str) -> Iterator[np.ndarray]:
-    lists = batch.column(column)
-    values, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
-    for a, b in zip(ends[:-1], ends[1:]):
-        yield values[a:b]
+def _parts(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Neighbouring rows of about ``PART_WORDS`` words: the rows, their words one after another, and where
+    each row's words begin and end there."""
+    ends = batch.column("w").offsets.to_numpy()
+    lo = 0
+    while lo < batch.num_rows:
+        hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + PART_WORDS, "right")) - 1)
+        yield batch.slice(lo, hi - lo), batch.column("w").values.to_numpy()[ends[lo] : ends[hi]], ends[lo : hi + 1] - ends[lo]
+        lo = hi
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(hash, key, place) of every anchor."""
     for batch in batches:
-        keys = batch.column("key").to_numpy()
-        for lo in range(0, batch.num_rows, 256):
-            found = []
-            part = batch.slice(lo, 256)
-            for key, w in zip(keys[lo : lo + 256], _each(part, "w")):
-                places = cover_places(len(w))
-                if len(places):
-                    found.append((run_hashes(w, places, ANCHOR, MULTIPLIERS[0]), np.full(len(places), key), places))
-            if found:
-                h, k, p = (np.concatenate(x) for x in zip(*found))
-                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(k), pa.array(p.astype(np.int32))], names=["hash", "key", "place"])
+        for part, w, ends in _parts(batch):
+            places = [cover_places(n) for n in np.diff(ends)]
+            keys = np.repeat(part.column("key").to_numpy(), [len(p) for p in places])
+            at = np.concatenate([p + begin for p, begin in zip(places, ends)])
+            h = run_hashes(w, at, ANCHOR, MULTIPLIERS[0])
+            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(keys), pa.array(np.concatenate(places).astype(np.int32))], names=["hash", "key", "place"])
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(h1, h2, nr, place) of every window that holds a hot anchor."""
     for batch in batches:
-        keys = batch.column("nr").to_numpy()
-        for key, w, hot in zip(keys, _each(batch, "w"), _each(batch, "hot")):
-            n = len(w) - WINDOW + 1
-            mark = np.zeros(n + 1, np.int64)
-            np.add.at(mark, np.maximum(hot - (PERIOD - 1), 0), 1)
-            np.add.at(mark, np.minimum(hot + 1, n), -1)
-            starts = np.flatnonzero(np.cumsum(mark[:-1]) > 0)
+        for part, w, ends in _parts(batch):
+            hot = part.column("hot")
+            begin, end = (np.repeat(e, np.diff(hot.offsets.to_numpy())) for e in (ends[:-1], ends[1:]))
+            at = hot.flatten().to_numpy() + begin
+            # a hot anchor lies in the windows from PERIOD - 1 words before it up to it
+            mark = np.zeros(len(w) + 1, np.int64)
+            np.add.at(mark, np.maximum(at - (PERIOD - 1), begin), 1)
+            np.add.at(mark, np.minimum(at + 1, end - WINDOW + 1), -1)
+            starts = np.flatnonzero(np.cumsum(mark) > 0)
+            row = np.searchsorted(ends, starts, "right") - 1
             h = [window_hashes(w, WINDOW, m)[starts] for m in MULTIPLIERS]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h[0]), pa.array((h[1] >> 32).astype(np.int32)), pa.array(np.full(len(starts), key)), pa.array(starts.astype(np.int32))], names=["h1", "h2", "nr", "place"])
+                [pa.array(h[0]), pa.array((h[1] >> 32).astype(np.int32)), pa.array(part.column("nr").to_numpy()[row]), pa.array((starts - ends[row]).astype(np.int32))],
+                names=["h1", "h2", "nr", "place"])
 
 
 def removed_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -123,54 +127,41 @@ def removed_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     text = text_of(text_col)
     plain = docs.select(F.xxhash64(F.col(id_col), text).alias("key"), text.alias("text"))
     hashed = plain.select("key", word_hashes(F.col("text")).alias("w"))
-    anchors = hashed.mapInArrow(_anchors, "hash bigint, key bigint, place int")
+    # anchors and windows are each counted and then looked up: written once, texts are split and moved once for both.
+    # What is met twice is the small side without repeats, so it is hashed and the many rows are not sorted
+    anchors = stored(hashed.mapInArrow(_anchors, "hash bigint, key bigint, place int"))
     hot = stored(anchors.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash"))
-    places = anchors.join(hot, "hash", "left_semi").groupBy("key").agg(F.array_distinct(F.collect_list("place")).alias("hot"))
+    places = anchors.join(hot.hint("shuffle_hash"), "hash", "left_semi").groupBy("key").agg(F.array_distinct(F.collect_list("place")).alias("hot"))
     # the many window rows name their document by a small number, fixed once it is written
-    places = stored(places.withColumn("nr", F.monotonically_increasing_id()))
-    held = plain.join(places, "key")
-    chosen = held.select("nr", word_hashes(F.col("text")).alias("w"), "hot")
-    # windows are made twice, as they take more room than it takes time to make them
-    windows = chosen.mapInArrow(_windows, "h1 bigint, h2 int, nr bigint, place int")
+    places = stored(places.withColumn("nr", F.monotonically_increasing_id()), anchors, hot)
+    chosen = plain.join(places, "key").select("nr", word_hashes(F.col("text")).alias("w"), "hot")
+    windows = stored(chosen.mapInArrow(_windows, "h1 bigint, h2 int, nr bigint, place int"))
     repeated = stored(windows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h1", "h2"))
-    starts = windows.join(repeated, ["h1", "h2"], "left_semi")
+    starts = windows.join(repeated.hint("shuffle_hash"), ["h1", "h2"], "left_semi")
     starts = starts.groupBy("nr").agg(F.array_sort(F.array_distinct(F.collect_list("place"))).alias("starts"))
-    return starts.join(places.select("nr", "key"), "nr").select("key", "starts")
+    return stored(starts.join(places.select("nr", "key"), "nr").select("key", "starts"), windows, repeated, places)
 
 
-REST = T.StructType().add("text", T.StringType()).add("n_words", T.IntegerType()).add("n_removed", T.IntegerType())
-
-
-@F.pandas_udf(REST)
-def without_runs(text: pd.Series, starts: pd.Series) -> pd.DataFrame:
-    """The words that no repeated window covers, joined by a space, and how many there were and went."""
-    out = []
-    for t, at in zip(text, starts):
-        w = t.translate(_GAPS).split(" ") if t else []
-        w = [x for x in w if x]
-        if at is None or not len(at):
-            out.append((" ".join(w), len(w), 0))
-            continue
-        mark = np.zeros(len(w) + 1, np.int64)
-        at = np.asarray(at, np.int64)
-        np.add.at(mark, at, 1)
-        np.add.at(mark, at + WINDOW, -1)
-        keep = np.flatnonzero(np.cumsum(mark[:-1]) == 0)
-        out.append((" ".join([w[i] for i in keep]), len(w), len(w) - len(keep)))
-    return pd.DataFrame(out, columns=["text", "n_words", "n_removed"])
-
-
-_GAPS = {ord(c): " " for c in "\t\n\v\f\r"}
+def without_windows(w: Column, starts: Column) -> Column:
+    """The words that no window covers; ``starts`` are the places of windows in rising order, null for none."""
+    before = F.transform(starts, lambda s: s + WINDOW)
+    stretches = F.arrays_zip(F.concat(F.array(F.lit(0)), before).alias("lo"), F.concat(starts, F.array(F.size(w))).alias("hi"))
+    free = F.filter(stretches, lambda x: x["hi"] > x["lo"])
+    return F.when(starts.isNull(), w).otherwise(F.flatten(F.transform(free, lambda x: F.slice(w, x["lo"] + 1, x["hi"] - x["lo"]))))
 
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(row, text, n_words, n_removed): every input row as a struct, and what is left of its words."""
-    runs = stored(removed_runs(docs, id_col, text_col)).withColumnRenamed("key", "run_key")
+    runs = removed_runs(docs, id_col, text_col).withColumnRenamed("key", "run_key")
     text = text_of(text_col)
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64(F.col(id_col), text).alias("key"))
     both = rows.join(runs, rows["key"] == runs["run_key"], "left")
-    done = both.select("row", F.coalesce(F.col("row")[text_col], F.lit("")).alias("t"), "starts")
-    return done.select("row", without_runs("t", "starts").alias("new")).select("row", "new.*")
+
+    def rest(w: Column, kept: Column) -> Column:
+        return F.struct(F.array_join(kept, " ").alias("text"), F.size(w).alias("n_words"), (F.size(w) - F.size(kept)).alias("n_removed"))
+
+    new = let(words(F.coalesce(F.col("row")[text_col], F.lit(""))), lambda w: let(without_windows(w, F.col("starts")), lambda kept: rest(w, kept)))
+    return both.select("row", new.alias("new")).select("row", "new.*")
 
 
 def op10_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
