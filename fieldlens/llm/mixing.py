@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fieldlens.llm.common import stored, table, text_of, words
+from fieldlens.llm.common import let, stored, table, text_of, words
 
 SEED = 20_240_613
 BLOCK_WORDS = 128
@@ -124,8 +124,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     each = both.select("row", "size", "spans", F.explode(F.sequence(F.lit(1), F.lit(MOST))).alias("time"))
     each = each.withColumn("spans", F.filter("spans", lambda s: s["times"] >= F.col("time")))
     each = each.withColumn("got", F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + s["end"] - s["start"])).filter("got > 0")
-    w = words(text)
-    part = F.array_join(F.flatten(F.transform("spans", lambda s: F.slice(w, (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int")))), " ")
+    # a text is split once, not once a span
+    part = let(words(text), lambda w: F.array_join(F.flatten(F.transform("spans", lambda s: F.slice(w, (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int")))), " "))
     part = F.when(F.col("got") == F.col("size"), text).otherwise(part)
     length = F.length("cut").cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None
     kept = each.withColumn("cut", part)

@@ -191,7 +191,7 @@ def dissimilar(docs: DataFrame, id_col: str, text_col: str, size: int, similarit
     text = text_of(text_col)
     order = F.struct(F.col("id").isNull().alias("void"), "id", "mark")
     sets = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("mark"), F.array_distinct(shingle_hashes(text, size)).alias("hashes"))
-    one = sets.select("id", "mark", F.xxhash64(F.array_sort("hashes")).alias("same"), "hashes")
+    one = sets.select("id", "mark", F.xxhash64(F.sort_array("hashes")).alias("same"), "hashes")
     kind = one.schema["id"].dataType.simpleString()
     with batches_of(docs.sparkSession, LIST_ROWS):
         prints = stored(one.mapInArrow(wide_bits, f"id {kind}, mark bigint, same bigint, wide binary"))
